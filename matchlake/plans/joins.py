@@ -1,0 +1,25 @@
+"""Join helpers: broadcast a side only after checking its size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension broadcast to every executor.  A league/country/team table
+# has tens to thousands of rows; anything bigger goes the shuffle way.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+
+    The check is a bounded action (``limit(max_rows + 1).count()``), so it
+    reads at most ``max_rows + 1`` rows however large the table is.  Beyond the
+    bound the side is returned unmarked and the planner (with AQE) picks a
+    sort-merge or shuffled hash join.  ``max_rows=None`` skips the check and
+    leaves the choice to the planner's own size estimate.
+    """
+    if max_rows is None:
+        return df
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
