@@ -1,8 +1,10 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator,
-plus the DuckDB SQL each is checked against.
+next to the DuckDB SQL it is checked against.
 
 Every query reads the whole driver tables (through the star projections of
-``matchlake.plans.star``) so its work grows with them.
+``matchlake.plans.star``), so its work grows with them.  Queries that write
+(files, SQLite shards, warehouse tables, a stream) do so in a fresh folder
+under the shared checkpoint folder and return what they read back.
 """
 
 from __future__ import annotations
@@ -10,10 +12,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake import oracle as O
+from matchlake.functions.dtypes import equivalent_type
+from matchlake.functions.rules import WHITESPACE
 from matchlake.operators import points as P
-from matchlake.plans import star
+from matchlake.operators import profile as PR
+from matchlake.operators import quality as Q
+from matchlake.operators.indexing import with_row_index
+from matchlake.operators.load import Warehouse, register_view
+from matchlake.plans import jobs, star
+from matchlake.schemas import POINT, TABLES
+from matchlake.session import work_dir
+from matchlake.sinks import files
+from matchlake.sources import sqlite
+from matchlake.sources.csv import EXTRACT, INDEX_COLUMN, read_delimited, read_indexed, read_staged
+from matchlake.sources.parquet import read_parquet
+from matchlake.streaming import stage_refresh
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -30,33 +47,642 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
-# --- points table and standings ------------------------------------------------
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
-@register("points_result", O.with_star(O.POINTS_SQL, tables=["league", "match"]))
+
+def _conformed_sql(table: str, view: str, view_columns: list[str]) -> str:
+    """SELECT of all columns of warehouse ``table``: the star view's own columns
+    where it has them, typed NULLs for the rest."""
+    cols = []
+    for f in TABLES[table].schema.fields:
+        t = DUCK_TYPES[f.dataType.simpleString()]
+        src = f.name if f.name in view_columns else "NULL"
+        cols.append(f'CAST({src} AS {t}) AS "{f.name}"')
+    return f"SELECT {', '.join(cols)} FROM {view}"
+
+
+MATCH_VIEW_COLUMNS = [
+    "id", "country_id", "league_id", "season", "stage", "date", "match_api_id",
+    "home_team_api_id", "away_team_api_id", "home_team_goal", "away_team_goal",
+]
+MATCH_VIEW_TYPES = ["bigint", "bigint", "bigint", "string", "int", "string", "bigint",
+                    "bigint", "bigint", "int", "int"]
+PLAYER_ATTR_NUMERIC = ["id", "player_fifa_api_id", "player_api_id", "overall_rating", "potential"]
+LEAGUE_MATCH = ["league", "match"]
+STAR_NAMES = ["Country", "League", "Team", "Player", "Player_Attributes", "Match"]
+STAR_VIEW = {"Country": "country", "League": "league", "Team": "team", "Player": "player",
+             "Player_Attributes": "player_attributes", "Match": "match"}
+
+
+# =============================================================================
+# Points table and standings
+# =============================================================================
+
+@register("points_result", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
 def q_points_result(spark, sf_dir):
     return P.points_result(star.match(spark, sf_dir), star.league(spark, sf_dir))
 
 
-@register("points_result_strict", O.with_star(O.POINTS_STRICT_SQL, tables=["league", "match"]))
+@register("points_result_strict", O.with_star(O.POINTS_STRICT_SQL, tables=LEAGUE_MATCH))
 def q_points_result_strict(spark, sf_dir):
     return P.points_result(star.match(spark, sf_dir), star.league(spark, sf_dir), strict=True)
 
 
 @register("team_match_points", O.with_star(O.TEAM_MATCH_POINTS_SQL, O.TEAM_ROWS_CTE,
-                                           tables=["league", "match"]))
+                                           tables=LEAGUE_MATCH))
 def q_team_match_points(spark, sf_dir):
     return P.team_match_points(star.match(spark, sf_dir), star.league(spark, sf_dir))
 
 
 @register("team_stage_points", O.with_star("SELECT * FROM tsp", O.TEAM_ROWS_CTE,
-                                           O.TEAM_STAGE_CTE, tables=["league", "match"]))
+                                           O.TEAM_STAGE_CTE, tables=LEAGUE_MATCH))
 def q_team_stage_points(spark, sf_dir):
     return P.team_stage_points(star.match(spark, sf_dir), star.league(spark, sf_dir))
 
 
 @register("league_table_by_stage", O.with_star(O.LEAGUE_TABLE_SQL, O.TEAM_ROWS_CTE,
-                                               O.TEAM_STAGE_CTE, tables=["league", "match"]))
+                                               O.TEAM_STAGE_CTE, tables=LEAGUE_MATCH))
 def q_league_table_by_stage(spark, sf_dir):
     return P.league_table_by_stage(
         P.team_stage_points(star.match(spark, sf_dir), star.league(spark, sf_dir))
     )
+
+
+# The points query as SQL text over named views (K9, P1): the same Catalyst plan.
+POINTS_SPARK_SQL = """
+SELECT m.match_api_id, m.home_team_goal, m.away_team_goal, m.season,
+       CASE WHEN m.home_team_goal > m.away_team_goal THEN 'Home'
+            WHEN m.home_team_goal < m.away_team_goal THEN 'Away'
+            ELSE 'Tie' END AS result,
+       l.name
+FROM Match m JOIN League l ON l.id = m.league_id
+"""
+
+
+@register("temp_view_query", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
+def q_temp_view_query(spark, sf_dir):
+    register_view(star.match(spark, sf_dir), "Match")
+    register_view(star.league(spark, sf_dir), "League")
+    return spark.sql(POINTS_SPARK_SQL)
+
+
+# =============================================================================
+# Files: Parquet and CSV round trips, staged loads
+# =============================================================================
+
+@register("points_parquet_roundtrip", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
+def q_points_parquet_roundtrip(spark, sf_dir):
+    """W1 from Parquet landings: Match and League landed (K4), points written
+    (K3), read back and loaded into the Point table (S6)."""
+    root = work_dir(spark, "points-parquet")
+    files.write_parquet(star.match(spark, sf_dir), f"{root}/lake/Match")
+    files.write_parquet(star.league(spark, sf_dir), f"{root}/lake/League")
+    jobs.points_job(spark, f"{root}/lake/Match", f"{root}/lake/League",
+                    f"{root}/lake/points", source="parquet")
+    wh = Warehouse(spark, location=f"{root}/warehouse")
+    wh.create("Point")
+    wh.load(read_parquet(spark, f"{root}/lake/points", POINT), "Point")
+    return wh.table("Point")
+
+
+@register("match_csv_roundtrip", O.with_star("SELECT * FROM match", tables=["match"]))
+def q_match_csv_roundtrip(spark, sf_dir):
+    """K1 then S3: ';' text with a header, read back by position with the schema."""
+    m = star.match(spark, sf_dir)
+    path = work_dir(spark, "match-csv")
+    files.write_delimited(m, path, EXTRACT)
+    return read_delimited(spark, path, m.schema, EXTRACT)
+
+
+@register("points_csv_job", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
+def q_points_csv_job(spark, sf_dir):
+    """W1 as the pipeline runs it: staged ';' files of Match (115 columns) and
+    League in, points Parquet out."""
+    root = work_dir(spark, "points-csv")
+    files.write_delimited(jobs.conform(star.match(spark, sf_dir), TABLES["Match"].schema),
+                          f"{root}/raw/Match")
+    files.write_delimited(star.league(spark, sf_dir), f"{root}/raw/League")
+    return jobs.points_job(spark, f"{root}/raw/Match", f"{root}/raw/League", f"{root}/lake/points")
+
+
+@register("staged_csv_load", O.with_star(_conformed_sql("Match", "match", MATCH_VIEW_COLUMNS),
+                                         tables=["match"]))
+def q_staged_csv_load(spark, sf_dir):
+    """S5 + K5 + K7: Match conformed to all 115 columns, staged as ';' text
+    (NULL cells empty), loaded by position into the typed table with the
+    load rules (F4, F5, F6, F8)."""
+    root = work_dir(spark, "staged-match")
+    files.write_delimited(jobs.conform(star.match(spark, sf_dir), TABLES["Match"].schema),
+                          f"{root}/raw/Match")
+    wh = Warehouse(spark, location=f"{root}/warehouse")
+    wh.create("Match")
+    wh.load(read_staged(spark, f"{root}/raw/Match", TABLES["Match"].schema), "Match")
+    return wh.table("Match")
+
+
+# Raw text cells for the blank rule, derived from every customer row: empty,
+# blank, tab-only and leading-blank cells next to untouched names.
+def _raw_names(spark, sf_dir):
+    c = star.driver_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 5
+    raw = (F.when(k == 0, F.lit(""))
+           .when(k == 1, F.lit("   "))
+           .when(k == 2, F.lit("\t "))
+           .when(k == 3, F.concat(F.lit("  "), F.col("c_name")))
+           .otherwise(F.col("c_name")))
+    return c.select(F.col("c_custkey").cast("bigint").alias("id"), raw.alias("player_name"))
+
+
+RAW_NAMES_CTE = """raw AS (
+  SELECT CAST(c_custkey AS BIGINT) AS id,
+         CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN '   ' WHEN 2 THEN chr(9) || ' '
+              WHEN 3 THEN '  ' || c_name ELSE c_name END AS player_name
+  FROM customer)"""
+
+DUCK_WHITESPACE = " || ".join(f"chr({ord(ch)})" for ch in WHITESPACE)
+
+NAME_SCHEMA = T.StructType([T.StructField("id", T.LongType()),
+                            T.StructField("player_name", T.StringType())])
+
+
+@register("blank_to_null", f"""WITH {RAW_NAMES_CTE}
+SELECT id, CASE WHEN length(trim(player_name, {DUCK_WHITESPACE})) = 0 THEN NULL
+                ELSE player_name END AS player_name
+FROM raw""")
+def q_blank_to_null(spark, sf_dir):
+    """F4 + F5 through a file: blank and empty cells load as NULL, other text
+    is kept untrimmed."""
+    path = work_dir(spark, "blank-names")
+    files.write_delimited(_raw_names(spark, sf_dir), path)
+    return read_staged(spark, path, NAME_SCHEMA)
+
+
+@register("truncate_text", """SELECT CAST(c_custkey AS BIGINT) AS id,
+       left(c_name, 12) AS player_name
+FROM customer""")
+def q_truncate_text(spark, sf_dir):
+    """text cut to the column length (12 characters here) on load."""
+    c = star.driver_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("id"), F.col("c_name").alias("player_name"))
+    path = work_dir(spark, "long-names")
+    files.write_delimited(c, path)
+    return read_staged(spark, path, NAME_SCHEMA, text_limit=12)
+
+
+# =============================================================================
+# Warehouse loads (K5-K8)
+# =============================================================================
+
+def _load_points(spark, sf_dir, append_second: bool) -> DataFrame:
+    wh = Warehouse(spark)
+    wh.create("Point")
+    pts = P.points_result(star.match(spark, sf_dir), star.league(spark, sf_dir))
+    wh.load(pts, "Point")
+    wh.load(pts, "Point", append_only=append_second)
+    return wh.table("Point")
+
+
+@register("load_overwrite", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
+def q_load_overwrite(spark, sf_dir):
+    """K7/K8 without append_only, run twice: the table holds one copy."""
+    return _load_points(spark, sf_dir, append_second=False)
+
+
+@register("load_append", O.with_star(f"{O.POINTS_SQL}\nUNION ALL\n{O.POINTS_SQL}",
+                                     tables=LEAGUE_MATCH))
+def q_load_append(spark, sf_dir):
+    """K7/K8 with append_only on the second run: the table holds two copies."""
+    return _load_points(spark, sf_dir, append_second=True)
+
+
+@register("load_fields", O.with_star(
+    "SELECT m.match_api_id, CAST(NULL AS INTEGER) AS home_team_goal, "
+    "CAST(NULL AS INTEGER) AS away_team_goal, m.season, "
+    f"{O.RESULT_CASE} AS result, CAST(NULL AS VARCHAR) AS name "
+    "FROM match m JOIN league l ON l.id = m.league_id", tables=LEAGUE_MATCH))
+def q_load_fields(spark, sf_dir):
+    """``INSERT INTO Point (match_api_id, season, result) SELECT ...``: the
+    columns left out are NULL."""
+    wh = Warehouse(spark)
+    wh.create("Point")
+    pts = P.points_result(star.match(spark, sf_dir), star.league(spark, sf_dir))
+    wh.load(pts.select("match_api_id", "season", "result"), "Point",
+            fields=["match_api_id", "season", "result"])
+    return wh.table("Point")
+
+
+# =============================================================================
+# Counts and checks
+# =============================================================================
+
+def _star_counts_sql(extra: str = "") -> str:
+    parts = [f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count "
+             f"FROM {STAR_VIEW[n]}" for n in STAR_NAMES]
+    return O.with_star("\nUNION ALL\n".join(parts))
+
+
+@register("row_counts", _star_counts_sql())
+def q_row_counts(spark, sf_dir):
+    return Q.row_counts(star.star_tables(spark, sf_dir))
+
+
+@register("null_key_counts", O.with_star("\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, 'id' AS key_column, CAST(count(*) AS BIGINT) AS row_count, "
+    f"CAST(count(*) FILTER (WHERE id IS NULL) AS BIGINT) AS null_keys FROM {STAR_VIEW[n]}"
+    for n in STAR_NAMES)))
+def q_null_key_counts(spark, sf_dir):
+    return Q.null_key_counts(star.star_tables(spark, sf_dir), "id")
+
+
+DQ_SQL_CHECKS = [
+    Q.Check("Match", 0, "sql", sql="SELECT COUNT(*) FROM Match WHERE home_team_goal IS NULL"),
+    Q.Check("League", 0, "sql", sql="SELECT id FROM League WHERE id < 0"),
+]
+DQ_CHECKS = Q.REFERENCE_CHECKS + Q.non_empty_checks(STAR_NAMES) + DQ_SQL_CHECKS
+
+
+def _dq_sql() -> str:
+    rows = []
+    duck_sql = {
+        "SELECT COUNT(*) FROM Match WHERE home_team_goal IS NULL":
+            "(SELECT CAST(count(*) AS BIGINT) FROM match WHERE home_team_goal IS NULL)",
+        "SELECT id FROM League WHERE id < 0":
+            "(SELECT CAST(id AS BIGINT) FROM league WHERE id < 0 LIMIT 1)",
+    }
+    for i, c in enumerate(DQ_CHECKS, start=1):
+        view = STAR_VIEW[c.table]
+        if c.kind == "sql":
+            actual = duck_sql[c.sql]
+        elif c.kind == "null_count":
+            actual = f"(SELECT CAST(count(*) AS BIGINT) FROM {view} WHERE {c.column} IS NULL)"
+        else:
+            actual = f"(SELECT CAST(count(*) AS BIGINT) FROM {view})"
+        check_sql = c.check_sql.replace("'", "''")
+        rows.append(f"SELECT {i} AS check_id, '{c.table}' AS table_name, '{check_sql}' AS check_sql, "
+                    f"'{c.comparison}' AS comparison, CAST({c.expected} AS BIGINT) AS expected, "
+                    f"{actual} AS actual")
+    body = "\nUNION ALL\n".join(rows)
+    return O.with_star(f"""SELECT *,
+  CASE WHEN actual IS NULL THEN false
+       WHEN comparison = '>' THEN actual > expected ELSE actual = expected END AS passed,
+  CASE WHEN actual IS NULL THEN 'Data quality check failed for ' || table_name || ' returned no results'
+       WHEN (comparison = '>' AND actual > expected) OR (comparison = '=' AND actual = expected)
+         THEN 'Data quality on table ' || table_name || ' check passed with '
+              || CAST(actual AS VARCHAR) || ' records'
+       ELSE 'Data quality check failed for ' || table_name || '. actual result was '
+            || CAST(actual AS VARCHAR) || ' but expected result was ' || comparison || ' '
+            || CAST(expected AS VARCHAR) END AS message
+FROM (
+{body}
+) checks""")
+
+
+@register("dq_report", _dq_sql())
+def q_dq_report(spark, sf_dir):
+    """Q1-Q5: the pipeline's own checks (counts of 11 / 11 / 183978 rows, no
+    NULL ids), non-empty checks on every table, and two SQL checks, one of
+    which returns no row."""
+    tables = star.register_views(spark, sf_dir)
+    return Q.check_report(spark, tables, DQ_CHECKS)
+
+
+# =============================================================================
+# Key constraints
+# =============================================================================
+
+PK_TABLES = [(n, ["id"]) for n in STAR_NAMES]
+LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def _lineitem_keys(spark, sf_dir):
+    return star.driver_table(spark, sf_dir, "lineitem").select(*LINEITEM_KEY)
+
+
+def _key_sql(table: str, view: str, keys: list[str], primary: bool) -> str:
+    key_value = " || ',' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in keys)
+    any_null = " OR ".join(f"{k} IS NULL" for k in keys)
+    where = "" if primary else f"WHERE NOT ({any_null})"
+    having = f"count(*) > 1 OR {any_null}" if primary else "count(*) > 1"
+    return (f"SELECT '{table}' AS table_name, '{','.join(keys)}' AS key_columns, "
+            f"{key_value} AS key_value, CAST(count(*) AS BIGINT) AS n_rows "
+            f"FROM {view} {where} GROUP BY {', '.join(keys)} HAVING {having}")
+
+
+@register("pk_violations", O.with_star("\nUNION ALL\n".join(
+    [_key_sql(n, STAR_VIEW[n], k, True) for n, k in PK_TABLES]
+    + [_key_sql("lineitem", "lineitem", LINEITEM_KEY, True)])))
+def q_pk_violations(spark, sf_dir):
+    """C1 on every star table, plus (l_orderkey, l_linenumber), which repeats."""
+    tables = star.star_tables(spark, sf_dir)
+    parts = [Q.pk_violations(tables[n], n, k) for n, k in PK_TABLES]
+    parts.append(Q.pk_violations(_lineitem_keys(spark, sf_dir), "lineitem", LINEITEM_KEY))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+UNIQUE_KEYS = [(t.name, [u]) for t in TABLES.values() for u in t.unique
+               if t.name in STAR_NAMES]
+
+
+@register("unique_violations", O.with_star("\nUNION ALL\n".join(
+    _key_sql(n, STAR_VIEW[n], k, False) for n, k in UNIQUE_KEYS)))
+def q_unique_violations(spark, sf_dir):
+    tables = star.star_tables(spark, sf_dir)
+    parts = [Q.unique_violations(tables[n], n, k) for n, k in UNIQUE_KEYS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+FK_CHECKS = [
+    ("Match", "country_id", "Country", "id"),
+    ("Match", "league_id", "League", "id"),
+    ("Match", "home_team_api_id", "Team", "team_api_id"),
+    ("Match", "away_team_api_id", "Team", "team_api_id"),
+    ("Player_Attributes", "player_fifa_api_id", "Player", "player_fifa_api_id"),
+    ("Player_Attributes", "player_api_id", "Player", "player_api_id"),
+]
+
+
+@register("fk_orphans", O.with_star("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS child_table, '{col}' AS child_column, '{p}' AS parent_table, "
+    f"'{pcol}' AS parent_column, CAST({col} AS VARCHAR) AS key_value, "
+    f"CAST(count(*) AS BIGINT) AS n_rows FROM {STAR_VIEW[c]} ch "
+    f"WHERE {col} IS NOT NULL AND NOT EXISTS "
+    f"(SELECT 1 FROM {STAR_VIEW[p]} pa WHERE pa.{pcol} = ch.{col}) GROUP BY {col}"
+    for c, col, p, pcol in FK_CHECKS)))
+def q_fk_orphans(spark, sf_dir):
+    """Child keys without a parent row; one scan per child table."""
+    tables = star.star_tables(spark, sf_dir)
+    out = None
+    for child in dict.fromkeys(c for c, *_ in FK_CHECKS):
+        refs = [Q.Reference(col, tables[p], p, pcol) for c, col, p, pcol in FK_CHECKS if c == child]
+        part = Q.fk_orphans(tables[child], child, refs)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# =============================================================================
+# Profiles (A3-A7, P7, P8, L1)
+# =============================================================================
+
+@register("null_profile", O.with_star("\nUNION ALL\n".join(
+    f"SELECT 'Match' AS table_name, '{c}' AS column_name, {i + 1} AS position, "
+    f"'{t}' AS data_type, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count "
+    f"FROM match" for i, (c, t) in enumerate(zip(MATCH_VIEW_COLUMNS, MATCH_VIEW_TYPES))),
+    tables=["match"]))
+def q_null_profile(spark, sf_dir):
+    """A3 + A7: NULLs per column with the column's type, one pass."""
+    return PR.null_profile(star.match(spark, sf_dir), "Match")
+
+
+@register("shape", O.with_star("\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, "
+    f"{len(cols)} AS n_columns FROM {STAR_VIEW[n]}"
+    for n, cols in [("Country", 2), ("League", 3), ("Team", 5), ("Player", 7),
+                    ("Player_Attributes", 8), ("Match", 11)]
+    for cols in [range(cols)])))
+def q_shape(spark, sf_dir):
+    tables = star.star_tables(spark, sf_dir)
+    out = None
+    for n in STAR_NAMES:
+        part = PR.shape(tables[n], n)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+DUP_SOURCES = ["Match", "Player_Attributes", "lineitem"]
+
+
+def _dup_source(spark, sf_dir, name):
+    if name == "lineitem":
+        return _lineitem_keys(spark, sf_dir)
+    return star.STAR_BUILDERS[name](spark, sf_dir)
+
+
+def _dup_sql(table: str, view: str, cols: str) -> str:
+    return (f"SELECT '{table}' AS table_name, CAST((SELECT count(*) FROM {view}) AS BIGINT) "
+            f"AS row_count, CAST(coalesce((SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM "
+            f"{view} GROUP BY {cols} HAVING count(*) > 1) g), 0) AS BIGINT) AS duplicate_rows")
+
+
+@register("duplicate_rows", O.with_star("\nUNION ALL\n".join([
+    _dup_sql("Match", "match", ", ".join(MATCH_VIEW_COLUMNS)),
+    _dup_sql("Player_Attributes", "player_attributes",
+             "id, player_fifa_api_id, player_api_id, date, overall_rating, potential, "
+             "preferred_foot, attacking_work_rate"),
+    _dup_sql("lineitem", "lineitem", "l_orderkey, l_linenumber"),
+])))
+def q_duplicate_rows(spark, sf_dir):
+    """A4: second and later copies of a row, over all columns."""
+    out = None
+    for n in DUP_SOURCES:
+        part = PR.duplicate_rows(_dup_source(spark, sf_dir, n), n)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("repeated_rows", """SELECT l_orderkey, l_linenumber,
+       CAST(count(*) - 1 AS BIGINT) AS extra_copies
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_repeated_rows(spark, sf_dir):
+    """The repeated rows themselves, one line per distinct row."""
+    return PR.repeated_rows(_lineitem_keys(spark, sf_dir))
+
+
+def _numeric_profile_sql() -> str:
+    def r(e):
+        return f"round({e}, 6)"
+    parts = [
+        f"SELECT 'Player_Attributes' AS table_name, '{c}' AS column_name, "
+        f"CAST(count({c}) AS BIGINT) AS count, {r(f'avg({c})')} AS mean, "
+        f"{r(f'stddev_samp({c})')} AS std, {r(f'CAST(min({c}) AS DOUBLE)')} AS min, "
+        f"{r(f'quantile_cont({c}, 0.25)')} AS q25, {r(f'quantile_cont({c}, 0.5)')} AS q50, "
+        f"{r(f'quantile_cont({c}, 0.75)')} AS q75, {r(f'CAST(max({c}) AS DOUBLE)')} AS max "
+        f"FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM player_attributes)"
+        for c in PLAYER_ATTR_NUMERIC
+    ]
+    return O.with_star("\nUNION ALL\n".join(parts), tables=["player_attributes"])
+
+
+@register("numeric_profile", _numeric_profile_sql())
+def q_numeric_profile(spark, sf_dir):
+    """A5: ``describe()`` with exact quartiles, rounded to 6 places."""
+    return PR.numeric_profile(star.player_attributes(spark, sf_dir), "Player_Attributes",
+                              digits=6)
+
+
+@register("drop_null_rows", O.with_star(
+    "SELECT * FROM match WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in MATCH_VIEW_COLUMNS),
+    tables=["match"]))
+def q_drop_null_rows(spark, sf_dir):
+    """``dropna()``."""
+    return PR.drop_null_rows(star.match(spark, sf_dir))
+
+
+@register("first_rows", O.with_star("SELECT * FROM match ORDER BY id LIMIT 5", tables=["match"]))
+def q_first_rows(spark, sf_dir):
+    """L1: ``head()`` -- the first five rows by id (a top-k, the feature itself)."""
+    return PR.first_rows(star.match(spark, sf_dir), "id", 5)
+
+
+def _pandas_dtype_sql() -> str:
+    rows = []
+    for i, (c, t) in enumerate(zip(MATCH_VIEW_COLUMNS, MATCH_VIEW_TYPES)):
+        if t in ("bigint", "int"):
+            plain = "int64" if t == "bigint" else "int32"
+            dtype = f"CASE WHEN nulls > 0 THEN 'float64' ELSE '{plain}' END"
+        elif t == "double":
+            dtype = "'float64'"
+        else:
+            dtype = "'object'"
+        rows.append(f"SELECT '{c}' AS column_name, {i + 1} AS position, {dtype} AS pandas_dtype "
+                    f"FROM (SELECT count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM match) n")
+    spark_of = " ".join(f"WHEN '{d}' THEN '{equivalent_type(d).simpleString()}'"
+                        for d in ["int64", "int32", "float64", "object"])
+    union = "\nUNION ALL\n".join(rows)
+    return O.with_star(f"""SELECT column_name, position, pandas_dtype,
+       CASE pandas_dtype {spark_of} END AS spark_type
+FROM (
+{union}
+) d""", tables=["match"])
+
+
+@register("dtype_mapping", _pandas_dtype_sql())
+def q_dtype_mapping(spark, sf_dir):
+    """F7 + S7: the dtypes pandas gives each Match column when it reads the
+    table, and the Spark type the dtype rule maps them to.  Batches are turned
+    into pandas frames on the executors (Arrow); only one row per column and
+    batch comes back."""
+    from matchlake.operators.dtype_profile import pandas_dtypes
+
+    return pandas_dtypes(star.match(spark, sf_dir))
+
+
+# =============================================================================
+# Indexed export
+# =============================================================================
+
+def _indexed_sql(where: str = "") -> str:
+    return O.with_star(f"SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY id) - 1 AS BIGINT) "
+                       f"AS {INDEX_COLUMN}, * FROM match) i {where}", tables=["match"])
+
+
+@register("indexed_export", _indexed_sql(
+    "WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in MATCH_VIEW_COLUMNS)))
+def q_indexed_export(spark, sf_dir):
+    """K2 after P8: rows numbered from 0 in id order, NULL rows dropped, then
+    written as ',' text with the index first: the index keeps its gaps."""
+    m = star.match(spark, sf_dir)
+    indexed = PR.drop_null_rows(with_row_index(m, "id", INDEX_COLUMN))
+    path = work_dir(spark, "indexed-match")
+    files.write_indexed(m, path, index=indexed)
+    return read_indexed(spark, path, m.schema, keep_index=True)
+
+
+@register("indexed_csv_read", O.with_star("SELECT * FROM match", tables=["match"]))
+def q_indexed_csv_read(spark, sf_dir):
+    """A ',' file with a leading index column read back without the index."""
+    m = star.match(spark, sf_dir)
+    path = work_dir(spark, "indexed-match-all")
+    files.write_indexed(m, path, "id")
+    return read_indexed(spark, path, m.schema)
+
+
+# =============================================================================
+# SQLite source
+# =============================================================================
+
+@register("sqlite_scan", O.with_star("SELECT * FROM match", tables=["match"]))
+def q_sqlite_scan(spark, sf_dir):
+    """Match held in SQLite (written as shards by the executors), extracted
+    in parallel id ranges and landed as Parquet."""
+    m = star.match(spark, sf_dir)
+    root = work_dir(spark, "sqlite-scan")
+    sqlite.write_table(m, f"{root}/database", "Match")
+    src = sqlite.read_table(spark, f"{root}/database", "Match", num_partitions=4, schema=m.schema)
+    files.write_parquet(src, f"{root}/lake/Match")
+    return read_parquet(spark, f"{root}/lake/Match", m.schema)
+
+
+@register("sqlite_tables", "SELECT name FROM (VALUES ('Country'), ('League'), ('Match')) t(name)")
+def q_sqlite_tables(spark, sf_dir):
+    """S2 + P6: table names of a SQLite database (``type = 'table'`` only)."""
+    root = work_dir(spark, "sqlite-catalog")
+    for name in ["Country", "League", "Match"]:
+        sqlite.write_table(star.STAR_BUILDERS[name](spark, sf_dir), f"{root}/database", name)
+    return sqlite.list_tables(spark, f"{root}/database")
+
+
+# =============================================================================
+# Refresh: partitions, stream, whole warehouse
+# =============================================================================
+
+STAGE_POINTS_SCHEMA = T.StructType([
+    T.StructField("league_id", T.LongType()), T.StructField("name", T.StringType()),
+    T.StructField("team_api_id", T.LongType()),
+    *[T.StructField(c, T.LongType()) for c in P.STAGE_METRICS],
+    T.StructField("season", T.StringType()), T.StructField("stage", T.IntegerType()),
+])
+
+
+@register("stage_refresh", O.with_star("SELECT * FROM tsp", O.TEAM_ROWS_CTE, O.TEAM_STAGE_CTE,
+                                       tables=LEAGUE_MATCH))
+def q_stage_refresh(spark, sf_dir):
+    """D4 + K10: points per team and stage in a table partitioned by
+    (season, stage); the last stage of every season is recomputed and only
+    its partitions replaced.  The table then equals a full rebuild."""
+    m, lg = star.match(spark, sf_dir), star.league(spark, sf_dir)
+    path = work_dir(spark, "stage-points")
+    files.write_parquet(P.team_stage_points(m, lg), path, partition_by=jobs.STAGE_PARTITIONS)
+    jobs.refresh_stage_points(jobs.latest_stage_matches(m), lg, path)
+    return spark.read.schema(STAGE_POINTS_SCHEMA).parquet(path)
+
+
+@register("streaming_league_table", O.with_star(O.LEAGUE_TABLE_SQL, O.TEAM_ROWS_CTE,
+                                                O.TEAM_STAGE_CTE, tables=LEAGUE_MATCH))
+def q_streaming_league_table(spark, sf_dir):
+    """D4 as a stream: match files land, each micro-batch refreshes the
+    standings of the (league, season) pairs it touched."""
+    m = star.match(spark, sf_dir).select(*stage_refresh.MATCH_COLUMNS.fieldNames())
+    root = work_dir(spark, "stream")
+    files.write_parquet(m.repartition(4, "stage"), f"{root}/landing")
+    q = stage_refresh.start(spark, f"{root}/landing", star.league(spark, sf_dir),
+                            f"{root}/processed", f"{root}/standings", f"{root}/checkpoint",
+                            files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return stage_refresh.read_standings(spark, f"{root}/standings")
+
+
+def _full_refresh_sql() -> str:
+    parts = [f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count "
+             f"FROM {STAR_VIEW[n]}" for n in STAR_NAMES]
+    parts.append("SELECT 'Team_Attributes' AS table_name, CAST(0 AS BIGINT) AS row_count")
+    parts.append(f"SELECT 'Point' AS table_name, CAST(count(*) AS BIGINT) AS row_count "
+                 f"FROM ({O.POINTS_SQL}) p")
+    return O.with_star("\nUNION ALL\n".join(parts))
+
+
+@register("full_refresh", _full_refresh_sql())
+def q_full_refresh(spark, sf_dir):
+    """W3 + S8: stage every star table as ';' text under one root, build the
+    points Parquet, refresh the whole warehouse twice in load order with
+    checks; rows per table are those of one run."""
+    from matchlake.sources.paths import table_path
+
+    root = work_dir(spark, "full-refresh")
+    staged = {}
+    for name, df in star.star_tables(spark, sf_dir).items():
+        staged[name] = table_path(root, "raw", name)
+        files.write_delimited(jobs.conform(df, TABLES[name].schema), staged[name])
+    points = table_path(root, "lake", "points")
+    jobs.points_job(spark, staged["Match"], staged["League"], points)
+    wh = Warehouse(spark, location=table_path(root, "warehouse"))
+    for _ in range(2):
+        jobs.full_refresh(spark, wh, staged, points)
+    return Q.row_counts({n: wh.table(n) for n in STAR_NAMES + ["Team_Attributes", "Point"]})

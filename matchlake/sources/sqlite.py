@@ -1,0 +1,292 @@
+"""SQLite as a Spark data source (S1, S2), written with the Python Data Source API.
+
+Read: ``spark.read.format("sqlite").option("path", p).option("dbtable", t).load()``
+
+* ``path`` is one SQLite file (the source database) or a folder of shard
+  files written by this source; it must be on storage every executor sees.
+* Each file is split into ``numPartitions`` ranges of ``partitionColumn``
+  (default ``rowid``, which is an index seek in SQLite), so a big table is read
+  by many tasks at once.  Rows come back as Arrow record batches.
+* ``option("catalog", "true")`` lists the schema objects instead
+  (``type, name, tbl_name, sql``), the equivalent of querying sqlite_master.
+
+Write: ``df.write.format("sqlite").option("path", folder).option("dbtable", t)``
+``.mode("overwrite"|"append").save()``
+
+* Every task writes its own shard file (SQLite has one writer per file); the
+  shard is built under a temporary name and renamed when complete.
+* The job commit writes ``_MANIFEST.<table>.json`` listing the shards of the
+  successful tasks (atomic rename), and readers read only listed shards: a
+  task retried after an executor loss, or a failed job, leaves no duplicate
+  or partial rows behind.
+"""
+
+from __future__ import annotations
+
+import glob
+import json
+import os
+import sqlite3
+import sys
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    InputPartition,
+    WriterCommitMessage,
+)
+
+CATALOG_SCHEMA = "type string, name string, tbl_name string, sql string"
+BATCH_ROWS = 10_000
+
+
+def spark_type_for(declared: str | None) -> T.DataType:
+    """SQLite's column affinity rules, mapped to Spark types."""
+    d = (declared or "").upper()
+    if "INT" in d:
+        return T.LongType()
+    if "CHAR" in d or "CLOB" in d or "TEXT" in d or d == "" or "BLOB" in d:
+        return T.StringType()
+    return T.DoubleType()  # REAL, FLOA, DOUB and NUMERIC affinity
+
+
+def sqlite_type_for(dt: T.DataType) -> str:
+    if isinstance(dt, (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
+        return "INTEGER"
+    if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return "REAL"
+    return "TEXT"
+
+
+def _q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _manifest(folder: str, table: str) -> str:
+    return os.path.join(folder, f"_MANIFEST.{table}.json")
+
+
+def list_files(path: str, table: str | None = None) -> list[str]:
+    """Files that hold ``table`` (or all committed files when ``table`` is None)."""
+    if not os.path.isdir(path):
+        return [path]
+    names: list[str] = []
+    manifests = ([_manifest(path, table)] if table
+                 else sorted(glob.glob(os.path.join(path, "_MANIFEST.*.json"))))
+    for m in manifests:
+        if os.path.exists(m):
+            with open(m) as fh:
+                names += json.load(fh)["files"]
+    if names:
+        return [os.path.join(path, n) for n in dict.fromkeys(names)]
+    return sorted(glob.glob(os.path.join(path, "*.sqlite")) + glob.glob(os.path.join(path, "*.db")))
+
+
+def _connect_ro(file: str) -> sqlite3.Connection:
+    return sqlite3.connect(f"file:{file}?mode=ro", uri=True)
+
+
+@dataclass
+class _Slice(InputPartition):
+    file: str
+    lo: int | None
+    hi: int | None          # exclusive
+    with_nulls: bool
+
+
+class SqliteDataSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "sqlite"
+
+    def _catalog(self) -> bool:
+        return self.options.get("catalog", "false").lower() == "true"
+
+    def schema(self):
+        if self._catalog():
+            return CATALOG_SCHEMA
+        table = self.options["dbtable"]
+        for f in list_files(self.options["path"], table):
+            with _connect_ro(f) as con:
+                info = con.execute(f"PRAGMA table_info({_q(table)})").fetchall()
+            if info:
+                return T.StructType([T.StructField(r[1], spark_type_for(r[2]), True) for r in info])
+        raise ValueError(f"table {table!r} not found under {self.options['path']!r}")
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return SqliteReader(dict(self.options), schema, self._catalog())
+
+    def writer(self, schema: T.StructType, overwrite: bool):
+        return SqliteWriter(dict(self.options), schema, overwrite)
+
+
+class SqliteReader(DataSourceReader):
+    def __init__(self, options: dict, schema: T.StructType, catalog: bool):
+        self.options = options
+        self.schema = schema
+        self.catalog = catalog
+        self.table = options.get("dbtable")
+        self.column = options.get("partitionColumn", "rowid")
+        self.parts = int(options.get("numPartitions", "4"))
+        self.where = options.get("where")  # optional SQL predicate run inside SQLite
+
+    def partitions(self):
+        files = list_files(self.options["path"], None if self.catalog else self.table)
+        if self.catalog:
+            return [_Slice(f, None, None, True) for f in files]
+        out = []
+        for f in files:
+            with _connect_ro(f) as con:
+                lo, hi = con.execute(
+                    f"SELECT min({_q(self.column)}), max({_q(self.column)}) FROM {_q(self.table)}"
+                ).fetchone()
+            if lo is None:
+                out.append(_Slice(f, None, None, True))
+                continue
+            lo, hi = int(lo), int(hi) + 1
+            step = max(1, -(-(hi - lo) // self.parts))
+            for i, start in enumerate(range(lo, hi, step)):
+                out.append(_Slice(f, start, min(start + step, hi), i == 0))
+        return out
+
+    def _sql(self, part: _Slice) -> tuple[str, list]:
+        if self.catalog:
+            return "SELECT type, name, tbl_name, sql FROM sqlite_master", []
+        cols = ", ".join(_q(f.name) for f in self.schema.fields)
+        conds, args = [], []
+        if part.lo is not None:
+            c = _q(self.column)
+            rng = f"({c} >= ? AND {c} < ?)"
+            conds.append(f"({rng} OR {c} IS NULL)" if part.with_nulls else rng)
+            args += [part.lo, part.hi]
+        if self.where:
+            conds.append(f"({self.where})")
+        where = f" WHERE {' AND '.join(conds)}" if conds else ""
+        return f"SELECT {cols} FROM {_q(self.table)}{where}", args
+
+    def read(self, partition: _Slice):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow_schema = to_arrow_schema(self.schema)
+        sql, args = self._sql(partition)
+        con = _connect_ro(partition.file)
+        try:
+            cur = con.execute(sql, args)
+            while True:
+                rows = cur.fetchmany(BATCH_ROWS)
+                if not rows:
+                    break
+                columns = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow_schema)],
+                    schema=arrow_schema,
+                )
+        finally:
+            con.close()
+
+
+@dataclass
+class SqliteCommit(WriterCommitMessage):
+    file: str
+    rows: int
+
+
+class SqliteWriter(DataSourceArrowWriter):
+    def __init__(self, options: dict, schema: T.StructType, overwrite: bool):
+        self.folder = options["path"]
+        self.table = options["dbtable"]
+        self.index_column = options.get("indexColumn")
+        self.schema = schema
+        self.overwrite = overwrite
+
+    def write(self, iterator):
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        pid = ctx.partitionId() if ctx else 0
+        os.makedirs(self.folder, exist_ok=True)
+        final = f"{self.table}-part-{pid:05d}-{uuid.uuid4().hex[:12]}.sqlite"
+        tmp = os.path.join(self.folder, f"_tmp-{final}.partial")
+        cols = ", ".join(f"{_q(f.name)} {sqlite_type_for(f.dataType)}" for f in self.schema.fields)
+        marks = ", ".join("?" for _ in self.schema.fields)
+        n = 0
+        con = sqlite3.connect(tmp)
+        try:
+            con.execute("PRAGMA journal_mode=OFF")
+            con.execute("PRAGMA synchronous=OFF")
+            con.execute(f"CREATE TABLE {_q(self.table)} ({cols})")
+            for batch in iterator:
+                rows = list(zip(*[c.to_pylist() for c in batch.columns]))
+                con.executemany(f"INSERT INTO {_q(self.table)} VALUES ({marks})", rows)
+                n += len(rows)
+            if self.index_column:
+                con.execute(f"CREATE INDEX {_q('ix_' + self.index_column)} "
+                            f"ON {_q(self.table)} ({_q(self.index_column)})")
+            con.commit()
+        finally:
+            con.close()
+        os.replace(tmp, os.path.join(self.folder, final))
+        return SqliteCommit(final, n)
+
+    def commit(self, messages):
+        files = [m.file for m in messages if m is not None]
+        manifest = _manifest(self.folder, self.table)
+        if not self.overwrite and os.path.exists(manifest):
+            with open(manifest) as fh:
+                files = json.load(fh)["files"] + files
+        os.makedirs(self.folder, exist_ok=True)
+        tmp = f"{manifest}.{uuid.uuid4().hex[:8]}.tmp"
+        with open(tmp, "w") as fh:
+            json.dump({"table": self.table, "files": files}, fh)
+        os.replace(tmp, manifest)
+
+    def abort(self, messages):
+        for m in messages:
+            if m is not None:
+                try:
+                    os.remove(os.path.join(self.folder, m.file))
+                except OSError:
+                    pass
+
+
+def register(spark: SparkSession) -> None:
+    """Register the ``sqlite`` format on ``spark``; the classes travel by value,
+    so executors need no install of this package."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(SqliteDataSource)
+
+
+def read_table(spark: SparkSession, path: str, table: str, num_partitions: int = 4,
+               partition_column: str = "rowid", schema: T.StructType | None = None):
+    """The whole table, read in ``num_partitions`` ranges per file."""
+    register(spark)
+    reader = (spark.read.format("sqlite").option("path", path).option("dbtable", table)
+              .option("numPartitions", str(num_partitions))
+              .option("partitionColumn", partition_column))
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load()
+
+
+def list_tables(spark: SparkSession, path: str):
+    """S2 + P6: names of the tables in the database (``type = 'table'``)."""
+    register(spark)
+    objects = spark.read.format("sqlite").option("path", path).option("catalog", "true").load()
+    return objects.where(objects["type"] == "table").select("name").distinct()
+
+
+def write_table(df, path: str, table: str, mode: str = "overwrite",
+                index_column: str | None = None) -> None:
+    register(df.sparkSession)
+    w = df.write.format("sqlite").option("path", path).option("dbtable", table).mode(mode)
+    if index_column:
+        w = w.option("indexColumn", index_column)
+    w.save()
