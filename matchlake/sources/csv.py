@@ -79,14 +79,19 @@ def read_staged(spark: SparkSession, path: str | list[str], schema: T.StructType
     type (a cell that does not parse fails the load).
     """
     raw = read_delimited(spark, path, text_schema(schema), dialect)
-    cols = []
-    for f in schema.fields:
-        c = F.col(f"`{f.name}`")
-        if blanks_as_null:
-            cols.append(load_rules(c, f.dataType, f.name, text_limit).alias(f.name))
-        else:
-            cols.append(c.cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    if not blanks_as_null:
+        return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+                            for f in schema.fields])
+    return apply_load_rules(raw, schema, text_limit)
+
+
+def apply_load_rules(raw: DataFrame, schema: T.StructType,
+                     text_limit: int | None = DEFAULT_TEXT_LIMIT) -> DataFrame:
+    """Text columns of ``raw`` -> typed columns of ``schema`` under the load rules."""
+    return raw.select(*[
+        load_rules(F.col(f"`{f.name}`"), f.dataType, f.name, text_limit).alias(f.name)
+        for f in schema.fields
+    ])
 
 
 INDEX_COLUMN = "_index"
