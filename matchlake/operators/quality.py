@@ -11,10 +11,10 @@ Scale notes:
 * Key checks group by the key with a map-side partial aggregate: a hot key
   (one value holding a third of the rows) is collapsed to one row per task
   before the shuffle.
-* Reference checks aggregate the child keys first (one row per distinct
-  key), then anti-join them against the parent keys.  The parent side is
-  broadcast only after its size is checked.  All foreign keys of one child
-  table come from a single scan of it.
+* Reference checks read the child once for all its references: rows are
+  unpivoted into (column, key) pairs and anti-joined once with the parents'
+  keys; only orphan pairs are counted.  The parent side is broadcast only
+  after its size is checked.
 """
 
 from __future__ import annotations
@@ -226,10 +226,12 @@ def fk_orphans(child: DataFrame, child_table: str, references: list[Reference],
     """Child key values (not NULL) with no parent row, with their row counts.
 
     Returns (child_table, child_column, parent_table, parent_column,
-    key_value, n_rows).  The child table is scanned once for all references:
-    each row is unpivoted into (column, key) pairs, which are counted per
-    distinct key (partial aggregate first), then each reference anti-joins its
-    slice of the counts with the parent keys.
+    key_value, n_rows).  One scan of the child serves every reference: each
+    row is unpivoted into (child_column, key) pairs and anti-joined once with
+    the parents' keys tagged the same way; only orphan pairs are counted.
+    The parent keys are broadcast when their size is checked small; else the
+    join shuffles on (child_column, key), and a hot key is split by AQE's
+    skew handling.
     """
     types = {child.schema[r.column].dataType for r in references}
     key_type = types.pop() if len(types) == 1 else None
@@ -240,22 +242,28 @@ def fk_orphans(child: DataFrame, child_table: str, references: list[Reference],
     pairs = child.select(F.inline(F.array(*[
         F.struct(F.lit(r.column).alias("child_column"), as_key(F.col(r.column)).alias("key"))
         for r in references
-    ])))
-    counted = (pairs.where(F.col("key").isNotNull())
+    ]))).where(F.col("key").isNotNull())
+    parents = reduce(DataFrame.unionByName, [
+        r.parent.select(F.lit(r.column).alias("child_column"),
+                        as_key(F.col(r.parent_column)).alias("key"))
+        .where(F.col("key").isNotNull())
+        for r in references
+    ])
+    orphans = (pairs.join(sized_broadcast(parents, broadcast_rows), ["child_column", "key"],
+                          "left_anti")
                .groupBy("child_column", "key").agg(F.count(F.lit(1)).alias("n_rows")))
-    parts = []
-    for r in references:
-        parent_keys = (r.parent.select(as_key(F.col(r.parent_column)).alias("_parent_key"))
-                       .where(F.col("_parent_key").isNotNull()))
-        slice_ = counted.where(F.col("child_column") == r.column)
-        orphans = slice_.join(sized_broadcast(parent_keys, broadcast_rows),
-                              F.col("key") == F.col("_parent_key"), "left_anti")
-        parts.append(orphans.select(
-            F.lit(child_table).alias("child_table"),
-            F.col("child_column"),
-            F.lit(r.parent_table).alias("parent_table"),
-            F.lit(r.parent_column).alias("parent_column"),
-            F.col("key").cast("string").alias("key_value"),
-            "n_rows",
-        ))
-    return reduce(DataFrame.unionByName, parts)
+
+    def lookup(attr: str) -> Column:
+        out = F.lit(None).cast("string")
+        for r in reversed(references):
+            out = F.when(F.col("child_column") == r.column, F.lit(getattr(r, attr))).otherwise(out)
+        return out
+
+    return orphans.select(
+        F.lit(child_table).alias("child_table"),
+        "child_column",
+        lookup("parent_table").alias("parent_table"),
+        lookup("parent_column").alias("parent_column"),
+        F.col("key").cast("string").alias("key_value"),
+        "n_rows",
+    )

@@ -118,11 +118,15 @@ class SqliteDataSource(DataSource):
                 return T.StructType([T.StructField(r[1], spark_type_for(r[2]), True) for r in info])
         raise ValueError(f"table {table!r} not found under {self.options['path']!r}")
 
+    def _opts(self) -> dict:
+        # Spark hands option keys over lower-cased; a plain dict keeps them so.
+        return {str(k).lower(): v for k, v in self.options.items()}
+
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return SqliteReader(dict(self.options), schema, self._catalog())
+        return SqliteReader(self._opts(), schema, self._catalog())
 
     def writer(self, schema: T.StructType, overwrite: bool):
-        return SqliteWriter(dict(self.options), schema, overwrite)
+        return SqliteWriter(self._opts(), schema, overwrite)
 
 
 class SqliteReader(DataSourceReader):
@@ -131,8 +135,8 @@ class SqliteReader(DataSourceReader):
         self.schema = schema
         self.catalog = catalog
         self.table = options.get("dbtable")
-        self.column = options.get("partitionColumn", "rowid")
-        self.parts = int(options.get("numPartitions", "4"))
+        self.column = options.get("partitioncolumn", "rowid")
+        self.parts = int(options.get("numpartitions", "4"))
         self.where = options.get("where")  # optional SQL predicate run inside SQLite
 
     def partitions(self):
@@ -201,7 +205,7 @@ class SqliteWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, schema: T.StructType, overwrite: bool):
         self.folder = options["path"]
         self.table = options["dbtable"]
-        self.index_column = options.get("indexColumn")
+        self.index_column = options.get("indexcolumn")
         self.schema = schema
         self.overwrite = overwrite
 

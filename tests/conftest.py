@@ -25,3 +25,14 @@ def tmp_dir(spark):
     from matchlake.session import work_dir
 
     return work_dir(spark, "test")
+
+
+def plan_text(df, mode: str = "formatted") -> str:
+    """The physical plan as ``df.explain`` prints it."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
