@@ -637,7 +637,8 @@ def q_stage_refresh(spark, sf_dir):
     its partitions replaced.  The table then equals a full rebuild."""
     m, lg = star.match(spark, sf_dir), star.league(spark, sf_dir)
     path = work_dir(spark, "stage-points")
-    files.write_parquet(P.team_stage_points(m, lg), path, partition_by=jobs.STAGE_PARTITIONS)
+    files.write_parquet(P.team_stage_points(m, lg), path, partition_by=jobs.STAGE_PARTITIONS,
+                        cluster=True)
     jobs.refresh_stage_points(jobs.latest_stage_matches(m), lg, path)
     return spark.read.schema(STAGE_POINTS_SCHEMA).parquet(path)
 

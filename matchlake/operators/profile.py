@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.plans.joins import sized_broadcast
+from matchlake.plans.joins import broadcast_if_small
 
 # Most candidate hash groups broadcast to the confirm step of the repeated-row
 # search; beyond it the exact direct grouping is used.
@@ -92,9 +92,9 @@ def repeated_groups(df: DataFrame,
                        F.hash(*_hash_input(df)).alias("_h2"))
     candidates = (hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
                   .where(F.col("_n") > 1).select("_h1", "_h2"))
-    small = sized_broadcast(candidates, broadcast_rows)
-    if small is not candidates:  # bounded: confirm only the candidate rows
-        source = hashed.join(small, ["_h1", "_h2"], "left_semi").select(*cols)
+    marked, small = broadcast_if_small(candidates, broadcast_rows, materialize=True)
+    if small:  # bounded: confirm only the rows of candidate groups
+        source = hashed.join(marked, ["_h1", "_h2"], "left_semi").select(*cols)
     else:
         source = df
     grouped = source.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_copies"))

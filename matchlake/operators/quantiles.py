@@ -37,6 +37,7 @@ class _Probe:
     lo: float | None          # open lower bound, None = -inf
     hi: float | None          # open upper bound, None = +inf
     below: int                # values <= lo
+    size: int                 # values inside (lo, hi)
     ranks: set[int] = field(default_factory=set)   # 0-based ranks still open
 
     def contains(self, v: Column) -> Column:
@@ -50,7 +51,7 @@ class _Probe:
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     buckets: int = 100, accuracy: int = 10_000,
-                    final_rows: int = 100_000, max_rounds: int = 16) -> dict:
+                    final_rows: int = 20_000, max_rounds: int = 16) -> dict:
     """{(column, prob): value} for numeric columns of ``df`` (NULLs ignored)."""
     if not columns:
         return {}
@@ -68,18 +69,17 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
             lo_r, hi_r = math.floor(h), math.ceil(h)
             wanted[(c, p)] = (lo_r, hi_r, h - lo_r)
             ranks.update((lo_r, hi_r))
-        probes.append(_Probe(c, None, None, 0, ranks))
+        probes.append(_Probe(c, None, None, 0, n[c], ranks))
     found: dict[tuple[str, int], float] = {}
-    sizes = {id(p): n[p.column] for p in probes}
 
     for _ in range(max_rounds):
         if not probes:
             break
-        small = [p for p in probes if sizes[id(p)] <= final_rows]
-        large = [p for p in probes if sizes[id(p)] > final_rows]
+        small = [p for p in probes if p.size <= final_rows]
+        large = [p for p in probes if p.size > final_rows]
         if small:
             _finish(df, small, found)
-        probes = _narrow(df, large, buckets, accuracy, found, sizes) if large else []
+        probes = _narrow(df, large, buckets, accuracy, found) if large else []
     if probes:  # did not converge: exact percentile on the remaining slices
         _finish(df, probes, found)
 
@@ -122,7 +122,7 @@ def _finish(df: DataFrame, probes: list[_Probe], found: dict) -> None:
 
 
 def _narrow(df: DataFrame, probes: list[_Probe], buckets: int, accuracy: int,
-            found: dict, sizes: dict) -> list[_Probe]:
+            found: dict) -> list[_Probe]:
     cut_probs = [j / buckets for j in range(1, buckets)]
     cuts_row = df.agg(*[
         F.percentile_approx(F.when(p.contains(F.col(f"`{p.column}`")), F.col(f"`{p.column}`")),
@@ -155,9 +155,7 @@ def _narrow(df: DataFrame, probes: list[_Probe], buckets: int, accuracy: int,
             k_open = h.get((j, False), 0)
             inside = {r for r in p.ranks if seen <= r < seen + k_open}
             if inside:
-                q = _Probe(p.column, bounds[j], bounds[j + 1], seen, inside)
-                sizes[id(q)] = k_open
-                nxt.append(q)
+                nxt.append(_Probe(p.column, bounds[j], bounds[j + 1], seen, k_open, inside))
             seen += k_open
             if j < len(c):
                 k_eq = h.get((j, True), 0)

@@ -98,7 +98,8 @@ STAGE_PARTITIONS = ["season", "stage"]
 def latest_stage_matches(match: DataFrame, broadcast_rows: int | None = 100_000) -> DataFrame:
     """Matches of the last stage of each season (the stage that just finished)."""
     last = match.groupBy("season").agg(F.max("stage").alias("stage"))
-    return match.join(sized_broadcast(last, broadcast_rows), ["season", "stage"], "left_semi")
+    return match.join(sized_broadcast(last, broadcast_rows, materialize=True),
+                      ["season", "stage"], "left_semi")
 
 
 def refresh_stage_points(match_changed: DataFrame, league: DataFrame, path: str) -> None:
@@ -107,4 +108,5 @@ def refresh_stage_points(match_changed: DataFrame, league: DataFrame, path: str)
 
     ``match_changed`` must hold every match of each stage it touches.
     """
-    overwrite_partitions(team_stage_points(match_changed, league), path, STAGE_PARTITIONS)
+    overwrite_partitions(team_stage_points(match_changed, league), path, STAGE_PARTITIONS,
+                         cluster=True)

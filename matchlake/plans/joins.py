@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.session import ensure_checkpoint_dir
+
 # Largest dimension broadcast to every executor.  A league/country/team table
 # has tens to thousands of rows; anything bigger goes the shuffle way.
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                    materialize: bool = False) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
 
     The check is a bounded action (``limit(max_rows + 1).count()``), so it
@@ -18,8 +21,22 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS
     bound the side is returned unmarked and the planner (with AQE) picks a
     sort-merge or shuffled hash join.  ``max_rows=None`` skips the check and
     leaves the choice to the planner's own size estimate.
+
+    ``materialize=True`` is for a derived side (an aggregate, a filter of a
+    big table): it is checkpointed to the shared checkpoint folder first, so
+    the size check and the join read the same stored rows instead of
+    computing the side twice.
     """
+    return broadcast_if_small(df, max_rows, materialize)[0]
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                       materialize: bool = False) -> tuple[DataFrame, bool]:
+    """``sized_broadcast`` that also says whether the side was marked."""
     if max_rows is None:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+        return df, False
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return (F.broadcast(df) if small else df), small

@@ -34,23 +34,32 @@ def write_indexed(df: DataFrame, path: str, order_by: str | list[str] = "id",
     indexed.select(*cols).write.mode(mode).options(**dialect.options()).csv(path)
 
 
+def _clustered(df: DataFrame, partition_by: list[str] | None, cluster: bool) -> DataFrame:
+    """With ``cluster``, rows of one partition folder go to one task, so each
+    folder gets one file instead of one per task.  Meant for aggregated
+    outputs, whose folders are bounded in size; a raw fact table keeps its
+    own partitioning (a hot folder would otherwise land on one task)."""
+    return df.repartition(*partition_by) if cluster and partition_by else df
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> None:
+                  partition_by: list[str] | None = None, cluster: bool = False) -> None:
     """Parquet, optionally laid out in folders per partition value
     (``season=2008%2F2009/``) so filters on those columns prune whole folders."""
-    w = df.write.mode(mode)
+    w = _clustered(df, partition_by, cluster).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
+                         cluster: bool = False) -> None:
     """Replace only the partitions present in ``df``; all others stay.
 
     Dynamic partition overwrite, set on this write only (the session setting
     is left alone).
     """
-    (df.write.mode("overwrite")
+    (_clustered(df, partition_by, cluster).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by)
      .parquet(path))

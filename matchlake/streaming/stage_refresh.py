@@ -4,11 +4,12 @@ The source pipeline refreshes weekly, "once all matches of the stage are
 completed".  As a stream: new Match files are picked up by a file source and
 each micro-batch
 
-1. stores its matches under ``processed/`` partitioned by (season,
-   league_id, epoch) -- an overwrite of exactly this epoch's partitions, so a
-   replayed epoch after a failure writes the same files again (idempotent);
-2. finds the (league, season) pairs it touched and re-reads only those
-   partitions of ``processed/`` (partition filters on the semi-join keys);
+1. stores its matches under ``processed/`` partitioned by (season, epoch)
+   -- an overwrite of exactly this epoch's partitions, so a replayed epoch
+   after a failure writes the same files again (idempotent);
+2. finds the (league, season) pairs it touched and re-reads only the
+   matching rows of ``processed/`` (the semi-join on season prunes whole
+   season folders);
 3. recomputes their standings and replaces exactly those (season, league_id)
    partitions of the output with a dynamic partition overwrite.
 
@@ -51,9 +52,8 @@ STANDINGS = T.StructType([
 ])
 
 PROCESSED = T.StructType(
-    [f for f in MATCH_COLUMNS.fields if f.name not in ("season", "league_id")]
-    + [T.StructField("season", T.StringType()), T.StructField("league_id", T.LongType()),
-       T.StructField("epoch", T.LongType())]
+    [f for f in MATCH_COLUMNS.fields if f.name != "season"]
+    + [T.StructField("season", T.StringType()), T.StructField("epoch", T.LongType())]
 )
 
 
@@ -67,10 +67,11 @@ def start(spark: SparkSession, landing: str, league: DataFrame, processed: str,
 
     def refresh(batch: DataFrame, epoch_id: int) -> None:
         overwrite_partitions(batch.withColumn("epoch", F.lit(epoch_id).cast("bigint")),
-                             processed, ["season", "league_id", "epoch"])
+                             processed, ["season", "epoch"])
         touched = batch.select("league_id", "season").distinct()
         matches = (spark.read.schema(PROCESSED).parquet(processed)
-                   .join(sized_broadcast(touched), ["league_id", "season"], "left_semi"))
+                   .join(sized_broadcast(touched, materialize=True),
+                         ["league_id", "season"], "left_semi"))
         standings = league_table_by_stage(team_stage_points(matches, league))
         overwrite_partitions(standings, output, ["season", "league_id"])
 
