@@ -553,10 +553,9 @@ FROM (
 
 @register("dtype_mapping", _pandas_dtype_sql())
 def q_dtype_mapping(spark, sf_dir):
-    """F7 + S7: the dtypes pandas gives each Match column when it reads the
-    table, and the Spark type the dtype rule maps them to.  Batches are turned
-    into pandas frames on the executors (Arrow); only one row per column and
-    batch comes back."""
+    """F7 + S7: the dtype pandas gives each Match column when it reads the
+    table, and the Spark type the dtype rule maps it to; one aggregate over
+    the table decides which integer columns read as float64."""
     from matchlake.operators.dtype_profile import pandas_dtypes
 
     return pandas_dtypes(star.match(spark, sf_dir))
@@ -603,8 +602,8 @@ def q_sqlite_scan(spark, sf_dir):
     m = star.match(spark, sf_dir)
     root = work_dir(spark, "sqlite-scan")
     sqlite.write_table(m, f"{root}/database", "Match")
-    src = sqlite.read_table(spark, f"{root}/database", "Match", num_partitions=4, schema=m.schema)
-    files.write_parquet(src, f"{root}/lake/Match")
+    jobs.extract_table(spark, f"{root}/database", "Match", f"{root}/lake/Match",
+                       num_partitions=4, schema=m.schema)
     return read_parquet(spark, f"{root}/lake/Match", m.schema)
 
 

@@ -1,49 +1,48 @@
-"""The pandas dtype of every column of a table, and its Spark type by the dtype rule.
+"""The dtype pandas gives every column of a table, and its Spark type by the dtype rule.
 
 The source pipeline reads each table into pandas and maps the resulting
-dtypes to Spark types.  Here the table stays distributed: ``mapInPandas``
-turns each Arrow batch into a pandas frame on the executors, notes the dtype
-of each column in that batch and maps it with the rule; the per-batch rows
-(one per column) are combined by a small aggregate.  An integer column with a
-NULL in any batch reads as float64, as it would if pandas held the whole table.
+dtypes to Spark types (F7).  The only thing about the data that decides a
+dtype is whether an integer column holds a NULL (pandas then reads it as
+float64), so one JVM aggregate over the table is enough; the table is never
+converted to pandas.  The dtype and the mapped type are Column expressions
+built from the same rule table (``matchlake.functions.dtypes``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from matchlake.functions.dtypes import equivalent_type
+from matchlake.functions.dtypes import DTYPE_TO_SPARK, equivalent_type, spark_to_pandas_dtype
 
-OUT_SCHEMA = "column_name string, position int, pandas_dtype string, spark_type string, rank int"
 
-# Which dtype wins when batches disagree: a wider dtype holds every narrower one.
-DTYPE_RANK = {"int32": 1, "int64": 2, "float64": 3, "datetime64[ns]": 4, "object": 5}
+def _dtype_expr(dt: T.DataType, nulls: Column) -> Column:
+    with_nulls, without = spark_to_pandas_dtype(dt, True), spark_to_pandas_dtype(dt, False)
+    if with_nulls == without:
+        return F.lit(without)
+    return F.when(nulls > 0, F.lit(with_nulls)).otherwise(F.lit(without))
 
 
-def _batch_dtypes(columns: list[str]):
-    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            names = [str(pdf[c].dtype) for c in columns]
-            yield pd.DataFrame({
-                "column_name": columns,
-                "position": list(range(1, len(columns) + 1)),
-                "pandas_dtype": names,
-                "spark_type": [equivalent_type(d).simpleString() for d in names],
-                "rank": [DTYPE_RANK.get(d, 5) for d in names],
-            })
-    return per_batch
+def _rule_expr(dtype: Column) -> Column:
+    """F7 as an expression: known dtype names map by the table, others to string."""
+    out = F.lit(equivalent_type("object").simpleString())
+    for name, spark_type in DTYPE_TO_SPARK.items():
+        out = F.when(dtype == F.lit(name), F.lit(spark_type.simpleString())).otherwise(out)
+    return out
 
 
 def pandas_dtypes(df: DataFrame) -> DataFrame:
     """(column_name, position, pandas_dtype, spark_type) for every column of ``df``."""
-    per_batch = df.mapInPandas(_batch_dtypes(df.columns), OUT_SCHEMA)
-    widest = per_batch.groupBy("column_name", "position").agg(
-        F.max_by(F.struct("pandas_dtype", "spark_type"), F.col("rank")).alias("w")
-    )
-    return widest.select("column_name", "position", "w.pandas_dtype", "w.spark_type")
+    fields = df.schema.fields
+    nulls = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_n{i}")
+                     for i, f in enumerate(fields)])
+    rows = nulls.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(i + 1).alias("position"),
+            _dtype_expr(f.dataType, F.col(f"_n{i}")).alias("pandas_dtype"),
+        )
+        for i, f in enumerate(fields)
+    ])))
+    return rows.withColumn("spark_type", _rule_expr(F.col("pandas_dtype")))

@@ -51,13 +51,13 @@ def points_job(spark: SparkSession, match_path: str, league_path: str, out_path:
 
 def extract_table(spark: SparkSession, database: str, table: str, out_path: str,
                   fmt: str = "parquet", num_partitions: int = 8,
-                  dialect: Dialect = EXTRACT) -> DataFrame:
+                  dialect: Dialect = EXTRACT, schema: T.StructType | None = None) -> DataFrame:
     """One source table -> one landing dataset, read in parallel id ranges.
 
     Parquet is the default landing format; ``fmt="csv"`` writes the ';' text
-    files that the staged load reads.
+    files that the staged load reads.  Without ``schema`` the columns are
+    typed from the SQLite declarations.
     """
-    schema = TABLES[table].schema if table in TABLES else None
     df = sqlite.read_table(spark, database, table, num_partitions=num_partitions, schema=schema)
     if fmt == "csv":
         write_delimited(df, out_path, dialect)
