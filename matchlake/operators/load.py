@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlake.functions.rules import quote_name
 from matchlake.schemas import TABLES, TableDef, ddl
 from matchlake.session import work_dir
 
@@ -61,11 +62,11 @@ class Warehouse:
             raise ValueError(f"{len(df.columns)} columns given for {len(fields)} fields")
         source = dict(zip(fields, df.columns))
         row = [
-            (F.col(f"`{source[f.name]}`") if f.name in source else F.lit(None))
-            .cast(f.dataType).alias(f.name)
+            f"CAST({quote_name(source[f.name]) if f.name in source else 'NULL'} AS "
+            f"{f.dataType.simpleString()}) AS {quote_name(f.name)}"
             for f in target.schema.fields
         ]
-        df.select(*row).write.insertInto(self.name(table), overwrite=not append_only)
+        df.selectExpr(*row).write.insertInto(self.name(table), overwrite=not append_only)
 
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchlake.functions.rules import quote_name
 from matchlake.operators.load import Warehouse
 from matchlake.operators.points import points_result, team_stage_points
 from matchlake.operators.quality import Check, non_empty_checks, run_checks
@@ -26,8 +27,9 @@ from matchlake.sources.parquet import read_parquet
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """All columns of ``schema`` in its order; columns ``df`` lacks are NULL."""
     have = set(df.columns)
-    return df.select(*[
-        (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.selectExpr(*[
+        f"CAST({quote_name(f.name) if f.name in have else 'NULL'} AS "
+        f"{f.dataType.simpleString()}) AS {quote_name(f.name)}"
         for f in schema.fields
     ])
 

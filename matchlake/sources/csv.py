@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.functions.rules import load_rules
+from matchlake.functions.rules import load_rule_sql, quote_name
 from matchlake.schemas import DEFAULT_TEXT_LIMIT
 
 
@@ -80,18 +80,16 @@ def read_staged(spark: SparkSession, path: str | list[str], schema: T.StructType
     """
     raw = read_delimited(spark, path, text_schema(schema), dialect)
     if not blanks_as_null:
-        return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
-                            for f in schema.fields])
+        return raw.selectExpr(*[f"CAST({quote_name(f.name)} AS {f.dataType.simpleString()}) "
+                                f"AS {quote_name(f.name)}" for f in schema.fields])
     return apply_load_rules(raw, schema, text_limit)
 
 
 def apply_load_rules(raw: DataFrame, schema: T.StructType,
                      text_limit: int | None = DEFAULT_TEXT_LIMIT) -> DataFrame:
-    """Text columns of ``raw`` -> typed columns of ``schema`` under the load rules."""
-    return raw.select(*[
-        load_rules(F.col(f"`{f.name}`"), f.dataType, f.name, text_limit).alias(f.name)
-        for f in schema.fields
-    ])
+    """Text columns of ``raw`` -> typed columns of ``schema`` under the load rules
+    (one ``selectExpr``: the projection is built on the JVM side in one call)."""
+    return raw.selectExpr(*[load_rule_sql(f.name, f.dataType, text_limit) for f in schema.fields])
 
 
 INDEX_COLUMN = "_index"
