@@ -207,3 +207,31 @@ def test_fk_checks_scan_the_child_once(spark):
             Reference("country_id", t["Country"], "Country", "id")]
     plan = plan_text(fk_orphans(t["Match"], "Match", refs), "simple")
     assert plan.count("orders.parquet") == 1  # one scan of the child for both references
+
+
+# --- hot keys: one value holds a third of the rows ----------------------------------
+
+def test_hot_repeated_row_comes_back_as_one_line(spark):
+    n = 3000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.lit("cold")).alias("s"))
+    rows = repeated_groups(df.repartition(8)).collect()
+    assert [(r.k, r.s, r.n_copies) for r in rows] == [(-1, "hot", n // 3)]
+    (row,) = duplicate_rows(df, "t").collect()
+    assert row.duplicate_rows == n // 3 - 1 and row.row_count == n
+
+
+def test_hot_league_standings_are_whole(spark):
+    m = star.match(spark, SF_SMALL)
+    hot = m.withColumn("league_id", F.when(F.col("id") % 3 == 0, F.lit(0).cast("bigint"))
+                       .otherwise(F.col("league_id")))
+    lg = star.league(spark, SF_SMALL)
+    pts = P.team_stage_points(hot, lg)
+    played = pts.agg(F.sum("played")).first()[0]
+    scored = (hot.join(lg.select(F.col("id").alias("league_id")), "league_id")
+              .where(F.col("home_team_goal").isNotNull() & F.col("away_team_goal").isNotNull())
+              .count())
+    assert played == 2 * scored
+    table = P.league_table_by_stage(pts)
+    assert table.count() == pts.count()
