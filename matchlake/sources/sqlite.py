@@ -87,6 +87,17 @@ def list_files(path: str, table: str | None = None) -> list[str]:
     return sorted(glob.glob(os.path.join(path, "*.sqlite")) + glob.glob(os.path.join(path, "*.db")))
 
 
+def manifest_rows(path: str, table: str) -> dict[str, int]:
+    """Row count of each committed shard of ``table``, as its writer recorded it
+    (shards written here hold rowids 1..rows)."""
+    m = _manifest(path, table) if os.path.isdir(path) else None
+    if not m or not os.path.exists(m):
+        return {}
+    with open(m) as fh:
+        rows = json.load(fh).get("rows", {})
+    return {os.path.join(path, f): int(n) for f, n in rows.items()}
+
+
 def _connect_ro(file: str) -> sqlite3.Connection:
     return sqlite3.connect(f"file:{file}?mode=ro", uri=True)
 
@@ -143,12 +154,19 @@ class SqliteReader(DataSourceReader):
         files = list_files(self.options["path"], None if self.catalog else self.table)
         if self.catalog:
             return [_Slice(f, None, None, True) for f in files]
+        # Shards written by this source are planned from the manifest alone;
+        # other files are asked for their key range (an index seek each).
+        known = manifest_rows(self.options["path"], self.table) if self.column == "rowid" else {}
         out = []
         for f in files:
-            with _connect_ro(f) as con:
-                lo, hi = con.execute(
-                    f"SELECT min({_q(self.column)}), max({_q(self.column)}) FROM {_q(self.table)}"
-                ).fetchone()
+            if f in known:
+                lo, hi = (1, known[f]) if known[f] else (None, None)
+            else:
+                with _connect_ro(f) as con:
+                    lo, hi = con.execute(
+                        f"SELECT min({_q(self.column)}), max({_q(self.column)}) "
+                        f"FROM {_q(self.table)}"
+                    ).fetchone()
             if lo is None:
                 out.append(_Slice(f, None, None, True))
                 continue
@@ -239,15 +257,19 @@ class SqliteWriter(DataSourceArrowWriter):
         return SqliteCommit(final, n)
 
     def commit(self, messages):
-        files = [m.file for m in messages if m is not None]
+        done = [m for m in messages if m is not None]
+        files = [m.file for m in done]
+        rows = {m.file: m.rows for m in done}
         manifest = _manifest(self.folder, self.table)
         if not self.overwrite and os.path.exists(manifest):
             with open(manifest) as fh:
-                files = json.load(fh)["files"] + files
+                old = json.load(fh)
+            files = old["files"] + files
+            rows = {**old.get("rows", {}), **rows}
         os.makedirs(self.folder, exist_ok=True)
         tmp = f"{manifest}.{uuid.uuid4().hex[:8]}.tmp"
         with open(tmp, "w") as fh:
-            json.dump({"table": self.table, "files": files}, fh)
+            json.dump({"table": self.table, "files": files, "rows": rows}, fh)
         os.replace(tmp, manifest)
 
     def abort(self, messages):
