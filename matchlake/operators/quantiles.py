@@ -55,9 +55,14 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     """{(column, prob): value} for numeric columns of ``df`` (NULLs ignored)."""
     if not columns:
         return {}
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}")
-                      for i, c in enumerate(columns)]).first()
-    n = {c: counts[f"_n{i}"] for i, c in enumerate(columns)}
+    # One pass gives every column's count and its first cut points.
+    cut_probs = [j / buckets for j in range(1, buckets)]
+    first = df.agg(*[e for i, c in enumerate(columns) for e in (
+        F.count(F.col(f"`{c}`")).alias(f"_n{i}"),
+        F.percentile_approx(F.col(f"`{c}`"), cut_probs, accuracy).alias(f"_q{i}"),
+    )]).first()
+    n = {c: first[f"_n{i}"] for i, c in enumerate(columns)}
+    first_cuts = {c: sorted(set(first[f"_q{i}"] or [])) for i, c in enumerate(columns)}
     wanted: dict[tuple[str, float], tuple[int, int, float]] = {}
     probes: list[_Probe] = []
     for c in columns:
@@ -79,7 +84,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
         large = [p for p in probes if p.size > final_rows]
         if small:
             _finish(df, small, found)
-        probes = _narrow(df, large, buckets, accuracy, found) if large else []
+        probes = _narrow(df, large, buckets, accuracy, found, first_cuts) if large else []
+        first_cuts = None
     if probes:  # did not converge: exact percentile on the remaining slices
         _finish(df, probes, found)
 
@@ -102,7 +108,7 @@ def _tagged(df: DataFrame, probes: list[_Probe], value: str = "v") -> DataFrame:
                  p.contains(F.col(f"`{p.column}`")).alias("hit"))
         for i, p in enumerate(probes)
     ])
-    return df.select(F.inline(F.filter(items, lambda s: s["hit"]))).select("probe", value)
+    return df.select(F.inline(items)).where(F.col("hit")).select("probe", value)
 
 
 def _finish(df: DataFrame, probes: list[_Probe], found: dict) -> None:
@@ -122,23 +128,28 @@ def _finish(df: DataFrame, probes: list[_Probe], found: dict) -> None:
 
 
 def _narrow(df: DataFrame, probes: list[_Probe], buckets: int, accuracy: int,
-            found: dict) -> list[_Probe]:
-    cut_probs = [j / buckets for j in range(1, buckets)]
-    cuts_row = df.agg(*[
-        F.percentile_approx(F.when(p.contains(F.col(f"`{p.column}`")), F.col(f"`{p.column}`")),
-                            cut_probs, accuracy).alias(f"_q{i}")
-        for i, p in enumerate(probes)
-    ]).first()
-    cuts = [sorted(set(cuts_row[f"_q{i}"] or [])) for i in range(len(probes))]
+            found: dict, first_cuts: dict | None = None) -> list[_Probe]:
+    if first_cuts is not None:  # first round: whole columns, cuts already known
+        cuts = [first_cuts[p.column] for p in probes]
+    else:
+        cut_probs = [j / buckets for j in range(1, buckets)]
+        cuts_row = df.agg(*[
+            F.percentile_approx(F.when(p.contains(F.col(f"`{p.column}`")),
+                                       F.col(f"`{p.column}`")),
+                                cut_probs, accuracy).alias(f"_q{i}")
+            for i, p in enumerate(probes)
+        ]).first()
+        cuts = [sorted(set(cuts_row[f"_q{i}"] or [])) for i in range(len(probes))]
 
     tagged = _tagged(df, probes)
-    cut_arrays = F.array(*[F.array(*[F.lit(float(x)) for x in c] or [F.lit(None).cast("double")])
-                           for c in cuts])
-    my_cuts = F.element_at(cut_arrays, F.col("probe") + 1)
-    bucketed = tagged.select(
-        "probe",
-        F.size(F.filter(my_cuts, lambda x: x < F.col("v"))).alias("b"),
-        F.array_contains(my_cuts, F.col("v")).alias("eq"),
+    # Bucket of v = number of cut points below v, by a binary search written
+    # as nested CASE (about log2(buckets) comparisons, compiled), then whether
+    # v equals the cut point at that bucket.
+    by_probe = " ".join(f"WHEN {i} THEN {_search(c, 0, len(c))}" for i, c in enumerate(cuts))
+    arrays = "array(" + ", ".join(_double_array(c) for c in cuts) + ")"
+    bucketed = tagged.selectExpr("probe", "v", f"CASE probe {by_probe} END AS b").selectExpr(
+        "probe", "b",
+        f"coalesce(try_element_at(element_at({arrays}, probe + 1), b + 1) = v, false) AS eq",
     )
     hist = bucketed.groupBy("probe", "b", "eq").agg(F.count(F.lit(1)).alias("k")).collect()
     per_probe: dict[int, dict[tuple[int, bool], int]] = {}
@@ -163,3 +174,21 @@ def _narrow(df: DataFrame, probes: list[_Probe], buckets: int, accuracy: int,
                     found[(p.column, r)] = c[j]
                 seen += k_eq
     return nxt
+
+
+def _double(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
+def _double_array(values: list[float]) -> str:
+    return "array(" + ", ".join(_double(x) for x in values) + ")" if values \
+        else "array(CAST(NULL AS DOUBLE))"
+
+
+def _search(cuts: list[float], lo: int, hi: int) -> str:
+    """SQL for the count of ``cuts`` below ``v``, known to lie in [lo, hi]."""
+    if lo >= hi:
+        return str(lo)
+    mid = (lo + hi) // 2
+    return (f"CASE WHEN v > {_double(cuts[mid])} THEN {_search(cuts, mid + 1, hi)} "
+            f"ELSE {_search(cuts, lo, mid)} END")
