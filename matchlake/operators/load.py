@@ -12,7 +12,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from matchlake.functions.rules import quote_name
 from matchlake.schemas import TABLES, TableDef, ddl
