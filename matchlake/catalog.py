@@ -686,3 +686,32 @@ def q_full_refresh(spark, sf_dir):
     for _ in range(2):
         jobs.full_refresh(spark, wh, staged, points)
     return Q.row_counts({n: wh.table(n) for n in STAR_NAMES + ["Team_Attributes", "Point"]})
+
+
+# =============================================================================
+# Data dictionary (K11 with A3)
+# =============================================================================
+
+def _dictionary_sql() -> str:
+    t = TABLES["Player"]
+    rows = []
+    for f in t.schema.fields:
+        comment = t.comments.get(f.name)
+        comment_sql = "CAST(NULL AS VARCHAR)" if comment is None else \
+            "'" + comment.replace("'", "''") + "'"
+        rows.append(f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+                    f"{comment_sql} AS comment, "
+                    f"CAST(count(*) FILTER (WHERE {f.name} IS NULL) AS BIGINT) AS null_count "
+                    f"FROM player")
+    return O.with_star("\nUNION ALL\n".join(rows), tables=["player"])
+
+
+@register("column_comments", _dictionary_sql())
+def q_column_comments(spark, sf_dir):
+    """Player created with its column comments, loaded from the customer
+    table; the comments are read back from the table definition next to each
+    column's NULL count over the loaded rows."""
+    wh = Warehouse(spark)
+    wh.create("Player")
+    wh.load(star.player(spark, sf_dir), "Player")
+    return wh.dictionary("Player")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from matchlake.functions.rules import quote_name
 from matchlake.schemas import TABLES, TableDef, ddl
@@ -74,6 +75,21 @@ class Warehouse:
         """The data dictionary, read back from the table definition."""
         return self.spark.sql(f"DESCRIBE TABLE {self.name(table)}")
 
+    def dictionary(self, table: str) -> DataFrame:
+        """Each column with its type and comment (from the table definition)
+        and its NULL count over the loaded rows (one aggregate).
+
+        Returns (column_name, data_type, comment, null_count).  The join is
+        between two tables of one row per column.
+        """
+        from matchlake.operators.profile import null_profile
+
+        described = self.comments(table).select(
+            F.col("col_name").alias("column_name"), F.col("data_type"), F.col("comment"))
+        nulls = null_profile(self.table(table), table).select("column_name", "null_count")
+        return described.join(nulls, "column_name", "inner").select(
+            "column_name", "data_type", "comment", "null_count")
+
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """K9: make ``df`` queryable by name from SQL text."""
