@@ -84,11 +84,14 @@ def team_match_points(match: DataFrame, league: DataFrame,
     )
 
 
-def team_stage_points(match: DataFrame, league: DataFrame,
-                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Per team and stage (a league week): games, wins, draws, losses, goals, points."""
+STAGE_KEYS = ["league_id", "season", "stage", "team_api_id"]
+
+
+def stage_totals(match: DataFrame) -> DataFrame:
+    """Per (league_id, season, stage, team_api_id): the additive metrics of D2,
+    before any league lookup.  Partial aggregate map-side, one shuffle."""
     rows = _team_rows(match)
-    per_stage = rows.groupBy("league_id", "season", "stage", "team_api_id").agg(
+    return rows.groupBy(*STAGE_KEYS).agg(
         F.count(F.lit(1)).alias("played"),
         F.count_if(F.col("points") == 3).alias("wins"),
         F.count_if(F.col("points") == 1).alias("draws"),
@@ -97,13 +100,32 @@ def team_stage_points(match: DataFrame, league: DataFrame,
         F.sum("goals_against").alias("goals_against"),
         F.sum("points").alias("points"),
     )
-    # Join the name after the aggregate: the join sees one row per team and
-    # stage instead of one per match; unknown leagues drop out here.
-    named = per_stage.join(_league_names(league, broadcast_rows),
-                           F.col("league_id") == F.col("_league_key"), "inner")
+
+
+def merge_stage_totals(partials: DataFrame) -> DataFrame:
+    """Sum partial ``stage_totals`` (e.g. one per micro-batch): every metric is additive."""
+    return partials.groupBy(*STAGE_KEYS).agg(
+        *[F.sum(m).cast("bigint").alias(m) for m in STAGE_METRICS])
+
+
+def name_stages(totals: DataFrame, league: DataFrame,
+                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Attach the league name; unknown leagues drop out (inner join)."""
+    named = totals.join(_league_names(league, broadcast_rows),
+                        F.col("league_id") == F.col("_league_key"), "inner")
     return named.select("league_id", "name", "season", "stage", "team_api_id", *STAGE_METRICS)
 
 
+def team_stage_points(match: DataFrame, league: DataFrame,
+                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Per team and stage (a league week): games, wins, draws, losses, goals, points.
+
+    The name is joined after the aggregate: the join sees one row per team and
+    stage instead of one per match.
+    """
+    return name_stages(stage_totals(match), league, broadcast_rows)
+
+
 # The tie-break of the standings is our choice (the source names none):
 # points, then goal difference, then goals scored, all descending.
 STANDING_ORDER = ["points", "goal_difference", "goals_for"]

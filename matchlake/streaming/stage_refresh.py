@@ -4,12 +4,14 @@ The source pipeline refreshes weekly, "once all matches of the stage are
 completed".  As a stream: new Match files are picked up by a file source and
 each micro-batch
 
-1. stores its matches under ``processed/`` partitioned by (season, epoch)
-   -- an overwrite of exactly this epoch's partitions, so a replayed epoch
-   after a failure writes the same files again (idempotent);
-2. finds the (league, season) pairs it touched and re-reads only the
-   matching rows of ``processed/`` (the semi-join on season prunes whole
-   season folders);
+1. reduces its matches to per-(league, season, stage, team) totals and
+   stores them under ``processed/`` partitioned by (season, epoch) -- an
+   overwrite of exactly this epoch's partitions, so a replayed epoch after a
+   failure writes the same files again (idempotent);
+2. finds the (league, season) pairs it touched and re-sums the stored
+   totals of those pairs over all epochs (all metrics are additive; the
+   semi-join on season prunes whole season folders).  What is re-read is
+   teams x stages rows, however many matches the season holds;
 3. recomputes their standings and replaces exactly those (season, league_id)
    partitions of the output with a dynamic partition overwrite.
 
@@ -24,7 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from matchlake.operators.points import league_table_by_stage, team_stage_points
+from matchlake.operators.points import (
+    league_table_by_stage,
+    merge_stage_totals,
+    name_stages,
+    stage_totals,
+)
 from matchlake.plans.joins import sized_broadcast
 from matchlake.sinks.files import overwrite_partitions
 
@@ -51,10 +58,15 @@ STANDINGS = T.StructType([
     T.StructField("league_id", T.LongType()),
 ])
 
-PROCESSED = T.StructType(
-    [f for f in MATCH_COLUMNS.fields if f.name != "season"]
-    + [T.StructField("season", T.StringType()), T.StructField("epoch", T.LongType())]
-)
+PROCESSED = T.StructType([
+    T.StructField("league_id", T.LongType()),
+    T.StructField("stage", T.IntegerType()),
+    T.StructField("team_api_id", T.LongType()),
+    *[T.StructField(c, T.LongType()) for c in
+      ["played", "wins", "draws", "losses", "goals_for", "goals_against", "points"]],
+    T.StructField("season", T.StringType()),
+    T.StructField("epoch", T.LongType()),
+])
 
 
 def start(spark: SparkSession, landing: str, league: DataFrame, processed: str, output: str,
@@ -66,13 +78,13 @@ def start(spark: SparkSession, landing: str, league: DataFrame, processed: str,
               .parquet(landing))
 
     def refresh(batch: DataFrame, epoch_id: int) -> None:
-        overwrite_partitions(batch.withColumn("epoch", F.lit(epoch_id).cast("bigint")),
-                             processed, ["season", "epoch"])
+        totals = stage_totals(batch).withColumn("epoch", F.lit(epoch_id).cast("bigint"))
+        overwrite_partitions(totals, processed, ["season", "epoch"])
         touched = batch.select("league_id", "season").distinct()
-        matches = (spark.read.schema(PROCESSED).parquet(processed)
-                   .join(sized_broadcast(touched, materialize=True),
-                         ["league_id", "season"], "left_semi"))
-        standings = league_table_by_stage(team_stage_points(matches, league))
+        stored = (spark.read.schema(PROCESSED).parquet(processed)
+                  .join(sized_broadcast(touched, materialize=True),
+                        ["league_id", "season"], "left_semi"))
+        standings = league_table_by_stage(name_stages(merge_stage_totals(stored), league))
         overwrite_partitions(standings, output, ["season", "league_id"])
 
     writer = (stream.writeStream.foreachBatch(refresh)
