@@ -69,8 +69,10 @@ MATCH_VIEW_TYPES = ["bigint", "bigint", "bigint", "string", "int", "string", "bi
                     "bigint", "bigint", "int", "int"]
 PLAYER_ATTR_NUMERIC = ["id", "player_fifa_api_id", "player_api_id", "overall_rating", "potential"]
 LEAGUE_MATCH = ["league", "match"]
-STAR_NAMES = ["Country", "League", "Team", "Player", "Player_Attributes", "Match"]
-STAR_VIEW = {"Country": "country", "League": "league", "Team": "team", "Player": "player",
+STAR_NAMES = ["Country", "League", "Team", "Team_Attributes", "Player", "Player_Attributes",
+              "Match"]
+STAR_VIEW = {"Country": "country", "League": "league", "Team": "team",
+             "Team_Attributes": "team_attributes", "Player": "player",
              "Player_Attributes": "player_attributes", "Match": "match"}
 
 
@@ -402,6 +404,7 @@ FK_CHECKS = [
     ("Match", "league_id", "League", "id"),
     ("Match", "home_team_api_id", "Team", "team_api_id"),
     ("Match", "away_team_api_id", "Team", "team_api_id"),
+    ("Team_Attributes", "team_api_id", "Team", "team_api_id"),
     ("Player_Attributes", "player_fifa_api_id", "Player", "player_fifa_api_id"),
     ("Player_Attributes", "player_api_id", "Player", "player_api_id"),
 ]
@@ -442,8 +445,8 @@ def q_null_profile(spark, sf_dir):
 @register("shape", O.with_star("\nUNION ALL\n".join(
     f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, "
     f"{len(cols)} AS n_columns FROM {STAR_VIEW[n]}"
-    for n, cols in [("Country", 2), ("League", 3), ("Team", 5), ("Player", 7),
-                    ("Player_Attributes", 8), ("Match", 11)]
+    for n, cols in [("Country", 2), ("League", 3), ("Team", 5), ("Team_Attributes", 8),
+                    ("Player", 7), ("Player_Attributes", 8), ("Match", 11)]
     for cols in [range(cols)])))
 def q_shape(spark, sf_dir):
     tables = star.star_tables(spark, sf_dir)
@@ -662,7 +665,6 @@ def q_streaming_league_table(spark, sf_dir):
 def _full_refresh_sql() -> str:
     parts = [f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count "
              f"FROM {STAR_VIEW[n]}" for n in STAR_NAMES]
-    parts.append("SELECT 'Team_Attributes' AS table_name, CAST(0 AS BIGINT) AS row_count")
     parts.append(f"SELECT 'Point' AS table_name, CAST(count(*) AS BIGINT) AS row_count "
                  f"FROM ({O.POINTS_SQL}) p")
     return O.with_star("\nUNION ALL\n".join(parts))
@@ -685,7 +687,7 @@ def q_full_refresh(spark, sf_dir):
     wh = Warehouse(spark, location=table_path(root, "warehouse"))
     for _ in range(2):
         jobs.full_refresh(spark, wh, staged, points)
-    return Q.row_counts({n: wh.table(n) for n in STAR_NAMES + ["Team_Attributes", "Point"]})
+    return Q.row_counts({n: wh.table(n) for n in STAR_NAMES + ["Point"]})
 
 
 # =============================================================================

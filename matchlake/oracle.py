@@ -22,6 +22,12 @@ STAR_CTES = {
          CAST(s_nationkey AS DOUBLE) AS team_fifa_api_id, s_name AS team_long_name,
          'T' || CAST(s_suppkey AS VARCHAR) AS team_short_name
   FROM supplier)""",
+    "team_attributes": """team_attributes AS (
+  SELECT CAST(p_partkey AS BIGINT) AS id, CAST(p_partkey % 10 AS BIGINT) AS team_fifa_api_id,
+         CAST(p_partkey % 10 AS BIGINT) AS team_api_id, CAST(NULL AS VARCHAR) AS date,
+         CAST(p_size AS DOUBLE) AS "buildUpPlaySpeed", p_brand AS "buildUpPlaySpeedClass",
+         p_retailprice AS "buildUpPlayPassing", p_type AS "buildUpPlayPassingClass"
+  FROM part)""",
     "player": """player AS (
   SELECT CAST(c_custkey AS BIGINT) AS id, CAST(c_custkey AS BIGINT) AS player_api_id,
          c_name AS player_name, CAST(c_custkey AS BIGINT) AS player_fifa_api_id,
@@ -51,7 +57,8 @@ STAR_CTES = {
   FROM orders)""",
 }
 
-STAR_ORDER = ["country", "league", "team", "player", "player_attributes", "match"]
+STAR_ORDER = ["country", "league", "team", "team_attributes", "player", "player_attributes",
+              "match"]
 
 RESULT_CASE = """CASE WHEN m.home_team_goal > m.away_team_goal THEN 'Home'
             WHEN m.home_team_goal < m.away_team_goal THEN 'Away'

@@ -9,6 +9,7 @@ star table         driver      mapping
 Country            region      r_regionkey -> id, r_name -> name
 League             nation      n_nationkey -> id, n_regionkey -> country_id
 Team               supplier    s_suppkey -> id and team_api_id
+Team_Attributes    part        p_partkey -> id, p_partkey % 10 -> team ids
 Player             customer    c_custkey -> id, player_api_id, player_fifa_api_id
 Player_Attributes  events      event_id -> id, user_id -> player ids, ts -> date
 Match              orders      o_orderkey -> id and match_api_id, see below
@@ -95,6 +96,22 @@ def player_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def team_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated team style ratings; the team is ``p_partkey % 10`` (teams 0..9
+    exist at every scale), ratings and classes come from part columns."""
+    team_key = (F.col("p_partkey") % 10).cast("bigint")
+    return driver_table(spark, sf_dir, "part").select(
+        _long("p_partkey").alias("id"),
+        team_key.alias("team_fifa_api_id"),
+        team_key.alias("team_api_id"),
+        F.lit(None).cast("string").alias("date"),
+        F.col("p_size").cast("double").alias("buildUpPlaySpeed"),
+        F.col("p_brand").alias("buildUpPlaySpeedClass"),
+        F.col("p_retailprice").alias("buildUpPlayPassing"),
+        F.col("p_type").alias("buildUpPlayPassingClass"),
+    )
+
+
 def match(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = driver_table(spark, sf_dir, "orders")
     year = F.year("o_orderdate")
@@ -118,6 +135,7 @@ STAR_BUILDERS = {
     "Country": country,
     "League": league,
     "Team": team,
+    "Team_Attributes": team_attributes,
     "Player": player,
     "Player_Attributes": player_attributes,
     "Match": match,
