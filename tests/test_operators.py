@@ -235,3 +235,26 @@ def test_hot_league_standings_are_whole(spark):
     assert played == 2 * scored
     table = P.league_table_by_stage(pts)
     assert table.count() == pts.count()
+
+
+def test_points_without_broadcast_use_a_shuffle_join_and_agree(spark):
+    m, lg = star.match(spark, SF_SMALL), star.league(spark, SF_SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = P.points_result(m, lg, broadcast_rows=1)  # League has 25 rows > 1
+        plan = plan_text(shuffled)
+        assert "BroadcastHashJoin" not in plan
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        rows = shuffled.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(rows) == sorted(P.points_result(m, lg).collect())
+
+
+def test_load_rejects_a_wrong_column_count(spark):
+    from matchlake.operators.load import Warehouse
+
+    wh = Warehouse(spark)
+    wh.create("Country")
+    with pytest.raises(ValueError, match="columns given"):
+        wh.load(spark.range(3), "Country")
