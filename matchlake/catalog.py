@@ -678,10 +678,7 @@ def q_full_refresh(spark, sf_dir):
     from matchlake.sources.paths import table_path
 
     root = work_dir(spark, "full-refresh")
-    staged = {}
-    for name, df in star.star_tables(spark, sf_dir).items():
-        staged[name] = table_path(root, "raw", name)
-        files.write_delimited(jobs.conform(df, TABLES[name].schema), staged[name])
+    staged = jobs.stage_tables(star.star_tables(spark, sf_dir), root)
     points = table_path(root, "lake", "points")
     jobs.points_job(spark, staged["Match"], staged["League"], points)
     wh = Warehouse(spark, location=table_path(root, "warehouse"))

@@ -8,6 +8,8 @@ the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ from matchlake.operators.load import Warehouse
 from matchlake.operators.points import points_result, team_stage_points
 from matchlake.operators.quality import Check, non_empty_checks, run_checks
 from matchlake.plans.joins import sized_broadcast
-from matchlake.schemas import DEFAULT_TEXT_LIMIT, LOAD_ORDER, POINT, TABLES
+from matchlake.schemas import DEFAULT_TEXT_LIMIT, LOAD_LEVELS, POINT, TABLES
 from matchlake.sinks.files import overwrite_partitions, write_delimited, write_parquet
 from matchlake.sources import sqlite
 from matchlake.sources.csv import EXTRACT, Dialect, read_staged
@@ -70,23 +72,56 @@ def extract_table(spark: SparkSession, database: str, table: str, out_path: str,
 
 # --- W3 ---------------------------------------------------------------------------
 
+def stage_tables(tables: dict[str, DataFrame], root: str, dialect: Dialect = EXTRACT,
+                 max_parallel: int = 4) -> dict[str, str]:
+    """Write each table, conformed to its warehouse schema, as staged ';' text
+    under ``root/raw/<table>``; the writes run as concurrent Spark jobs.
+    Returns the staged path of every table."""
+    from matchlake.sources.paths import table_path
+
+    paths = {name: table_path(root, "raw", name) for name in tables}
+
+    def stage(name: str) -> None:
+        write_delimited(conform(tables[name], TABLES[name].schema), paths[name], dialect)
+
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+        for future in [pool.submit(stage, n) for n in tables]:
+            future.result()
+    return paths
+
+
 def full_refresh(spark: SparkSession, warehouse: Warehouse, staged: dict[str, str],
                  points_path: str | None = None, dialect: Dialect = EXTRACT,
                  checks: list[Check] | None = None, raise_on_failure: bool = True,
-                 text_limit: int | None = DEFAULT_TEXT_LIMIT) -> list[dict]:
-    """Create the tables, replace the rows of every staged table in load order
-    (dimensions first, facts last, Point from Parquet), then run the checks."""
+                 text_limit: int | None = DEFAULT_TEXT_LIMIT,
+                 max_parallel: int = 4) -> list[dict]:
+    """Create the tables, replace the rows of every staged table level by level
+    (dimensions, then attribute and fact tables, then Point from Parquet),
+    then run the checks.
+
+    The tables of one level are loaded as concurrent Spark jobs on the same
+    session (one thread each submits its job), so small dimension loads do
+    not leave the cluster idle; a level starts only when the one before it
+    is complete, and a failed load stops the refresh before the next level.
+    """
     warehouse.create_all()
     loaded = []
-    for name in LOAD_ORDER:
-        if name == "Point" and points_path:
+
+    def load_one(name: str) -> None:
+        if name == "Point":
             df = read_parquet(spark, points_path, POINT)
-        elif name in staged:
-            df = read_staged(spark, staged[name], TABLES[name].schema, dialect, text_limit)
         else:
-            continue
+            df = read_staged(spark, staged[name], TABLES[name].schema, dialect, text_limit)
         warehouse.load(df, name)
-        loaded.append(name)
+
+    for level in LOAD_LEVELS:
+        names = [n for n in level if (n == "Point" and points_path) or n in staged]
+        if not names:
+            continue
+        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+            for future in [pool.submit(load_one, n) for n in names]:
+                future.result()  # re-raises the first failure of this level
+        loaded += names
     checks = checks if checks is not None else non_empty_checks(loaded)
     tables = {n: warehouse.table(n) for n in {c.table for c in checks if c.kind != "sql"}}
     return run_checks(spark, tables, checks, raise_on_failure=raise_on_failure)

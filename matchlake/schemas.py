@@ -228,10 +228,13 @@ TABLES: dict[str, TableDef] = {
 }
 
 # Order in which the warehouse is (re)built: dimensions first, facts last.
-LOAD_ORDER = [
-    "Country", "Team", "Player", "League",
-    "Team_Attributes", "Player_Attributes", "Match", "Point",
+# Tables of one level do not depend on each other and may load at the same time.
+LOAD_LEVELS = [
+    ["Country", "Team", "Player", "League"],
+    ["Team_Attributes", "Player_Attributes", "Match"],
+    ["Point"],
 ]
+LOAD_ORDER = [t for level in LOAD_LEVELS for t in level]
 
 
 def text_columns(schema: T.StructType) -> list[str]:
