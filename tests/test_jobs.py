@@ -59,3 +59,28 @@ def test_latest_stage_matches_are_the_last_stage_of_each_season(spark):
     got = last.select("season", "stage").distinct()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert last.count() == m.join(want, ["season", "stage"]).count()
+
+
+def test_failed_load_stops_the_refresh_before_the_next_level(spark):
+    import os
+
+    root = work_dir(spark, "refresh-fail")
+    staged = {}
+    for name in ["Country", "League"]:
+        staged[name] = f"{root}/raw/{name}"
+        write_delimited(jobs.conform(star.STAR_BUILDERS[name](spark, SF_SMALL),
+                                     TABLES[name].schema), staged[name])
+    os.makedirs(f"{root}/raw/Match")
+    with open(f"{root}/raw/Match/part-0.csv", "w") as fh:
+        fh.write(";".join(TABLES["Match"].columns) + "\n" + "x" + ";" * 114 + "\n")
+    staged["Match"] = f"{root}/raw/Match"
+    points = f"{root}/lake/points"   # a valid Point dataset: it would load if the refresh went on
+    from matchlake.operators.points import points_result
+    from matchlake.sinks.files import write_parquet
+
+    write_parquet(points_result(star.match(spark, SF_SMALL), star.league(spark, SF_SMALL)), points)
+    wh = Warehouse(spark, location=f"{root}/warehouse")
+    with pytest.raises(Exception, match="cannot load column id"):
+        jobs.full_refresh(spark, wh, staged, points)
+    assert wh.table("League").count() == 25      # level 1 was loaded
+    assert wh.table("Point").count() == 0         # level 3 never ran
