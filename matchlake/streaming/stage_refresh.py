@@ -8,7 +8,8 @@ each micro-batch
    stores them under ``processed/`` partitioned by (season, epoch) -- an
    overwrite of exactly this epoch's partitions, so a replayed epoch after a
    failure writes the same files again (idempotent);
-2. finds the (league, season) pairs it touched and re-sums the stored
+2. finds the (league, season) pairs it touched (from its own stored totals)
+   and re-sums the stored
    totals of those pairs over all epochs (all metrics are additive; the
    semi-join on season prunes whole season folders).  What is re-read is
    teams x stages rows, however many matches the season holds;
@@ -80,10 +81,12 @@ def start(spark: SparkSession, landing: str, league: DataFrame, processed: str,
     def refresh(batch: DataFrame, epoch_id: int) -> None:
         totals = stage_totals(batch).withColumn("epoch", F.lit(epoch_id).cast("bigint"))
         overwrite_partitions(totals, processed, ["season", "epoch"])
-        touched = batch.select("league_id", "season").distinct()
-        stored = (spark.read.schema(PROCESSED).parquet(processed)
-                  .join(sized_broadcast(touched, materialize=True),
-                        ["league_id", "season"], "left_semi"))
+        stored_all = spark.read.schema(PROCESSED).parquet(processed)
+        # The pairs this epoch touched, from its own stored totals (the epoch
+        # filter prunes to this epoch's folders; no second scan of the batch).
+        touched = (stored_all.where(F.col("epoch") == F.lit(epoch_id))
+                   .select("league_id", "season").distinct())
+        stored = stored_all.join(sized_broadcast(touched), ["league_id", "season"], "left_semi")
         standings = league_table_by_stage(name_stages(merge_stage_totals(stored), league))
         overwrite_partitions(standings, output, ["season", "league_id"])
 
