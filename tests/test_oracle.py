@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from matchlake import catalog
 from oracle_compare import duck, same
 
-ORACLE = E.oracle_sql()
-NAMES = sorted(E.queries())
+ORACLE = catalog.ORACLE
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.QUERIES[name](spark, SF_SMALL)
     ok, why = same(df, con, ORACLE[name])
     assert ok, f"{name}: {why}"
 
