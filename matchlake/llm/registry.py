@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import forced_bpe, packing, simhash, token_files
+from matchlake.llm import (forced_bpe, langid, license_scan, packing, quality, simhash,
+                           token_files, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.query,
+    "op2_quality": quality.query,
     "op4_best_fit_packing": packing.query,
     "op6_bpe_forced_split": forced_bpe.query,
+    "op7_language_id": langid.query,
+    "op8_license_scan": license_scan.query,
     "op9_token_files": token_files.query,
     "op10_simhash_dedup": simhash.query,
 }
