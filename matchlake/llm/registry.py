@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import (forced_bpe, langid, license_scan, packing, quality, simhash,
-                           token_files, toxicity)
+from matchlake.llm import (forced_bpe, langid, learned_ann, license_scan, maxscore, packing,
+                           quality, simhash, token_files, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
     "op2_quality": quality.query,
+    "op3_maxscore": maxscore.query,
     "op4_best_fit_packing": packing.query,
+    "op5_learned_ann": learned_ann.query,
     "op6_bpe_forced_split": forced_bpe.query,
     "op7_language_id": langid.query,
     "op8_license_scan": license_scan.query,
@@ -20,4 +22,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_dedup": simhash.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_maxscore": maxscore.ORACLE_SQL}
