@@ -3,7 +3,7 @@ next to the DuckDB SQL it is checked against.
 
 Every query reads the whole driver tables (through the star projections of
 ``matchlake.plans.star``), so its work grows with them.  Queries that write
-(files, SQLite shards, warehouse tables, a stream) do so in a fresh folder
+(files, warehouse tables, a stream) do so in a fresh folder
 under the shared checkpoint folder and return what they read back.
 """
 
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake import oracle as O
-from matchlake.functions.dtypes import equivalent_type
 from matchlake.functions.rules import WHITESPACE
 from matchlake.operators import points as P
 from matchlake.operators import profile as PR
@@ -27,7 +26,6 @@ from matchlake.plans import jobs, star
 from matchlake.schemas import POINT, TABLES
 from matchlake.session import work_dir
 from matchlake.sinks import files
-from matchlake.sources import sqlite
 from matchlake.sources.csv import EXTRACT, INDEX_COLUMN, read_delimited, read_indexed, read_staged
 from matchlake.sources.parquet import read_parquet
 from matchlake.streaming import stage_refresh
@@ -147,10 +145,20 @@ def q_points_parquet_roundtrip(spark, sf_dir):
     return wh.table("Point")
 
 
-@register("match_csv_roundtrip", O.with_star("SELECT * FROM match", tables=["match"]))
+# A text cell made from every match that holds line breaks, quotes and separators.
+AWKWARD_SQL = """SELECT *, 'a"' || season || '";' || chr(10) || CASE id % 3
+  WHEN 0 THEN '' WHEN 1 THEN chr(10) ELSE ',"' || chr(13) || chr(10) || ' x\\' END AS goal
+FROM match"""
+
+
+@register("match_csv_roundtrip", O.with_star(AWKWARD_SQL, tables=["match"]))
 def q_match_csv_roundtrip(spark, sf_dir):
-    """K1 then S3: ';' text with a header, read back by position with the schema."""
+    """K1 then S3 under the default dialect: ';' text with a header, read back by
+    position; the last column holds line breaks, quotes and separators."""
     m = star.match(spark, sf_dir)
+    tail = (F.when(F.col("id") % 3 == 0, F.lit(""))
+            .when(F.col("id") % 3 == 1, F.lit("\n")).otherwise(F.lit(',"\r\n x\\')))
+    m = m.withColumn("goal", F.concat(F.lit('a"'), "season", F.lit('";\n'), tail))
     path = work_dir(spark, "match-csv")
     files.write_delimited(m, path, EXTRACT)
     return read_delimited(spark, path, m.schema, EXTRACT)
@@ -182,6 +190,34 @@ def q_staged_csv_load(spark, sf_dir):
     return wh.table("Match")
 
 
+INTEGER_COLUMNS = [c for c, t in zip(MATCH_VIEW_COLUMNS, MATCH_VIEW_TYPES) if t != "string"]
+AS_DECIMAL = [f"CASE WHEN id % 4 = 0 THEN CAST({c} AS STRING) ELSE CAST({c} AS STRING) || '.0' END AS {c}"
+              if c in INTEGER_COLUMNS else c for c in MATCH_VIEW_COLUMNS]
+
+
+@register("decimal_integer_load", O.with_star("SELECT * FROM match", tables=["match"]))
+def q_decimal_integer_load(spark, sf_dir):
+    """S5 + F8: Match staged the way pandas writes it (whole numbers of a column with
+    NULLs as "7.0"), loaded into the typed columns."""
+    m = star.match(spark, sf_dir)
+    path = work_dir(spark, "decimal-match")
+    files.write_delimited(m.selectExpr(*AS_DECIMAL), path)
+    return read_staged(spark, path, m.schema)
+
+
+@register("long_text_load", """SELECT CAST(c_custkey AS BIGINT) AS id,
+       repeat(c_name, 600) AS player_name
+FROM customer""")
+def q_long_text_load(spark, sf_dir):
+    """S5 without a given length: texts of over 10,000 characters load whole."""
+    c = star.driver_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("id"),
+        F.repeat("c_name", F.lit(600)).alias("player_name"))
+    path = work_dir(spark, "very-long-names")
+    files.write_delimited(c, path)
+    return read_staged(spark, path, NAME_SCHEMA)
+
+
 # Raw text cells for the blank rule, derived from every customer row: empty,
 # blank, tab-only and leading-blank cells next to untouched names.
 def _raw_names(spark, sf_dir):
@@ -228,7 +264,7 @@ def q_truncate_text(spark, sf_dir):
         F.col("c_custkey").cast("bigint").alias("id"), F.col("c_name").alias("player_name"))
     path = work_dir(spark, "long-names")
     files.write_delimited(c, path)
-    return read_staged(spark, path, NAME_SCHEMA, text_limit=12)
+    return read_staged(spark, path, NAME_SCHEMA, text_lengths={"player_name": 12})
 
 
 # =============================================================================
@@ -257,6 +293,32 @@ def q_load_append(spark, sf_dir):
     return _load_points(spark, sf_dir, append_second=True)
 
 
+@register("truncate_load", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
+def q_truncate_load(spark, sf_dir):
+    """K6: Point loaded, emptied, and loaded again by appending: one copy."""
+    wh = Warehouse(spark)
+    wh.create("Point")
+    pts = P.points_result(star.match(spark, sf_dir), star.league(spark, sf_dir))
+    wh.load(pts, "Point")
+    wh.truncate("Point")
+    wh.load(pts, "Point", append_only=True)
+    return wh.table("Point")
+
+
+@register("partitioned_load", O.with_star(
+    "SELECT season, CAST(count(*) AS BIGINT) AS matches, CAST(sum(home_team_goal) AS BIGINT) AS goals "
+    "FROM match WHERE stage = 3 GROUP BY season", tables=["match"]))
+def q_partitioned_load(spark, sf_dir):
+    """Match (115 columns) loaded into a warehouse table in folders by season and
+    stage; a filter on the stage reads only that stage's folders."""
+    wh = Warehouse(spark)
+    wh.create("Match", partition_by=["season", "stage"])
+    m = jobs.conform(star.match(spark, sf_dir), TABLES["Match"].schema)
+    wh.load(m.repartition("season", "stage", F.pmod(F.xxhash64("id"), F.lit(4))), "Match")
+    return (wh.table("Match").where(F.col("stage") == 3).groupBy("season")
+            .agg(F.count(F.lit(1)).alias("matches"), F.sum("home_team_goal").alias("goals")))
+
+
 @register("load_fields", O.with_star(
     "SELECT m.match_api_id, CAST(NULL AS INTEGER) AS home_team_goal, "
     "CAST(NULL AS INTEGER) AS away_team_goal, m.season, "
@@ -327,13 +389,11 @@ def _dq_sql() -> str:
     return O.with_star(f"""SELECT *,
   CASE WHEN actual IS NULL THEN false
        WHEN comparison = '>' THEN actual > expected ELSE actual = expected END AS passed,
-  CASE WHEN actual IS NULL THEN 'Data quality check failed for ' || table_name || ' returned no results'
+  CASE WHEN actual IS NULL THEN table_name || ': the check query gave no row'
        WHEN (comparison = '>' AND actual > expected) OR (comparison = '=' AND actual = expected)
-         THEN 'Data quality on table ' || table_name || ' check passed with '
-              || CAST(actual AS VARCHAR) || ' records'
-       ELSE 'Data quality check failed for ' || table_name || '. actual result was '
-            || CAST(actual AS VARCHAR) || ' but expected result was ' || comparison || ' '
-            || CAST(expected AS VARCHAR) END AS message
+         THEN table_name || ': ok, ' || CAST(actual AS VARCHAR)
+       ELSE table_name || ': found ' || CAST(actual AS VARCHAR) || ', wanted ' || comparison
+            || ' ' || CAST(expected AS VARCHAR) END AS message
 FROM (
 {body}
 ) checks""")
@@ -389,17 +449,22 @@ UNIQUE_KEYS = [(t.name, [u]) for t in TABLES.values() for u in t.unique
 
 
 @register("unique_violations", O.with_star("\nUNION ALL\n".join(
-    _key_sql(n, STAR_VIEW[n], k, False) for n, k in UNIQUE_KEYS)))
+    [_key_sql(n, STAR_VIEW[n], k, False) for n, k in UNIQUE_KEYS]
+    + [_key_sql("lineitem", "lineitem", LINEITEM_KEY, False)])))
 def q_unique_violations(spark, sf_dir):
+    """C2 on every declared unique column, plus the lineitem key, which repeats."""
     tables = star.star_tables(spark, sf_dir)
     parts = [Q.unique_violations(tables[n], n, k) for n, k in UNIQUE_KEYS]
+    parts.append(Q.unique_violations(_lineitem_keys(spark, sf_dir), "lineitem", LINEITEM_KEY))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-FK_CHECKS = [
+# Written out, not taken from the schema that the query reads.  Every Point row has its
+# match, so the query leaves every fifth match out of the parent side.
+FK_EXPECTED = [
     ("Match", "country_id", "Country", "id"),
     ("Match", "league_id", "League", "id"),
     ("Match", "home_team_api_id", "Team", "team_api_id"),
@@ -407,27 +472,73 @@ FK_CHECKS = [
     ("Team_Attributes", "team_api_id", "Team", "team_api_id"),
     ("Player_Attributes", "player_fifa_api_id", "Player", "player_fifa_api_id"),
     ("Player_Attributes", "player_api_id", "Player", "player_api_id"),
+    ("Point", "match_api_id", "Match", "match_api_id"),
 ]
+POINT_CTE = f"point AS ({O.POINTS_SQL})"
+PARENT_VIEW = STAR_VIEW | {"Match": "(SELECT * FROM match WHERE id % 5 <> 0)"}
+CHILD_VIEW = STAR_VIEW | {"Point": "point"}
+
+
+def _tables_with_points(spark, sf_dir) -> dict[str, DataFrame]:
+    tables = star.star_tables(spark, sf_dir)
+    tables["Point"] = P.points_result(tables["Match"], tables["League"])
+    return tables
 
 
 @register("fk_orphans", O.with_star("\nUNION ALL\n".join(
     f"SELECT '{c}' AS child_table, '{col}' AS child_column, '{p}' AS parent_table, "
     f"'{pcol}' AS parent_column, CAST({col} AS VARCHAR) AS key_value, "
-    f"CAST(count(*) AS BIGINT) AS n_rows FROM {STAR_VIEW[c]} ch "
+    f"CAST(count(*) AS BIGINT) AS n_rows FROM {CHILD_VIEW[c]} ch "
     f"WHERE {col} IS NOT NULL AND NOT EXISTS "
-    f"(SELECT 1 FROM {STAR_VIEW[p]} pa WHERE pa.{pcol} = ch.{col}) GROUP BY {col}"
-    for c, col, p, pcol in FK_CHECKS)))
+    f"(SELECT 1 FROM {PARENT_VIEW[p]} pa WHERE pa.{pcol} = ch.{col}) GROUP BY {col}"
+    for c, col, p, pcol in FK_EXPECTED), POINT_CTE))
 def q_fk_orphans(spark, sf_dir):
-    """Child keys without a parent row; one scan per child table."""
-    tables = star.star_tables(spark, sf_dir)
+    """Child keys without a parent row, for every enabled reference of the schema;
+    one scan per child table."""
+    tables = _tables_with_points(spark, sf_dir)
+    parents = tables | {"Match": tables["Match"].where(F.col("id") % 5 != 0)}
     out = None
-    for child in dict.fromkeys(c for c, *_ in FK_CHECKS):
-        refs = [Q.Reference(col, tables[p], p, pcol) for c, col, p, pcol in FK_CHECKS if c == child]
-        part = Q.fk_orphans(tables[child], child, refs)
-        out = part if out is None else out.unionByName(part)
+    for name, t in TABLES.items():
+        refs = [Q.Reference(r.column, parents[r.parent], r.parent, r.parent_column)
+                for r in t.references if r.enabled]
+        if refs:
+            part = Q.fk_orphans(tables[name], name, refs)
+            out = part if out is None else out.unionByName(part)
     return out
 
 
+PK_EXPECTED = [(n, "id") for n in STAR_NAMES]
+UNIQUE_EXPECTED = [("Country", "name"), ("League", "name"), ("Team", "team_api_id"),
+                   ("Player", "player_api_id"), ("Player", "player_fifa_api_id"),
+                   ("Match", "match_api_id")]
+
+
+def _constraint_sql() -> str:
+    def one(labels: str, bad: str) -> str:
+        return (f"SELECT {labels}, CAST(count(*) AS BIGINT) AS bad_keys, "
+                f"CAST(coalesce(sum(n), 0) AS BIGINT) AS bad_rows FROM ({bad}) b")
+    parts = [one(f"'{t}' AS table_name, 'primary key' AS \"constraint\", '{c}' AS column_name, "
+                 f"CAST(NULL AS VARCHAR) AS parent",
+                 f"SELECT count(*) AS n FROM {CHILD_VIEW[t]} GROUP BY {c} "
+                 f"HAVING count(*) > 1 OR {c} IS NULL") for t, c in PK_EXPECTED]
+    parts += [one(f"'{t}' AS table_name, 'unique' AS \"constraint\", '{c}' AS column_name, "
+                  f"CAST(NULL AS VARCHAR) AS parent",
+                  f"SELECT count(*) AS n FROM {CHILD_VIEW[t]} WHERE {c} IS NOT NULL GROUP BY {c} "
+                  f"HAVING count(*) > 1") for t, c in UNIQUE_EXPECTED]
+    parts += [one(f"'{t}' AS table_name, 'reference' AS \"constraint\", '{c}' AS column_name, "
+                  f"'{p}.{pc}' AS parent",
+                  f"SELECT count(*) AS n FROM {CHILD_VIEW[t]} ch WHERE {c} IS NOT NULL AND NOT EXISTS "
+                  f"(SELECT 1 FROM {CHILD_VIEW[p]} pa WHERE pa.{pc} = ch.{c}) GROUP BY {c}")
+              for t, c, p, pc in FK_EXPECTED]
+    return O.with_star("\nUNION ALL\n".join(parts), POINT_CTE)
+
+
+@register("constraint_report", _constraint_sql())
+def q_constraint_report(spark, sf_dir):
+    """Every declared key, unique column and enabled reference, one row each."""
+    return Q.constraint_report(_tables_with_points(spark, sf_dir))
+
+
 # =============================================================================
 # Profiles (A3-A7, P7, P8, L1)
 # =============================================================================
@@ -457,11 +568,12 @@ def q_shape(spark, sf_dir):
     return out
 
 
-DUP_SOURCES = ["Match", "Player_Attributes", "lineitem"]
+LINEITEM_LABEL = "lineitem(l_orderkey,l_linenumber)"
+DUP_SOURCES = ["Match", "Player_Attributes", LINEITEM_LABEL]
 
 
 def _dup_source(spark, sf_dir, name):
-    if name == "lineitem":
+    if name == LINEITEM_LABEL:
         return _lineitem_keys(spark, sf_dir)
     return star.STAR_BUILDERS[name](spark, sf_dir)
 
@@ -477,10 +589,11 @@ def _dup_sql(table: str, view: str, cols: str) -> str:
     _dup_sql("Player_Attributes", "player_attributes",
              "id, player_fifa_api_id, player_api_id, date, overall_rating, potential, "
              "preferred_foot, attacking_work_rate"),
-    _dup_sql("lineitem", "lineitem", "l_orderkey, l_linenumber"),
+    _dup_sql(LINEITEM_LABEL, "lineitem", "l_orderkey, l_linenumber"),
 ])))
 def q_duplicate_rows(spark, sf_dir):
-    """A4: second and later copies of a row, over all columns."""
+    """A4: second and later copies of a row, over all columns of two star tables and
+    over the key columns of lineitem."""
     out = None
     for n in DUP_SOURCES:
         part = PR.duplicate_rows(_dup_source(spark, sf_dir, n), n)
@@ -488,34 +601,45 @@ def q_duplicate_rows(spark, sf_dir):
     return out
 
 
-@register("repeated_rows", """SELECT l_orderkey, l_linenumber,
-       CAST(count(*) - 1 AS BIGINT) AS extra_copies
-FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+@register("repeated_rows", """SELECT l_orderkey, l_linenumber
+FROM (SELECT l_orderkey, l_linenumber,
+             row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS copy FROM lineitem) c
+WHERE copy > 1""")
 def q_repeated_rows(spark, sf_dir):
-    """The repeated rows themselves, one line per distinct row."""
+    """The second and later copies of each lineitem key, as rows."""
     return PR.repeated_rows(_lineitem_keys(spark, sf_dir))
 
 
+@register("literal_filter", O.with_star("SELECT * FROM match WHERE season = '1995/1996'",
+                                        tables=["match"]))
+def q_literal_filter(spark, sf_dir):
+    """Rows of Match that equal a literal."""
+    return star.match(spark, sf_dir).where(F.col("season") == F.lit("1995/1996"))
+
+
 def _numeric_profile_sql() -> str:
     def r(e):
         return f"round({e}, 6)"
     parts = [
-        f"SELECT 'Player_Attributes' AS table_name, '{c}' AS column_name, "
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
         f"CAST(count({c}) AS BIGINT) AS count, {r(f'avg({c})')} AS mean, "
         f"{r(f'stddev_samp({c})')} AS std, {r(f'CAST(min({c}) AS DOUBLE)')} AS min, "
         f"{r(f'quantile_cont({c}, 0.25)')} AS q25, {r(f'quantile_cont({c}, 0.5)')} AS q50, "
         f"{r(f'quantile_cont({c}, 0.75)')} AS q75, {r(f'CAST(max({c}) AS DOUBLE)')} AS max "
-        f"FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM player_attributes)"
-        for c in PLAYER_ATTR_NUMERIC
+        f"FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM {STAR_VIEW[t]})"
+        for t, c in [*(("Player_Attributes", c) for c in PLAYER_ATTR_NUMERIC),
+                     *(("Match", c) for c in INTEGER_COLUMNS)]
     ]
-    return O.with_star("\nUNION ALL\n".join(parts), tables=["player_attributes"])
+    return O.with_star("\nUNION ALL\n".join(parts), tables=["player_attributes", "match"])
 
 
 @register("numeric_profile", _numeric_profile_sql())
 def q_numeric_profile(spark, sf_dir):
-    """A5: ``describe()`` with exact quartiles, rounded to 6 places."""
+    """A5: ``describe()`` with exact quartiles, rounded to 6 places, over all numeric
+    columns that the driver's data give Player_Attributes and Match."""
     return PR.numeric_profile(star.player_attributes(spark, sf_dir), "Player_Attributes",
-                              digits=6)
+                              digits=6).unionByName(
+        PR.numeric_profile(star.match(spark, sf_dir), "Match", digits=6))
 
 
 @register("drop_null_rows", O.with_star(
@@ -544,8 +668,8 @@ def _pandas_dtype_sql() -> str:
             dtype = "'object'"
         rows.append(f"SELECT '{c}' AS column_name, {i + 1} AS position, {dtype} AS pandas_dtype "
                     f"FROM (SELECT count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM match) n")
-    spark_of = " ".join(f"WHEN '{d}' THEN '{equivalent_type(d).simpleString()}'"
-                        for d in ["int64", "int32", "float64", "object"])
+    spark_of = ("WHEN 'int64' THEN 'bigint' WHEN 'int32' THEN 'int' "
+                "WHEN 'float64' THEN 'double' WHEN 'object' THEN 'string'")
     union = "\nUNION ALL\n".join(rows)
     return O.with_star(f"""SELECT column_name, position, pandas_dtype,
        CASE pandas_dtype {spark_of} END AS spark_type
@@ -595,28 +719,72 @@ def q_indexed_csv_read(spark, sf_dir):
 
 
 # =============================================================================
-# SQLite source
+# Extract of all tables
 # =============================================================================
 
-@register("sqlite_scan", O.with_star("SELECT * FROM match", tables=["match"]))
-def q_sqlite_scan(spark, sf_dir):
-    """Match held in SQLite (written as shards by the executors), extracted
-    in parallel id ranges and landed as Parquet."""
-    m = star.match(spark, sf_dir)
-    root = work_dir(spark, "sqlite-scan")
-    sqlite.write_table(m, f"{root}/database", "Match")
-    jobs.extract_table(spark, f"{root}/database", "Match", f"{root}/lake/Match",
-                       num_partitions=4, schema=m.schema)
-    return read_parquet(spark, f"{root}/lake/Match", m.schema)
+# Order-free content check: per row the first 32 bits of the MD5 of its cells as text,
+# summed over the table.  Doubles count in hundredths, so both engines print them alike.
+CONTENT = {
+    "Country": [("id", "n"), ("name", "t")],
+    "League": [("id", "n"), ("country_id", "n"), ("name", "t")],
+    "Team": [("id", "n"), ("team_api_id", "n"), ("team_fifa_api_id", "d"), ("team_long_name", "t"),
+             ("team_short_name", "t")],
+    "Team_Attributes": [("id", "n"), ("team_fifa_api_id", "n"), ("team_api_id", "n"), ("date", "t"),
+                        ("buildUpPlaySpeed", "d"), ("buildUpPlaySpeedClass", "t"),
+                        ("buildUpPlayPassing", "d"), ("buildUpPlayPassingClass", "t")],
+    "Player": [("id", "n"), ("player_api_id", "n"), ("player_name", "t"),
+               ("player_fifa_api_id", "n"), ("birthday", "t"), ("height", "d"), ("weight", "d")],
+    "Player_Attributes": [("id", "n"), ("player_fifa_api_id", "n"), ("player_api_id", "n"),
+                          ("date", "t"), ("overall_rating", "d"), ("potential", "d"),
+                          ("preferred_foot", "t"), ("attacking_work_rate", "t")],
+    "Match": [(c, "t" if t == "string" else "n")
+              for c, t in zip(MATCH_VIEW_COLUMNS, MATCH_VIEW_TYPES)],
+    "Point": [("match_api_id", "n"), ("home_team_goal", "n"), ("away_team_goal", "n"),
+              ("season", "t"), ("result", "t"), ("name", "t")],
+}
+
+
+def _cells(table: str, text: str, cast: str) -> str:
+    cells = {"n": "CAST({c} AS %s)" % text, "t": "{c}",
+             "d": "CAST(CAST(round({c} * 100) AS %s) AS %s)" % (cast, text)}
+    return ", '|', ".join("coalesce(%s, '~')" % cells[k].format(c=c) for c, k in CONTENT[table])
+
+
+def table_contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, row_count, content) of every table, one aggregate each."""
+    out = None
+    for n, df in tables.items():
+        row = f"conv(substr(md5(concat({_cells(n, 'STRING', 'BIGINT')})), 1, 8), 16, 10)"
+        part = df.selectExpr(f"CAST({row} AS BIGINT) AS h").agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("h").alias("content")) \
+            .select(F.lit(n).alias("table_name"), "row_count", "content")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _contents_sql(names: list[str]) -> str:
+    return O.with_star("\nUNION ALL\n".join(
+        f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(CAST("
+        f"'0x' || substr(md5(concat({_cells(n, 'VARCHAR', 'BIGINT')})), 1, 8) AS BIGINT)) "
+        f"AS BIGINT) AS content FROM {CHILD_VIEW[n]}" for n in names), POINT_CTE)
+
+
+def _extracted(spark, sf_dir, fmt: str) -> DataFrame:
+    paths = jobs.extract_tables(star.star_tables(spark, sf_dir), work_dir(spark, "extract"), fmt)
+    read = read_staged if fmt == "csv" else read_parquet
+    return table_contents({n: read(spark, p, TABLES[n].schema) for n, p in paths.items()})
 
 
-@register("sqlite_tables", "SELECT name FROM (VALUES ('Country'), ('League'), ('Match')) t(name)")
-def q_sqlite_tables(spark, sf_dir):
-    """S2 + P6: table names of a SQLite database (``type = 'table'`` only)."""
-    root = work_dir(spark, "sqlite-catalog")
-    for name in ["Country", "League", "Match"]:
-        sqlite.write_table(star.STAR_BUILDERS[name](spark, sf_dir), f"{root}/database", name)
-    return sqlite.list_tables(spark, f"{root}/database")
+@register("extract_parquet", _contents_sql(STAR_NAMES))
+def q_extract_parquet(spark, sf_dir):
+    """All seven tables landed as Parquet; rows and contents of what was landed."""
+    return _extracted(spark, sf_dir, "parquet")
+
+
+@register("extract_text", _contents_sql(STAR_NAMES))
+def q_extract_text(spark, sf_dir):
+    """All seven tables landed as ';' text, read back by the staged load."""
+    return _extracted(spark, sf_dir, "csv")
 
 
 # =============================================================================
@@ -634,14 +802,16 @@ STAGE_POINTS_SCHEMA = T.StructType([
 @register("stage_refresh", O.with_star("SELECT * FROM tsp", O.TEAM_ROWS_CTE, O.TEAM_STAGE_CTE,
                                        tables=LEAGUE_MATCH))
 def q_stage_refresh(spark, sf_dir):
-    """D4 + K10: points per team and stage in a table partitioned by
-    (season, stage); the last stage of every season is recomputed and only
-    its partitions replaced.  The table then equals a full rebuild."""
+    """D4 + K10: points per team and stage in a table partitioned by (season, stage).
+    First the last stage of every season is stored without scores (its matches are
+    still to be played); the refresh then replaces just those partitions."""
     m, lg = star.match(spark, sf_dir), star.league(spark, sf_dir)
     path = work_dir(spark, "stage-points")
-    files.write_parquet(P.team_stage_points(m, lg), path, partition_by=jobs.STAGE_PARTITIONS,
+    last = jobs.latest_stage_matches(m)
+    before = m.join(last.select("id"), "id", "left_anti")
+    files.write_parquet(P.team_stage_points(before, lg), path, partition_by=jobs.STAGE_PARTITIONS,
                         cluster=True)
-    jobs.refresh_stage_points(jobs.latest_stage_matches(m), lg, path)
+    jobs.refresh_stage_points(last, lg, path)
     return spark.read.schema(STAGE_POINTS_SCHEMA).parquet(path)
 
 
@@ -662,47 +832,55 @@ def q_streaming_league_table(spark, sf_dir):
     return stage_refresh.read_standings(spark, f"{root}/standings")
 
 
-def _full_refresh_sql() -> str:
-    parts = [f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count "
-             f"FROM {STAR_VIEW[n]}" for n in STAR_NAMES]
-    parts.append(f"SELECT 'Point' AS table_name, CAST(count(*) AS BIGINT) AS row_count "
-                 f"FROM ({O.POINTS_SQL}) p")
-    return O.with_star("\nUNION ALL\n".join(parts))
-
-
-@register("full_refresh", _full_refresh_sql())
+@register("full_refresh", _contents_sql([*STAR_NAMES, "Point"]))
 def q_full_refresh(spark, sf_dir):
     """W3 + S8: stage every star table as ';' text under one root, build the
     points Parquet, refresh the whole warehouse twice in load order with
-    checks; rows per table are those of one run."""
+    checks; rows and contents per table are those of one run."""
     from matchlake.sources.paths import table_path
 
     root = work_dir(spark, "full-refresh")
-    staged = jobs.stage_tables(star.star_tables(spark, sf_dir), root)
+    staged = jobs.extract_tables(star.star_tables(spark, sf_dir), root, "csv")
     points = table_path(root, "lake", "points")
     jobs.points_job(spark, staged["Match"], staged["League"], points)
     wh = Warehouse(spark, location=table_path(root, "warehouse"))
     for _ in range(2):
         jobs.full_refresh(spark, wh, staged, points)
-    return Q.row_counts({n: wh.table(n) for n in STAR_NAMES + ["Point"]})
+    return table_contents({n: wh.table(n) for n in STAR_NAMES + ["Point"]})
+
+
+@register("warehouse_constraints", _constraint_sql())
+def q_warehouse_constraints(spark, sf_dir):
+    """W3 + C1-C3: the declared constraints of a warehouse after its refresh."""
+    root = work_dir(spark, "checked-refresh")
+    staged = jobs.extract_tables(star.star_tables(spark, sf_dir), root, "csv")
+    jobs.points_job(spark, staged["Match"], staged["League"], f"{root}/points")
+    wh = Warehouse(spark, location=f"{root}/warehouse")
+    jobs.full_refresh(spark, wh, staged, f"{root}/points")
+    return jobs.check_constraints(wh)
 
 
 # =============================================================================
 # Data dictionary (K11 with A3)
 # =============================================================================
 
+# Written out, not taken from the schema that the query reads.
+PLAYER_DICTIONARY = [
+    ("id", "bigint", "Number of the player row."),
+    ("player_api_id", "bigint", "Key of the player in the match feed."),
+    ("player_name", "string", "Full name as printed on the team sheet."),
+    ("player_fifa_api_id", "bigint", "Key of the player in the ratings feed."),
+    ("birthday", "string", "Day of birth, as text."),
+    ("height", "double", "Body height in centimetres."),
+    ("weight", "double", "Body weight in pounds."),
+]
+
+
 def _dictionary_sql() -> str:
-    t = TABLES["Player"]
-    rows = []
-    for f in t.schema.fields:
-        comment = t.comments.get(f.name)
-        comment_sql = "CAST(NULL AS VARCHAR)" if comment is None else \
-            "'" + comment.replace("'", "''") + "'"
-        rows.append(f"SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
-                    f"{comment_sql} AS comment, "
-                    f"CAST(count(*) FILTER (WHERE {f.name} IS NULL) AS BIGINT) AS null_count "
-                    f"FROM player")
-    return O.with_star("\nUNION ALL\n".join(rows), tables=["player"])
+    return O.with_star("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, '{comment}' AS comment, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count FROM player"
+        for c, t, comment in PLAYER_DICTIONARY), tables=["player"])
 
 
 @register("column_comments", _dictionary_sql())

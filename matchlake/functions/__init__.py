@@ -1,14 +1,7 @@
-"""Column rules: ``Column -> Column`` helpers that stay inside whole-stage codegen."""
+"""Column rules that stay inside whole-stage codegen."""
 
+from matchlake.functions.dtypes import spark_type
 from matchlake.functions.results import match_points, match_result
-from matchlake.functions.rules import (
-    blank_to_null,
-    parse_typed,
-    truncate_text,
-)
-from matchlake.functions.dtypes import define_structure, equivalent_type
+from matchlake.functions.rules import load_rule_sql
 
-__all__ = [
-    "match_result", "match_points", "blank_to_null", "truncate_text",
-    "parse_typed", "equivalent_type", "define_structure",
-]
+__all__ = ["match_result", "match_points", "load_rule_sql", "spark_type"]

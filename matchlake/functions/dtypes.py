@@ -1,45 +1,44 @@
-"""pandas dtype name -> Spark type (F7), used when a pandas frame becomes a DataFrame."""
+"""Spark type of a pandas column (F7), by the kind and width of its dtype."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import types as T
 
-# The dtype rule.  Anything not listed becomes text.
-# float64 maps to DoubleType, not FloatType: a 32-bit float turns 1.73 into
-# 1.7300000190734863.
-DTYPE_TO_SPARK: dict[str, T.DataType] = {
-    "datetime64[ns]": T.TimestampType(),
-    "int64": T.LongType(),
-    "int32": T.IntegerType(),
-    "float64": T.DoubleType(),
-}
+# Spark types of dates, whole numbers of 64 and 32 bits, and floats.
+# Floats are 64-bit: a 32-bit one turns 1.73 into 1.7300000190734863.
+DATE_TYPE, LONG_TYPE, INT_TYPE, FLOAT_TYPE = (T.TimestampType(), T.LongType(), T.IntegerType(),
+                                              T.DoubleType())
 
+# numpy kind letter and bytes -> Spark type; narrower integers fit the 32-bit type,
+# unsigned ones of 32 bits need the 64-bit one.  Kinds not listed are text.
+_BY_KIND = {("i", 8): LONG_TYPE, ("i", 4): INT_TYPE, ("i", 2): INT_TYPE, ("i", 1): INT_TYPE,
+            ("u", 4): LONG_TYPE, ("u", 2): INT_TYPE, ("u", 1): INT_TYPE,
+            ("f", 8): FLOAT_TYPE, ("f", 4): FLOAT_TYPE, ("f", 2): FLOAT_TYPE,
+            ("b", 1): T.BooleanType()}
 
-def equivalent_type(dtype) -> T.DataType:
-    name = str(dtype)
-    if name.startswith("datetime64[") and name.endswith("]") and "," not in name:
-        return T.TimestampType()
-    return DTYPE_TO_SPARK.get(name, T.StringType())
 
+def spark_type(dtype) -> T.DataType:
+    """Spark type of a dtype or its name; pandas' nullable dtypes ("Int64") and time zones too."""
+    dtype = pd.api.types.pandas_dtype(dtype)
+    if dtype.kind == "M":
+        return DATE_TYPE
+    plain = getattr(dtype, "numpy_dtype", dtype)
+    return _BY_KIND.get((dtype.kind, getattr(plain, "itemsize", 0)), T.StringType())
 
-def define_structure(column: str, dtype) -> T.StructField:
-    try:
-        data_type = equivalent_type(dtype)
-    except Exception:  # an unreadable dtype is carried as text
-        data_type = T.StringType()
-    return T.StructField(column, data_type, True)
 
-
-def spark_to_pandas_dtype(data_type: T.DataType, has_nulls: bool) -> str:
+def read_dtype(data_type: T.DataType, has_nulls: bool) -> str:
     """The dtype pandas gives a column of ``data_type`` when it reads it.
 
-    Integer columns that hold a NULL come back as float64 (NaN marks the gap).
+    Whole numbers that hold a NULL come back as floats (NaN marks the gap), and
+    so do floats; truth values with a NULL as objects.
     """
-    if isinstance(data_type, T.LongType):
-        return "float64" if has_nulls else "int64"
-    if isinstance(data_type, T.IntegerType):
-        return "float64" if has_nulls else "int32"
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+    if isinstance(data_type, T.BooleanType):
+        return "object" if has_nulls else "bool"
+    if isinstance(data_type, T.IntegralType):
+        width = {"bigint": 64, "int": 32, "smallint": 16, "tinyint": 8}[data_type.simpleString()]
+        return "float64" if has_nulls else f"int{width}"
+    if isinstance(data_type, T.FractionalType) and not isinstance(data_type, T.DecimalType):
         return "float64"
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return "datetime64[ns]"

@@ -1,86 +1,34 @@
 """Load rules applied to text cells on their way into a typed table.
 
-These re-express the warehouse COPY options on Spark columns:
-
-* ``blank_to_null``  -- BLANKSASNULL: a cell of white space only becomes NULL.
-* empty to NULL      -- EMPTYASNULL: done by the CSV reader itself for quoted
-  and unquoted empty cells (see ``matchlake.sources.csv``).
-* ``truncate_text``  -- TRUNCATECOLUMNS: text longer than the column is cut.
-* ``parse_typed``    -- text to the column type; a cell that does not parse
-  fails the load, as COPY without an error allowance does.
-
-All are built-in expressions, so they stay JVM-side inside whole-stage codegen.
+These re-express the warehouse COPY options as SQL expressions, one per column:
+
+* blanks as NULL   -- a cell of white space only becomes NULL.
+* empty as NULL    -- done by the CSV reader itself for quoted and unquoted
+  empty cells (see ``matchlake.sources.csv``).
+* truncate columns -- text longer than a column's given length is cut; a column
+  without a given length is never cut.
+* typed parse      -- text to the column type.  An integer column also takes a
+  decimal text with a zero fraction ("1.0"), the form in which pandas writes an
+  integer column that holds a NULL.  Any other cell that does not parse fails
+  the load, as COPY without an error allowance does.
+
+A wide projection is handed to the JVM in one ``selectExpr`` call (a Column
+object per cell rule would cost a dozen Py4J calls per column) and stays inside
+whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.schemas import DEFAULT_TEXT_LIMIT
-
 # Characters counted as white space by the blank rule
 # (space, tab, line feed, carriage return, vertical tab, form feed).
 WHITESPACE = " \t\n\r\x0b\x0c"
 
-
-def is_blank(c: Column) -> Column:
-    """True for '' and for text made only of white space; NULL stays NULL."""
-    return F.length(F.trim(c, F.lit(WHITESPACE))) == 0
-
-
-def blank_to_null(c: Column) -> Column:
-    """Blank or empty text becomes NULL; other text is kept as it is (not trimmed)."""
-    return F.when(is_blank(c), F.lit(None).cast("string")).otherwise(c)
+# A whole number written with a fraction of zeros only.
+WHOLE_DECIMAL = r"[+-]?[0-9]+[.]0*"
 
 
-def truncate_text(c: Column, limit: int = DEFAULT_TEXT_LIMIT) -> Column:
-    """Cut text to at most ``limit`` characters; never raises."""
-    return F.left(c, F.lit(int(limit)))
-
-
-def parse_typed(raw: Column, data_type: T.DataType, column_name: str) -> Column:
-    """Cast text to ``data_type``; blank or empty text is NULL, and any other
-    cell that does not parse fails the job.
-
-    ``try_cast`` keeps the behaviour independent of the session's ANSI setting
-    and already gives NULL for a blank cell, so the blank test runs only on
-    the rare cells whose cast failed (``AND`` stops at the first false
-    operand), never on every cell.  ``raise_error`` makes a bad cell stop the
-    load instead of becoming NULL.
-    """
-    if isinstance(data_type, T.StringType):
-        return blank_to_null(raw)
-    typed = raw.try_cast(data_type)
-    message = F.concat(
-        F.lit(f"cannot load column {column_name} as {data_type.simpleString()}: '"),
-        raw,
-        F.lit("'"),
-    )
-    bad = typed.isNull() & raw.isNotNull() & ~is_blank(raw)
-    return F.when(bad, F.raise_error(message)).otherwise(typed)
-
-
-def load_rules(
-    raw: Column,
-    data_type: T.DataType,
-    column_name: str,
-    text_limit: int | None = DEFAULT_TEXT_LIMIT,
-) -> Column:
-    """Blank/empty to NULL, then cut (text) or parse (other types)."""
-    if isinstance(data_type, T.StringType):
-        c = blank_to_null(raw)
-        return truncate_text(c, text_limit) if text_limit else c
-    return parse_typed(raw, data_type, column_name)
-
-
-# --- the same rules as SQL text, for wide tables --------------------------------
-# Building one Column per cell rule costs a dozen Py4J calls per column; for a
-# 115-column table that is thousands of calls per query.  The SQL form hands
-# the whole projection to the JVM in one ``selectExpr`` call and plans to the
-# same expressions.
-
 def _sql_string(text: str) -> str:
     out = []
     for ch in text:
@@ -97,17 +45,26 @@ def quote_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def load_rule_sql(name: str, data_type: T.DataType,
-                  text_limit: int | None = DEFAULT_TEXT_LIMIT) -> str:
-    """``load_rules`` for one column as a SQL expression, aliased to ``name``."""
+def load_rule_sql(name: str, data_type: T.DataType, length: int | None = None) -> str:
+    """The load rules of one column as a SQL expression, aliased to ``name``.
+
+    ``try_cast`` keeps the behaviour independent of the session's ANSI setting
+    and gives NULL for a blank cell; the further tests run only on the rare
+    cells whose cast failed (``AND`` stops at the first false operand).
+    """
     c = quote_name(name)
-    blank = f"length(trim(BOTH {_sql_string(WHITESPACE)} FROM {c})) = 0"
+    white = _sql_string(WHITESPACE)
+    blank = f"length(trim(BOTH {white} FROM {c})) = 0"
     if isinstance(data_type, T.StringType):
         kept = f"CASE WHEN {blank} THEN NULL ELSE {c} END"
-        body = f"left({kept}, {int(text_limit)})" if text_limit else kept
+        body = kept if length is None else f"left({kept}, {int(length)})"
         return f"{body} AS {c}"
     t = data_type.simpleString()
     typed = f"try_cast({c} AS {t})"
+    if isinstance(data_type, T.IntegralType):
+        text = f"trim(BOTH {white} FROM {c})"
+        typed = (f"coalesce({typed}, CASE WHEN {text} RLIKE '^{WHOLE_DECIMAL}$' "
+                 f"THEN try_cast(substring_index({text}, '.', 1) AS {t}) END)")
     message = (f"concat({_sql_string(f'cannot load column {name} as {t}: ' + chr(39))}, "
                f"{c}, {_sql_string(chr(39))})")
     return (f"CASE WHEN {typed} IS NULL AND {c} IS NOT NULL AND NOT ({blank}) "

@@ -5,7 +5,7 @@ dtypes to Spark types (F7).  The only thing about the data that decides a
 dtype is whether an integer column holds a NULL (pandas then reads it as
 float64), so one JVM aggregate over the table is enough; the table is never
 converted to pandas.  The dtype and the mapped type are Column expressions
-built from the same rule table (``matchlake.functions.dtypes``).
+from the rules of ``matchlake.functions.dtypes``.
 """
 
 from __future__ import annotations
@@ -14,22 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.functions.dtypes import DTYPE_TO_SPARK, equivalent_type, spark_to_pandas_dtype
+from matchlake.functions.dtypes import read_dtype, spark_type
 
 
 def _dtype_expr(dt: T.DataType, nulls: Column) -> Column:
-    with_nulls, without = spark_to_pandas_dtype(dt, True), spark_to_pandas_dtype(dt, False)
+    with_nulls, without = read_dtype(dt, True), read_dtype(dt, False)
     if with_nulls == without:
         return F.lit(without)
     return F.when(nulls > 0, F.lit(with_nulls)).otherwise(F.lit(without))
 
 
-def _rule_expr(dtype: Column) -> Column:
-    """F7 as an expression: known dtype names map by the table, others to string."""
-    out = F.lit(equivalent_type("object").simpleString())
-    for name, spark_type in DTYPE_TO_SPARK.items():
-        out = F.when(dtype == F.lit(name), F.lit(spark_type.simpleString())).otherwise(out)
-    return out
+def _type_expr(dt: T.DataType, nulls: Column) -> Column:
+    with_nulls, without = (spark_type(read_dtype(dt, n)).simpleString() for n in (True, False))
+    return F.when(nulls > 0, F.lit(with_nulls)).otherwise(F.lit(without))
 
 
 def pandas_dtypes(df: DataFrame) -> DataFrame:
@@ -42,7 +39,8 @@ def pandas_dtypes(df: DataFrame) -> DataFrame:
             F.lit(f.name).alias("column_name"),
             F.lit(i + 1).alias("position"),
             _dtype_expr(f.dataType, F.col(f"_n{i}")).alias("pandas_dtype"),
+            _type_expr(f.dataType, F.col(f"_n{i}")).alias("spark_type"),
         )
         for i, f in enumerate(fields)
     ])))
-    return rows.withColumn("spark_type", _rule_expr(F.col("pandas_dtype")))
+    return rows

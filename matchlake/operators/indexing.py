@@ -5,12 +5,14 @@ the rows are sorted with a range-partitioned global sort, checkpointed to the
 shared checkpoint folder (so both passes below see exactly the same
 partitions, also after an executor loss), the rows per partition are counted
 (one small row per partition), and each row's index is the offset of its
-partition plus its position inside it.  All of it JVM-side.
+partition plus its position inside it.  A hash of the whole row stands after
+the sort keys, so rows with one hot key (or NULL) split over partitions.  All
+of it JVM-side; no count reaches the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.session import ensure_checkpoint_dir
@@ -20,15 +22,14 @@ def with_row_index(df: DataFrame, order_by: str | list[str] = "id",
                    name: str = "index", start: int = 0) -> DataFrame:
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*keys).checkpoint(eager=True)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     pid = F.spark_partition_id()
-    sizes = {r["p"]: r["n"] for r in
-             ordered.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_parts = max(sizes) + 1 if sizes else 1
-    offsets, acc = [], start
-    for p in range(n_parts):
-        offsets.append(acc)
-        acc += sizes.get(p, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), pid + 1)
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    return ordered.select((offset + position).alias(name), *[F.col(f"`{c}`") for c in df.columns])
+    ordered = (df.orderBy(*keys, row)
+               .select(F.struct("*").alias("_row"), pid.alias("_part"), position.alias("_at"))
+               .checkpoint(eager=True))
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    offsets = sizes.select("_part", (before + start).alias("_first"))  # a row per partition
+    return ordered.join(offsets, "_part").select(
+        (F.col("_first") + F.col("_at")).alias(name), "_row.*")

@@ -32,11 +32,14 @@ class Warehouse:
         return f"`{self.database}`.`{table}`"
 
     # K5 + K11
-    def create(self, table: str | TableDef) -> str:
+    def create(self, table: str | TableDef, partition_by: list[str] | None = None) -> str:
+        """With ``partition_by`` the table's folders follow those columns."""
         t = TABLES[table] if isinstance(table, str) else table
+        layout = f" PARTITIONED BY ({', '.join(map(quote_name, partition_by))})" \
+            if partition_by else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(t.name)} ({ddl(t.schema, t.comments)}) "
-            f"USING parquet"
+            f"USING parquet{layout}"
         )
         return self.name(t.name)
 
@@ -56,8 +59,9 @@ class Warehouse:
         Without ``append_only`` the table's rows are replaced; with it the new
         rows are added.  Table columns not in ``fields`` get NULL.
         """
-        target = self.spark.table(self.name(table))
-        fields = list(fields) if fields else target.columns
+        target = self.spark.table(self.name(table))  # partition columns stand last in it
+        declared = TABLES[table].columns if table in TABLES else target.columns
+        fields = list(fields) if fields else declared
         if len(fields) != len(df.columns):
             raise ValueError(f"{len(df.columns)} columns given for {len(fields)} fields")
         source = dict(zip(fields, df.columns))

@@ -2,8 +2,9 @@
 
 Plan shape, checked with ``explain``:
 
-* ``points_result``: one scan of Match (5 columns read), broadcast hash join
-  with League (size checked first), a projection.  No shuffle.
+* ``points_result``: one scan of Match (5 columns read), a join with League (a
+  broadcast hash join while League is small by the planner's own size, a
+  shuffle join beyond), a projection.
 * ``team_stage_points``: one scan of Match, a Generate that turns each match
   into its two team rows, a partial (map-side) aggregate, one shuffle on the
   four group keys, the final aggregate, then a broadcast join for the league
@@ -11,7 +12,9 @@ Plan shape, checked with ``explain``:
   shuffle, so skew in the facts does not reach a single reducer.
 * ``league_table_by_stage``: the aggregated rows (teams x stages, bounded by
   the dimensions, not by the number of matches) are shuffled once on
-  (league_id, season); both windows reuse that partitioning.
+  (league_id, season); the grid and all windows reuse that partitioning.
+
+Building a plan starts no job.
 """
 
 from __future__ import annotations
@@ -20,27 +23,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.results import match_points, match_result
-from matchlake.plans.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
-
 POINT_COLUMNS = ["match_api_id", "home_team_goal", "away_team_goal", "season", "result", "name"]
 
 STAGE_METRICS = ["played", "wins", "draws", "losses", "goals_for", "goals_against", "points"]
 
 
-def _league_names(league: DataFrame, max_rows: int | None) -> DataFrame:
-    return sized_broadcast(
-        league.select(F.col("id").alias("_league_key"), F.col("name")), max_rows
-    )
+def _league_names(league: DataFrame) -> DataFrame:
+    return league.select(F.col("id").alias("_league_key"), F.col("name"))
 
 
-def points_result(match: DataFrame, league: DataFrame, strict: bool = False,
-                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def points_result(match: DataFrame, league: DataFrame, strict: bool = False) -> DataFrame:
     """Label each match Home / Away / Tie and attach its league name.
 
     Inner join: a match whose league id is NULL or unknown is dropped.
     """
     m = match.select("match_api_id", "home_team_goal", "away_team_goal", "season", "league_id")
-    joined = m.join(_league_names(league, broadcast_rows),
+    joined = m.join(_league_names(league),
                     F.col("league_id") == F.col("_league_key"), "inner")
     return joined.select(
         "match_api_id",
@@ -72,11 +70,10 @@ def _team_rows(match: DataFrame) -> DataFrame:
     return rows.withColumn("points", match_points(F.col("goals_for"), F.col("goals_against")))
 
 
-def team_match_points(match: DataFrame, league: DataFrame,
-                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def team_match_points(match: DataFrame, league: DataFrame) -> DataFrame:
     """3 / 1 / 0 points per team per match (D1); matches without both scores are skipped."""
     rows = _team_rows(match)
-    joined = rows.join(_league_names(league, broadcast_rows),
+    joined = rows.join(_league_names(league),
                        F.col("league_id") == F.col("_league_key"), "inner")
     return joined.select(
         "match_api_id", "league_id", "name", "season", "stage",
@@ -102,28 +99,20 @@ def stage_totals(match: DataFrame) -> DataFrame:
     )
 
 
-def merge_stage_totals(partials: DataFrame) -> DataFrame:
-    """Sum partial ``stage_totals`` (e.g. one per micro-batch): every metric is additive."""
-    return partials.groupBy(*STAGE_KEYS).agg(
-        *[F.sum(m).cast("bigint").alias(m) for m in STAGE_METRICS])
-
-
-def name_stages(totals: DataFrame, league: DataFrame,
-                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def name_stages(totals: DataFrame, league: DataFrame) -> DataFrame:
     """Attach the league name; unknown leagues drop out (inner join)."""
-    named = totals.join(_league_names(league, broadcast_rows),
+    named = totals.join(_league_names(league),
                         F.col("league_id") == F.col("_league_key"), "inner")
     return named.select("league_id", "name", "season", "stage", "team_api_id", *STAGE_METRICS)
 
 
-def team_stage_points(match: DataFrame, league: DataFrame,
-                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def team_stage_points(match: DataFrame, league: DataFrame) -> DataFrame:
     """Per team and stage (a league week): games, wins, draws, losses, goals, points.
 
     The name is joined after the aggregate: the join sees one row per team and
     stage instead of one per match.
     """
-    return name_stages(stage_totals(match), league, broadcast_rows)
+    return name_stages(stage_totals(match), league)
 
 
 # The tie-break of the standings is our choice (the source names none):
@@ -132,24 +121,35 @@ STANDING_ORDER = ["points", "goal_difference", "goals_for"]
 
 
 def league_table_by_stage(stage_points: DataFrame) -> DataFrame:
-    """League table after every stage of every season (D3).
+    """The whole league table after every stage of every season (D3).
 
-    Totals are running sums over the stages a team played so far; position is
-    ``rank()`` within (league, season, stage) by ``STANDING_ORDER``.  A team
-    without a match in a stage has no row for that stage.
+    Every team of a league-season has a row in every stage of that
+    league-season: totals are running sums over the stages so far (zeros before
+    a team's first match, carried on through weeks without one) and position is
+    ``rank()`` among all teams by ``STANDING_ORDER``.
     """
-    # One shuffle serves both windows: hash(league_id, season) satisfies the
-    # clustering of (league_id, season, team_api_id) and of
-    # (league_id, season, stage).
+    # One shuffle serves everything: hash(league_id, season) satisfies the clustering
+    # of (league_id, season, team_api_id) and of (league_id, season, stage).
     clustered = stage_points.repartition("league_id", "season")
+    week = F.struct("stage", F.struct(*STAGE_METRICS).alias("got"))
+    per_team = clustered.groupBy("league_id", "name", "season", "team_api_id").agg(
+        F.collect_list(week).alias("weeks"))
+    together = Window.partitionBy("league_id", "season")
+    grid = (per_team
+            .withColumn("stages", F.array_distinct(F.flatten(
+                F.collect_list(F.transform("weeks", lambda w: w["stage"])).over(together))))
+            .withColumn("stage", F.explode("stages"))
+            .withColumn("week", F.get(F.filter(
+                "weeks", lambda w: w["stage"].eqNullSafe(F.col("stage"))), F.lit(0))))
     running = (
         Window.partitionBy("league_id", "season", "team_api_id")
         .orderBy("stage")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    totals = clustered.select(
+    totals = grid.select(
         "league_id", "name", "season", "stage", "team_api_id",
-        *[F.sum(m).over(running).alias(m) for m in STAGE_METRICS],
+        *[F.sum(F.coalesce(F.col("week.got")[m], F.lit(0))).over(running).cast("bigint").alias(m)
+          for m in STAGE_METRICS],
     ).withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
     standing = Window.partitionBy("league_id", "season", "stage").orderBy(
         *[F.col(c).desc() for c in STANDING_ORDER]

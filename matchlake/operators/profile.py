@@ -11,11 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.plans.joins import broadcast_if_small
+from matchlake.operators.quantiles import exact_quantiles, long_values
 
-# Most candidate hash groups broadcast to the confirm step of the repeated-row
-# search; beyond it the exact direct grouping is used.
-DUPLICATE_CANDIDATES_BROADCAST_ROWS = 1_000_000
+COPIES_PER_ROW = 10_000  # copies of one row that a task writes out in one step of repeated_rows
 
 
 def _is_float(dt: T.DataType) -> bool:
@@ -36,11 +34,6 @@ def shape(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def column_types(df: DataFrame) -> list[tuple[str, str]]:
-    """Column names with their Spark type names (``df.dtypes``); metadata only."""
-    return list(df.dtypes)
-
-
 # --- A3 ----------------------------------------------------------------------------
 
 def null_profile(df: DataFrame, table: str) -> DataFrame:
@@ -74,45 +67,50 @@ def _hash_input(df: DataFrame) -> list[Column]:
     return out
 
 
-def repeated_groups(df: DataFrame,
-                    broadcast_rows: int | None = DUPLICATE_CANDIDATES_BROADCAST_ROWS) -> DataFrame:
+def repeated_groups(df: DataFrame) -> DataFrame:
     """Distinct rows that occur more than once, with ``n_copies``.
 
     NULLs (and NaNs) compare equal, as in pandas ``duplicated``.
 
     Hash first: every row is reduced to two independent 32/64-bit hashes and
     only (hash, count) pairs are shuffled.  Hash groups with one row cannot
-    hold a repeat.  If the remaining candidate groups fit the broadcast bound,
-    only rows in those groups are grouped on their real columns (exact; a hash
-    collision is split apart there).  Otherwise every row is grouped directly,
-    which is exact too, with a map-side partial aggregate.
+    hold a repeat, so only rows of the other groups are grouped on their real
+    columns (a hash collision is split apart there).  The planner picks the
+    semi-join at run time; both groupings aggregate before they shuffle.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
     hashed = df.select(*cols, F.xxhash64(*_hash_input(df)).alias("_h1"),
                        F.hash(*_hash_input(df)).alias("_h2"))
     candidates = (hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
                   .where(F.col("_n") > 1).select("_h1", "_h2"))
-    marked, small = broadcast_if_small(candidates, broadcast_rows, materialize=True)
-    if small:  # bounded: confirm only the rows of candidate groups
-        source = hashed.join(marked, ["_h1", "_h2"], "left_semi").select(*cols)
-    else:
-        source = df
+    source = hashed.join(candidates, ["_h1", "_h2"], "left_semi").select(*cols)
     grouped = source.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_copies"))
     return grouped.where(F.col("n_copies") > 1)
 
 
-def repeated_rows(df: DataFrame, **kw) -> DataFrame:
-    """Rows that repeat an earlier row (``df[df.duplicated()]``), one line per
-    distinct row with ``extra_copies`` = copies after the first."""
-    g = repeated_groups(df, **kw)
-    return g.select(*[F.col(f"`{c}`") for c in df.columns],
-                    (F.col("n_copies") - 1).alias("extra_copies"))
-
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """The second and later copies of every row (``df[df.duplicated()]``), as rows.
 
-def duplicate_rows(df: DataFrame, table: str, **kw) -> DataFrame:
+    Copies are written out in two steps with a shuffle between them, so the
+    copies of one hot row are spread over the tasks.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    extra = F.col("n_copies") - 1
+    last = ((extra - 1) / COPIES_PER_ROW).cast("bigint")
+    parts = repeated_groups(df).select(
+        *cols, extra.alias("_extra"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_part"))
+    size = F.least(F.lit(COPIES_PER_ROW).cast("bigint"),
+                   F.col("_extra") - F.col("_part") * COPIES_PER_ROW)
+    spread = parts.repartition(F.xxhash64(*_hash_input(df)), "_part")
+    return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_copy")) \
+        .select(*cols)
+
+
+def duplicate_rows(df: DataFrame, table: str) -> DataFrame:
     """(table_name, row_count, duplicate_rows): count of second and later copies."""
     total = df.agg(F.count(F.lit(1)).alias("_v")).select(F.lit("row_count").alias("_k"), "_v")
-    extra = repeated_groups(df, **kw).agg(
+    extra = repeated_groups(df).agg(
         F.coalesce(F.sum(F.col("n_copies") - 1), F.lit(0)).cast("bigint").alias("_v")
     ).select(F.lit("duplicate_rows").alias("_k"), "_v")
     both = total.unionByName(extra)
@@ -128,66 +126,35 @@ PROFILE_STATS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
 
 
 def numeric_profile(df: DataFrame, table: str, columns: list[str] | None = None,
-                    digits: int | None = None, approx_accuracy: int | None = None) -> DataFrame:
+                    digits: int | None = None) -> DataFrame:
     """``describe()``: count, mean, std (sample), min, quartiles, max per numeric column.
 
-    Quartiles interpolate linearly between ranks, as pandas does.  Exact by
-    default: ``matchlake.operators.quantiles.exact_quantiles`` narrows each
-    quartile down over a few distributed passes with bounded memory.  With
-    ``approx_accuracy`` one pass of ``percentile_approx`` is used instead.
-    NaN counts as missing, like NULL.
+    The columns become rows (column number, value), so the plan stays as small
+    for a hundred columns as for one.  Quartiles are exact and interpolate
+    linearly between ranks, as pandas does.  NaN counts as missing, like NULL;
+    infinities sort at the ends.
     """
-    from matchlake.operators.quantiles import exact_quantiles
-
-    numeric = [f for f in df.schema.fields
-               if isinstance(f.dataType, T.NumericType)
-               and (columns is None or f.name in columns)]
-    names = [f.name for f in numeric]
-    clean = df.select(*[
-        F.when(_missing(F.col(f"`{f.name}`"), f.dataType), F.lit(None))
-        .otherwise(F.col(f"`{f.name}`")).cast("double").alias(f.name)
-        for f in numeric
-    ])
-    moment_exprs = [
-        e for i, n in enumerate(names) for e in (
-            F.count(F.col(f"`{n}`")).alias(f"_c{i}"),
-            F.avg(F.col(f"`{n}`")).alias(f"_m{i}"),
-            F.stddev_samp(F.col(f"`{n}`")).alias(f"_s{i}"),
-            F.min(F.col(f"`{n}`")).alias(f"_lo{i}"),
-            F.max(F.col(f"`{n}`")).alias(f"_hi{i}"),
-        )
-    ]
-    probs = [0.25, 0.5, 0.75]
-    if approx_accuracy:
-        stats = clean.agg(*moment_exprs, *[
-            F.percentile_approx(F.col(f"`{n}`"), probs, approx_accuracy).alias(f"_q{i}")
-            for i, n in enumerate(names)
-        ])
-        qcols = {i: [F.col(f"_q{i}")[k] for k in range(3)] for i in range(len(names))}
-    else:
-        stats = clean.agg(*moment_exprs)
-        qvals = exact_quantiles(clean, names, probs)  # {(column, prob): value}
-        qcols = {i: [F.lit(qvals.get((n, p))).cast("double") for p in probs]
-                 for i, n in enumerate(names)}
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)
+             and (columns is None or f.name in columns)]
+    values = long_values(df, names)
+    moments = values.groupBy("c").agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    quarters = exact_quantiles(values, [0.25, 0.5, 0.75])
+    labels = F.array(*[F.lit(n) for n in names]) if names else F.array(F.lit(""))
+    columns_of = df.sparkSession.range(len(names)).select(
+        F.col("id").cast("int").alias("c"),
+        F.element_at(labels, F.col("id").cast("int") + 1).alias("column_name"))
 
     def r(c: Column) -> Column:
         return F.round(c, digits) if digits is not None else c
 
-    return stats.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(n).alias("column_name"),
-            F.col(f"_c{i}").alias("count"),
-            r(F.col(f"_m{i}")).alias("mean"),
-            r(F.col(f"_s{i}")).alias("std"),
-            r(F.col(f"_lo{i}")).alias("min"),
-            r(qcols[i][0]).alias("q25"),
-            r(qcols[i][1]).alias("q50"),
-            r(qcols[i][2]).alias("q75"),
-            r(F.col(f"_hi{i}")).alias("max"),
-        )
-        for i, n in enumerate(names)
-    ])))
+    return columns_of.join(moments, "c", "left").join(quarters, "c", "left").select(
+        F.lit(table).alias("table_name"), "column_name",
+        F.coalesce("count", F.lit(0).cast("bigint")).alias("count"),
+        *[r(F.col(c)).alias(c) for c in ("mean", "std", "min")],
+        *[r(F.col("q")[k]).alias(n) for k, n in enumerate(("q25", "q50", "q75"))],
+        r(F.col("max")).alias("max"))
 
 
 # --- P8, L1 ------------------------------------------------------------------------

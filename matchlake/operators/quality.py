@@ -12,9 +12,10 @@ Scale notes:
   (one value holding a third of the rows) is collapsed to one row per task
   before the shuffle.
 * Reference checks read the child once for all its references: rows are
-  unpivoted into (column, key) pairs and anti-joined once with the parents'
-  keys; only orphan pairs are counted.  The parent side is broadcast only
-  after its size is checked.
+  unpivoted into (column, key) pairs and counted per pair before any join, so
+  a hot key is one row per task when it is shuffled; the distinct pairs are
+  anti-joined with the parents' keys.
+* Nothing runs when a check is built; the planner chooses joins at run time.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.plans.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from matchlake.schemas import TABLES, TableDef
 
 log = logging.getLogger(__name__)
 
@@ -123,20 +124,13 @@ def check_report(spark: SparkSession, tables: dict[str, DataFrame],
         .when(F.col("comparison") == ">", F.col("actual") > F.col("expected"))
         .otherwise(F.col("actual") == F.col("expected"))
     )
-    failed_msg = F.concat(
-        F.lit("Data quality check failed for "), F.col("table_name"),
-        F.lit(". actual result was "), F.col("actual").cast("string"),
-        F.lit(" but expected result was "), F.col("comparison"), F.lit(" "),
-        F.col("expected").cast("string"),
-    )
+    text = [F.col(c).cast("string") for c in ("actual", "expected")]
     message = (
         F.when(F.col("actual").isNull(),
-               F.concat(F.lit("Data quality check failed for "), F.col("table_name"),
-                        F.lit(" returned no results")))
-        .when(passed, F.concat(F.lit("Data quality on table "), F.col("table_name"),
-                               F.lit(" check passed with "), F.col("actual").cast("string"),
-                               F.lit(" records")))
-        .otherwise(failed_msg)
+               F.concat(F.col("table_name"), F.lit(": the check query gave no row")))
+        .when(passed, F.concat(F.col("table_name"), F.lit(": ok, "), text[0]))
+        .otherwise(F.concat(F.col("table_name"), F.lit(": found "), text[0], F.lit(", wanted "),
+                            F.col("comparison"), F.lit(" "), text[1]))
     )
     return report.select(*REPORT_COLUMNS[:6], passed.alias("passed"), message.alias("message"))
 
@@ -221,17 +215,11 @@ class Reference:
     parent_column: str
 
 
-def fk_orphans(child: DataFrame, child_table: str, references: list[Reference],
-               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def fk_orphans(child: DataFrame, child_table: str, references: list[Reference]) -> DataFrame:
     """Child key values (not NULL) with no parent row, with their row counts.
 
     Returns (child_table, child_column, parent_table, parent_column,
-    key_value, n_rows).  One scan of the child serves every reference: each
-    row is unpivoted into (child_column, key) pairs and anti-joined once with
-    the parents' keys tagged the same way; only orphan pairs are counted.
-    The parent keys are broadcast when their size is checked small; else the
-    join shuffles on (child_column, key), and a hot key is split by AQE's
-    skew handling.
+    key_value, n_rows).  One scan of the child serves every reference.
     """
     types = {child.schema[r.column].dataType for r in references}
     key_type = types.pop() if len(types) == 1 else None
@@ -239,19 +227,21 @@ def fk_orphans(child: DataFrame, child_table: str, references: list[Reference],
     def as_key(c: Column) -> Column:
         return c if key_type is not None else c.cast("string")
 
-    pairs = child.select(F.inline(F.array(*[
+    keys = (child.select(F.inline(F.array(*[
         F.struct(F.lit(r.column).alias("child_column"), as_key(F.col(r.column)).alias("key"))
         for r in references
     ]))).where(F.col("key").isNotNull())
+        .groupBy("child_column", "key").agg(F.count(F.lit(1)).alias("n_rows")))
+    by_parent: dict[tuple[str, str], list[Reference]] = {}
+    for r in references:  # a parent that several columns name is read once
+        by_parent.setdefault((r.parent_table, r.parent_column), []).append(r)
     parents = reduce(DataFrame.unionByName, [
-        r.parent.select(F.lit(r.column).alias("child_column"),
-                        as_key(F.col(r.parent_column)).alias("key"))
-        .where(F.col("key").isNotNull())
-        for r in references
+        rs[0].parent.select(
+            F.explode(F.array(*[F.lit(r.column) for r in rs])).alias("child_column"),
+            as_key(F.col(rs[0].parent_column)).alias("key")).where(F.col("key").isNotNull())
+        for rs in by_parent.values()
     ])
-    orphans = (pairs.join(sized_broadcast(parents, broadcast_rows), ["child_column", "key"],
-                          "left_anti")
-               .groupBy("child_column", "key").agg(F.count(F.lit(1)).alias("n_rows")))
+    orphans = keys.join(parents, ["child_column", "key"], "left_anti")
 
     def lookup(attr: str) -> Column:
         out = F.lit(None).cast("string")
@@ -267,3 +257,55 @@ def fk_orphans(child: DataFrame, child_table: str, references: list[Reference],
         F.col("key").cast("string").alias("key_value"),
         "n_rows",
     )
+
+
+# --- all declared constraints -----------------------------------------------------
+
+CONSTRAINT_COLUMNS = ["table_name", "constraint", "column_name", "parent", "bad_keys", "bad_rows"]
+
+
+def _references(tables: dict[str, DataFrame], t: TableDef) -> list[Reference]:
+    return [Reference(r.column, tables[r.parent], r.parent, r.parent_column)
+            for r in t.references
+            if r.enabled and r.parent in tables and r.column in tables[t.name].columns]
+
+
+def constraint_report(tables: dict[str, DataFrame],
+                      definitions: dict[str, TableDef] | None = None) -> DataFrame:
+    """Every declared primary key, unique column and enabled reference of the given tables.
+
+    One row per constraint (``CONSTRAINT_COLUMNS``): how many key values break it
+    and how many rows hold them.
+    """
+    definitions = definitions or TABLES
+    parts: list[DataFrame] = []
+
+    def totals(bad: DataFrame, *labels: Column) -> DataFrame:
+        return bad.agg(F.count(F.lit(1)).alias("bad_keys"),
+                       F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("bad_rows")) \
+            .select(*labels, "bad_keys", "bad_rows")
+
+    for name, df in tables.items():
+        t = definitions[name]
+        for kind, keys in [("primary key", [t.primary_key] if t.primary_key else []),
+                           ("unique", [(u,) for u in t.unique])]:
+            for key in keys:
+                if set(key) <= set(df.columns):
+                    parts.append(totals(
+                        key_violations(df, name, key, primary=kind == "primary key"),
+                        F.lit(name).alias("table_name"), F.lit(kind).alias("constraint"),
+                        F.lit(",".join(key)).alias("column_name"),
+                        F.lit(None).cast("string").alias("parent")))
+        references = _references(tables, t)
+        if references:
+            found = fk_orphans(df, name, references).groupBy("child_column").agg(
+                F.count(F.lit(1)).alias("bad_keys"), F.sum("n_rows").alias("bad_rows"))
+            named = F.array(*[F.struct(F.lit(r.column).alias("child_column"),
+                                       F.lit(f"{r.parent_table}.{r.parent_column}").alias("parent"))
+                              for r in references])
+            one = df.sparkSession.range(1).select(F.inline(named))
+            parts.append(one.join(found, "child_column", "left").select(
+                F.lit(name).alias("table_name"), F.lit("reference").alias("constraint"),
+                F.col("child_column").alias("column_name"), "parent",
+                *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("bad_keys", "bad_rows")]))
+    return reduce(DataFrame.unionByName, parts).select(*CONSTRAINT_COLUMNS)

@@ -1,194 +1,71 @@
-"""Exact quantiles with bounded memory, by distributed narrowing.
-
-Spark's exact ``percentile`` keeps every distinct value of a column in the one
-task that merges a global aggregate; for an id column of a 100 TB table that
-is an unbounded group in one task.  Here each wanted rank is found by a few
-distributed passes instead:
-
-1. Each probe is an open interval ``(lo, hi)`` of one column that holds the
-   wanted ranks, and the number of values at or below ``lo``.  At the start
-   the interval is the whole line.
-2. If the interval holds at most ``final_rows`` values, they are counted per
-   distinct value (one small grouped pass) and the ranks are read off.  That
-   collect is bounded by ``final_rows`` rows per probe.
-3. Otherwise one aggregate gives ``buckets`` cut points from
-   ``percentile_approx`` inside the interval (rank-balanced; its memory is
-   fixed by ``accuracy``), and one grouped pass counts values below, equal to
-   and between the cut points.  The rank lands either on a cut point (done:
-   a hot value holding a third of the rows ends here) or strictly between
-   two, which becomes the next, ~``buckets`` times smaller interval.
-
-Interpolation is linear between the two ranks around ``p * (n - 1)``, as in
-pandas ``describe`` and DuckDB ``quantile_cont``.
+"""Exact quantiles of many columns at once, without any value on the driver.
+
+Values are counted per (column, value) with a partial aggregate, so a hot value
+is one row per task, and range-partitioned by (column, value): the one shuffle
+of the data.  The sorted counts are checkpointed to the shared folder (both
+passes below must see the same partitions, also after an executor loss).  One
+small row per partition and column gives each partition's first rank; only the
+partitions that hold a wanted rank are read again to find its value.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-
-@dataclass
-class _Probe:
-    column: str
-    lo: float | None          # open lower bound, None = -inf
-    hi: float | None          # open upper bound, None = +inf
-    below: int                # values <= lo
-    size: int                 # values inside (lo, hi)
-    ranks: set[int] = field(default_factory=set)   # 0-based ranks still open
-
-    def contains(self, v: Column) -> Column:
-        c = v.isNotNull()
-        if self.lo is not None:
-            c = c & (v > F.lit(self.lo))
-        if self.hi is not None:
-            c = c & (v < F.lit(self.hi))
-        return c
-
-
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                    buckets: int = 100, accuracy: int = 10_000,
-                    final_rows: int = 20_000, max_rounds: int = 16) -> dict:
-    """{(column, prob): value} for numeric columns of ``df`` (NULLs ignored)."""
-    if not columns:
-        return {}
-    # One pass gives every column's count and its first cut points.
-    cut_probs = [j / buckets for j in range(1, buckets)]
-    first = df.agg(*[e for i, c in enumerate(columns) for e in (
-        F.count(F.col(f"`{c}`")).alias(f"_n{i}"),
-        F.percentile_approx(F.col(f"`{c}`"), cut_probs, accuracy).alias(f"_q{i}"),
-    )]).first()
-    n = {c: first[f"_n{i}"] for i, c in enumerate(columns)}
-    first_cuts = {c: sorted(set(first[f"_q{i}"] or [])) for i, c in enumerate(columns)}
-    wanted: dict[tuple[str, float], tuple[int, int, float]] = {}
-    probes: list[_Probe] = []
-    for c in columns:
-        if not n[c]:
-            continue
-        ranks = set()
-        for p in probs:
-            h = p * (n[c] - 1)
-            lo_r, hi_r = math.floor(h), math.ceil(h)
-            wanted[(c, p)] = (lo_r, hi_r, h - lo_r)
-            ranks.update((lo_r, hi_r))
-        probes.append(_Probe(c, None, None, 0, n[c], ranks))
-    found: dict[tuple[str, int], float] = {}
-
-    for _ in range(max_rounds):
-        if not probes:
-            break
-        small = [p for p in probes if p.size <= final_rows]
-        large = [p for p in probes if p.size > final_rows]
-        if small:
-            _finish(df, small, found)
-        probes = _narrow(df, large, buckets, accuracy, found, first_cuts) if large else []
-        first_cuts = None
-    if probes:  # did not converge: exact percentile on the remaining slices
-        _finish(df, probes, found)
-
-    out = {}
-    for (c, p), (lo_r, hi_r, frac) in wanted.items():
-        a, b = found[(c, lo_r)], found[(c, hi_r)]
-        out[(c, p)] = a + (b - a) * frac if frac else a
-    for c in columns:
-        if not n[c]:
-            for p in probs:
-                out[(c, p)] = None
-    return out
-
-
-def _tagged(df: DataFrame, probes: list[_Probe], value: str = "v") -> DataFrame:
-    """(probe, v) for every value inside a probe's interval; rows outside all
-    intervals produce nothing."""
-    items = F.array(*[
-        F.struct(F.lit(i).alias("probe"), F.col(f"`{p.column}`").alias(value),
-                 p.contains(F.col(f"`{p.column}`")).alias("hit"))
-        for i, p in enumerate(probes)
-    ])
-    return df.select(F.inline(items)).where(F.col("hit")).select("probe", value)
-
-
-def _finish(df: DataFrame, probes: list[_Probe], found: dict) -> None:
-    """Count the values of each (bounded) interval per distinct value; read off ranks."""
-    counted = (_tagged(df, probes).groupBy("probe", "v")
-               .agg(F.count(F.lit(1)).alias("k")).collect())
-    per_probe: dict[int, list[tuple[float, int]]] = {}
-    for r in counted:
-        per_probe.setdefault(r["probe"], []).append((r["v"], r["k"]))
-    for i, p in enumerate(probes):
-        values = sorted(per_probe.get(i, []))
-        seen = p.below
-        for v, k in values:
-            for rank in [r for r in p.ranks if seen <= r < seen + k]:
-                found[(p.column, rank)] = v
-            seen += k
-
-
-def _narrow(df: DataFrame, probes: list[_Probe], buckets: int, accuracy: int,
-            found: dict, first_cuts: dict | None = None) -> list[_Probe]:
-    if first_cuts is not None:  # first round: whole columns, cuts already known
-        cuts = [first_cuts[p.column] for p in probes]
-    else:
-        cut_probs = [j / buckets for j in range(1, buckets)]
-        cuts_row = df.agg(*[
-            F.percentile_approx(F.when(p.contains(F.col(f"`{p.column}`")),
-                                       F.col(f"`{p.column}`")),
-                                cut_probs, accuracy).alias(f"_q{i}")
-            for i, p in enumerate(probes)
-        ]).first()
-        cuts = [sorted(set(cuts_row[f"_q{i}"] or [])) for i in range(len(probes))]
-
-    tagged = _tagged(df, probes)
-    # Bucket of v = number of cut points below v, by a binary search written
-    # as nested CASE (about log2(buckets) comparisons, compiled), then whether
-    # v equals the cut point at that bucket.
-    by_probe = " ".join(f"WHEN {i} THEN {_search(c, 0, len(c))}" for i, c in enumerate(cuts))
-    arrays = "array(" + ", ".join(_double_array(c) for c in cuts) + ")"
-    bucketed = tagged.selectExpr("probe", "v", f"CASE probe {by_probe} END AS b").selectExpr(
-        "probe", "b",
-        f"coalesce(try_element_at(element_at({arrays}, probe + 1), b + 1) = v, false) AS eq",
-    )
-    hist = bucketed.groupBy("probe", "b", "eq").agg(F.count(F.lit(1)).alias("k")).collect()
-    per_probe: dict[int, dict[tuple[int, bool], int]] = {}
-    for r in hist:
-        per_probe.setdefault(r["probe"], {})[(r["b"], bool(r["eq"]))] = r["k"]
-
-    nxt: list[_Probe] = []
-    for i, p in enumerate(probes):
-        c, h = cuts[i], per_probe.get(i, {})
-        bounds = [p.lo] + c + [p.hi]
-        seen = p.below
-        for j in range(len(c) + 1):
-            # open slice (bounds[j], bounds[j+1]), then the cut value c[j] itself
-            k_open = h.get((j, False), 0)
-            inside = {r for r in p.ranks if seen <= r < seen + k_open}
-            if inside:
-                nxt.append(_Probe(p.column, bounds[j], bounds[j + 1], seen, k_open, inside))
-            seen += k_open
-            if j < len(c):
-                k_eq = h.get((j, True), 0)
-                for r in [r for r in p.ranks if seen <= r < seen + k_eq]:
-                    found[(p.column, r)] = c[j]
-                seen += k_eq
-    return nxt
-
-
-def _double(x: float) -> str:
-    return f"{float(x)!r}D"
-
-
-def _double_array(values: list[float]) -> str:
-    return "array(" + ", ".join(_double(x) for x in values) + ")" if values \
-        else "array(CAST(NULL AS DOUBLE))"
-
-
-def _search(cuts: list[float], lo: int, hi: int) -> str:
-    """SQL for the count of ``cuts`` below ``v``, known to lie in [lo, hi]."""
-    if lo >= hi:
-        return str(lo)
-    mid = (lo + hi) // 2
-    return (f"CASE WHEN v > {_double(cuts[mid])} THEN {_search(cuts, mid + 1, hi)} "
-            f"ELSE {_search(cuts, lo, mid)} END")
+from pyspark.sql import types as T
+
+from matchlake.session import ensure_checkpoint_dir
+
+
+def long_values(df: DataFrame, names: list[str]) -> DataFrame:
+    """(c, v): one row per value that is neither NULL nor NaN, c the column's number."""
+    if not names:
+        return df.sparkSession.createDataFrame([], "c int, v double")
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    cells = []
+    for i, n in enumerate(names):
+        c = F.col(f"`{n}`")
+        v = F.when(~F.isnan(c), c) if isinstance(types[n], (T.FloatType, T.DoubleType)) else c
+        cells.append(F.struct(F.lit(i).alias("c"), v.cast("double").alias("v")))
+    return df.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull())
+
+
+def exact_quantiles(values: DataFrame, probs: list[float]) -> DataFrame:
+    """(c, v) -> (c, q): per column its quantiles in the order of ``probs``.
+
+    Linear interpolation between the two neighbouring ranks.  A column without
+    values gives no row.
+    """
+    ensure_checkpoint_dir(values.sparkSession)
+    counts = (values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+              .repartitionByRange("c", "v").sortWithinPartitions("c", "v")
+              .withColumn("part", F.spark_partition_id()).checkpoint(eager=True))
+    sizes = counts.groupBy("part", "c").agg(F.sum("n").alias("n"))
+    ordered = Window.partitionBy("c").orderBy("part")
+    ranges = sizes.select(
+        "part", "c", "n", (F.sum("n").over(ordered) - F.col("n")).alias("first"),
+        F.sum("n").over(Window.partitionBy("c")).alias("total"))
+
+    wanted = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(p)).alias("p"))
+                       for k, p in enumerate(probs)])
+    ranks = (ranges.select("part", "c", "n", "first", "total", F.inline(wanted))
+             .withColumn("at", (F.col("total") - 1) * F.col("p"))
+             .withColumn("rank", F.explode(F.array_distinct(
+                 F.array(F.floor("at"), F.ceil("at")))))
+             .where((F.col("rank") >= F.col("first"))
+                    & (F.col("rank") < F.col("first") + F.col("n")))
+             .select("part", "c", "first", "k", "at", "rank"))
+
+    # Running counts inside the few partitions that hold a wanted rank.
+    inside = Window.partitionBy("part", "c").orderBy("v")
+    needed = ranks.select("part", "c", "first").distinct()
+    spans = (counts.join(needed, ["part", "c"]).select(
+        "part", "c", "v", (F.col("first") + F.sum("n").over(inside)).alias("end"), "n"))
+    found = (ranks.join(spans, ["part", "c"])
+             .where((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n"))))
+    pairs = found.groupBy("c", "k").agg(F.min("v").alias("low"), F.max("v").alias("high"),
+                                        F.max(F.col("at") - F.floor("at")).alias("share"))
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
+        F.col("low") + (F.col("high") - F.col("low")) * F.col("share"))
+    entries = F.array_sort(F.collect_list(F.struct("k", value.alias("v"))))
+    return pairs.groupBy("c").agg(F.transform(entries, lambda e: e["v"]).alias("q"))

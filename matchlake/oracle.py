@@ -112,16 +112,19 @@ LEAGUE_TABLE_SQL = """SELECT *, CAST(rank() OVER (PARTITION BY league_id, season
                 AS INTEGER) AS position
 FROM (
   SELECT league_id, name, season, stage, team_api_id,
-         CAST(sum(played) OVER w AS BIGINT) AS played,
-         CAST(sum(wins) OVER w AS BIGINT) AS wins,
-         CAST(sum(draws) OVER w AS BIGINT) AS draws,
-         CAST(sum(losses) OVER w AS BIGINT) AS losses,
-         CAST(sum(goals_for) OVER w AS BIGINT) AS goals_for,
-         CAST(sum(goals_against) OVER w AS BIGINT) AS goals_against,
-         CAST(sum(points) OVER w AS BIGINT) AS points,
-         CAST(sum(goals_for) OVER w AS BIGINT) - CAST(sum(goals_against) OVER w AS BIGINT)
-           AS goal_difference
-  FROM tsp
+         CAST(sum(coalesce(played, 0)) OVER w AS BIGINT) AS played,
+         CAST(sum(coalesce(wins, 0)) OVER w AS BIGINT) AS wins,
+         CAST(sum(coalesce(draws, 0)) OVER w AS BIGINT) AS draws,
+         CAST(sum(coalesce(losses, 0)) OVER w AS BIGINT) AS losses,
+         CAST(sum(coalesce(goals_for, 0)) OVER w AS BIGINT) AS goals_for,
+         CAST(sum(coalesce(goals_against, 0)) OVER w AS BIGINT) AS goals_against,
+         CAST(sum(coalesce(points, 0)) OVER w AS BIGINT) AS points,
+         CAST(sum(coalesce(goals_for, 0)) OVER w AS BIGINT)
+           - CAST(sum(coalesce(goals_against, 0)) OVER w AS BIGINT) AS goal_difference
+  FROM (SELECT DISTINCT league_id, name, season, stage FROM tsp) weeks
+       JOIN (SELECT DISTINCT league_id, season, team_api_id FROM tsp) teams
+         USING (league_id, season)
+       LEFT JOIN tsp USING (league_id, name, season, stage, team_api_id)
   WINDOW w AS (PARTITION BY league_id, season, team_api_id ORDER BY stage
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ) cum"""

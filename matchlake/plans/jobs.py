@@ -17,11 +17,10 @@ from pyspark.sql import types as T
 from matchlake.functions.rules import quote_name
 from matchlake.operators.load import Warehouse
 from matchlake.operators.points import points_result, team_stage_points
-from matchlake.operators.quality import Check, non_empty_checks, run_checks
-from matchlake.plans.joins import sized_broadcast
-from matchlake.schemas import DEFAULT_TEXT_LIMIT, LOAD_LEVELS, POINT, TABLES
+from matchlake.operators.quality import (Check, constraint_report, non_empty_checks,
+                                         run_checks)
+from matchlake.schemas import LOAD_LEVELS, POINT, TABLES
 from matchlake.sinks.files import overwrite_partitions, write_delimited, write_parquet
-from matchlake.sources import sqlite
 from matchlake.sources.csv import EXTRACT, Dialect, read_staged
 from matchlake.sources.parquet import read_parquet
 
@@ -42,8 +41,8 @@ def points_job(spark: SparkSession, match_path: str, league_path: str, out_path:
                source: str = "csv", dialect: Dialect = EXTRACT) -> DataFrame:
     """Read Match and League, label each match, write the points table as Parquet."""
     if source == "csv":
-        match = read_staged(spark, match_path, TABLES["Match"].schema, dialect)
-        league = read_staged(spark, league_path, TABLES["League"].schema, dialect)
+        match, league = (read_staged(spark, path, TABLES[t].schema, dialect, TABLES[t].text_lengths)
+                         for t, path in (("Match", match_path), ("League", league_path)))
     else:
         match = read_parquet(spark, match_path)
         league = read_parquet(spark, league_path)
@@ -53,51 +52,45 @@ def points_job(spark: SparkSession, match_path: str, league_path: str, out_path:
 
 # --- W2 ---------------------------------------------------------------------------
 
-def extract_table(spark: SparkSession, database: str, table: str, out_path: str,
-                  fmt: str = "parquet", num_partitions: int = 8,
-                  dialect: Dialect = EXTRACT, schema: T.StructType | None = None) -> DataFrame:
-    """One source table -> one landing dataset, read in parallel id ranges.
-
-    Parquet is the default landing format; ``fmt="csv"`` writes the ';' text
-    files that the staged load reads.  Without ``schema`` the columns are
-    typed from the SQLite declarations.
-    """
-    df = sqlite.read_table(spark, database, table, num_partitions=num_partitions, schema=schema)
+def extract_table(df: DataFrame, out_path: str, fmt: str = "parquet",
+                  dialect: Dialect = EXTRACT) -> None:
+    """One source table, from any reader -> one landing dataset: Parquet, or with
+    ``fmt="csv"`` the ';' text that the staged load reads."""
     if fmt == "csv":
         write_delimited(df, out_path, dialect)
-    else:
+    elif fmt == "parquet":
         write_parquet(df, out_path)
-    return df
-
+    else:
+        raise ValueError(f"unknown landing format {fmt!r}")
 
-# --- W3 ---------------------------------------------------------------------------
 
-def stage_tables(tables: dict[str, DataFrame], root: str, dialect: Dialect = EXTRACT,
-                 max_parallel: int = 4) -> dict[str, str]:
-    """Write each table, conformed to its warehouse schema, as staged ';' text
-    under ``root/raw/<table>``; the writes run as concurrent Spark jobs.
-    Returns the staged path of every table."""
+def extract_tables(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
+                   dialect: Dialect = EXTRACT, max_parallel: int = 4) -> dict[str, str]:
+    """All given tables, conformed to their warehouse schemas, landed under
+    ``root`` as concurrent Spark jobs.  Returns each table's path."""
     from matchlake.sources.paths import table_path
 
-    paths = {name: table_path(root, "raw", name) for name in tables}
+    paths = {name: table_path(root, fmt, name) for name in tables}
 
-    def stage(name: str) -> None:
-        write_delimited(conform(tables[name], TABLES[name].schema), paths[name], dialect)
+    def land(name: str) -> None:
+        extract_table(conform(tables[name], TABLES[name].schema), paths[name], fmt, dialect)
 
     with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-        for future in [pool.submit(stage, n) for n in tables]:
+        for future in [pool.submit(land, n) for n in tables]:
             future.result()
     return paths
 
 
+# --- W3 ---------------------------------------------------------------------------
+
 def full_refresh(spark: SparkSession, warehouse: Warehouse, staged: dict[str, str],
                  points_path: str | None = None, dialect: Dialect = EXTRACT,
                  checks: list[Check] | None = None, raise_on_failure: bool = True,
-                 text_limit: int | None = DEFAULT_TEXT_LIMIT,
                  max_parallel: int = 4) -> list[dict]:
     """Create the tables, replace the rows of every staged table level by level
     (dimensions, then attribute and fact tables, then Point from Parquet),
-    then run the checks.
+    then run the checks.  ``check_constraints`` on the warehouse's tables tells
+    afterwards which declared keys and references do not hold.
 
     The tables of one level are loaded as concurrent Spark jobs on the same
     session (one thread each submits its job), so small dimension loads do
@@ -111,7 +104,8 @@ def full_refresh(spark: SparkSession, warehouse: Warehouse, staged: dict[str, st
         if name == "Point":
             df = read_parquet(spark, points_path, POINT)
         else:
-            df = read_staged(spark, staged[name], TABLES[name].schema, dialect, text_limit)
+            df = read_staged(spark, staged[name], TABLES[name].schema, dialect,
+                             TABLES[name].text_lengths)
         warehouse.load(df, name)
 
     for level in LOAD_LEVELS:
@@ -127,16 +121,24 @@ def full_refresh(spark: SparkSession, warehouse: Warehouse, staged: dict[str, st
     return run_checks(spark, tables, checks, raise_on_failure=raise_on_failure)
 
 
+def check_constraints(warehouse: Warehouse, tables: list[str] | None = None) -> DataFrame:
+    """The declared constraints of the loaded tables, one row each (``constraint_report``)."""
+    return constraint_report({n: warehouse.table(n) for n in tables or list(TABLES)})
+
+
 # --- D4, K10 ----------------------------------------------------------------------
 
 STAGE_PARTITIONS = ["season", "stage"]
 
 
-def latest_stage_matches(match: DataFrame, broadcast_rows: int | None = 100_000) -> DataFrame:
-    """Matches of the last stage of each season (the stage that just finished)."""
-    last = match.groupBy("season").agg(F.max("stage").alias("stage"))
-    return match.join(sized_broadcast(last, broadcast_rows, materialize=True),
-                      ["season", "stage"], "left_semi")
+def latest_stage_matches(match: DataFrame) -> DataFrame:
+    """Matches of the last stage of each season (the stage that just finished).
+
+    Matches without a season are a season of their own.
+    """
+    last = match.groupBy(F.col("season").alias("_season")).agg(F.max("stage").alias("_stage"))
+    return match.join(last, F.col("season").eqNullSafe(F.col("_season"))
+                      & F.col("stage").eqNullSafe(F.col("_stage")), "left_semi")
 
 
 def refresh_stage_points(match_changed: DataFrame, league: DataFrame, path: str) -> None:

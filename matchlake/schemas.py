@@ -20,10 +20,6 @@ INT = T.IntegerType()
 DOUBLE = T.DoubleType()
 STRING = T.StringType()
 
-# Length to which text columns are cut on load (TRUNCATECOLUMNS).  The source
-# declares VARCHAR without a length; 256 characters is our default.
-DEFAULT_TEXT_LIMIT = 256
-
 
 def _struct(cols: list[tuple[str, T.DataType]]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in cols])
@@ -163,16 +159,50 @@ class TableDef:
     unique: tuple[str, ...] = ()
     references: tuple[ForeignKey, ...] = ()
     comments: dict[str, str] = field(default_factory=dict)
+    # Lengths of text columns that are cut on load; the source declares none.
+    text_lengths: dict[str, int] = field(default_factory=dict)
 
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
 
+SKILL_TOPICS = {
+    "crossing": "passes from the wings", "finishing": "shots close to goal",
+    "heading_accuracy": "aim with the head", "short_passing": "passes over a few metres",
+    "volleys": "shots before the ball lands", "dribbling": "runs with the ball",
+    "curve": "spin on the ball", "free_kick_accuracy": "aim at free kicks",
+    "long_passing": "passes over half the pitch", "ball_control": "first touch",
+    "acceleration": "time to full speed", "sprint_speed": "full speed",
+    "agility": "turning quickly", "reactions": "answering to the play", "balance": "staying upright",
+    "shot_power": "force of a shot", "jumping": "height of a jump", "stamina": "lasting ninety minutes",
+    "strength": "winning duels by body", "long_shots": "shots from outside the box",
+    "aggression": "hardness in duels", "interceptions": "reading opposing passes",
+    "positioning": "finding space in attack", "vision": "seeing free team mates",
+    "penalties": "shots from the spot", "marking": "staying with an opponent",
+    "standing_tackle": "winning the ball on foot", "sliding_tackle": "winning the ball on the ground",
+    "gk_diving": "a keeper's dives", "gk_handling": "a keeper's grip",
+    "gk_kicking": "a keeper's clearances", "gk_positioning": "a keeper's place in goal",
+    "gk_reflexes": "a keeper's reactions",
+}
+
+PLAYER_ATTRIBUTE_COMMENTS = {
+    "id": "Number of the rating row.",
+    "player_fifa_api_id": "Key of the rated player in the ratings feed.",
+    "player_api_id": "Key of the rated player in the match feed.",
+    "date": "Day on which the rating was published, as text.",
+    "overall_rating": "Rating of the player as a whole, up to 100.",
+    "potential": "Highest rating the player is expected to reach.",
+    "preferred_foot": "Foot used by choice: left or right.",
+    "attacking_work_rate": "Effort when the team attacks: low, medium or high.",
+    "defensive_work_rate": "Effort when the team defends: low, medium or high.",
+} | {skill: f"Rating up to 100: {topic}." for skill, topic in SKILL_TOPICS.items()}
+
 TABLES: dict[str, TableDef] = {
     "Country": TableDef(
         "Country", COUNTRY, ("id",), ("name",),
-        comments={"id": "unique country id", "name": "country name"},
+        comments={"id": "Number of the country row.",
+                  "name": "Name of the country, as leagues refer to it."},
     ),
     "League": TableDef("League", LEAGUE, ("id",), ("name",)),
     "Team": TableDef("Team", TEAM, ("id",), ("team_api_id",)),
@@ -183,9 +213,13 @@ TABLES: dict[str, TableDef] = {
     "Player": TableDef(
         "Player", PLAYER, ("id",), ("player_api_id", "player_fifa_api_id"),
         comments={
-            "id": "unique id", "player_api_id": "player api id",
-            "player_name": "player name", "player_fifa_api_id": "player fifa api id",
-            "birthday": "birthday", "height": "height", "weight": "weight",
+            "id": "Number of the player row.",
+            "player_api_id": "Key of the player in the match feed.",
+            "player_name": "Full name as printed on the team sheet.",
+            "player_fifa_api_id": "Key of the player in the ratings feed.",
+            "birthday": "Day of birth, as text.",
+            "height": "Body height in centimetres.",
+            "weight": "Body weight in pounds.",
         },
     ),
     "Player_Attributes": TableDef(
@@ -194,14 +228,7 @@ TABLES: dict[str, TableDef] = {
             ForeignKey("player_fifa_api_id", "Player", "player_fifa_api_id"),
             ForeignKey("player_api_id", "Player", "player_api_id"),
         ),
-        comments={
-            "id": "player attribute id", "player_fifa_api_id": "player fifa api id",
-            "player_api_id": "player api id", "date": "Date of the match",
-            "overall_rating": "over all rating", "potential": "potential",
-            "preferred_foot": "preffered foor",
-            "attacking_work_rate": "attacking work rate",
-            "defensive_work_rate": "defensive work rate",
-        },
+        comments=PLAYER_ATTRIBUTE_COMMENTS,
     ),
     "Match": TableDef(
         "Match", MATCH, ("id",), ("match_api_id",),
@@ -220,9 +247,12 @@ TABLES: dict[str, TableDef] = {
         "Point", POINT, (), (),
         (ForeignKey("match_api_id", "Match", "match_api_id"),),
         comments={
-            "match_api_id": "match api id", "home_team_goal": "home team goal",
-            "season": "Year of the match", "away_team_goal": "away team goal",
-            "result": "Result of match", "name": "League Name",
+            "match_api_id": "Key of the match in the match feed.",
+            "home_team_goal": "Goals of the home side at full time.",
+            "away_team_goal": "Goals of the visiting side at full time.",
+            "season": "Season, written as first/second year.",
+            "result": "Who won: Home, Away or Tie.",
+            "name": "Name of the league the match belongs to.",
         },
     ),
 }
@@ -234,20 +264,6 @@ LOAD_LEVELS = [
     ["Team_Attributes", "Player_Attributes", "Match"],
     ["Point"],
 ]
-LOAD_ORDER = [t for level in LOAD_LEVELS for t in level]
-
-
-def text_columns(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-
-
-def float_columns(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields
-            if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
-
-
-def numeric_columns(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
 def ddl(schema: T.StructType, comments: dict[str, str] | None = None) -> str:

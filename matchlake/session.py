@@ -40,14 +40,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the deployment names a folder every executor can reach; it is
-    read from the session and used as it is.  Only when it is unset (a local
-    test run) a fresh folder under the system temp dir is set.
+    read from the session and used as it is.  Where it is unset, a session on
+    a local master gets a fresh folder under the system temp dir; on any other
+    master that folder would exist on one machine only, so this raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return configured or current
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     base = configured or tempfile.mkdtemp(prefix="matchlake-ckpt-")
     sc.setCheckpointDir(base)
     return base

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from matchlake.functions.rules import load_rule_sql, quote_name
-from matchlake.schemas import DEFAULT_TEXT_LIMIT
 
 
 @dataclass(frozen=True)
@@ -25,9 +24,9 @@ class Dialect:
     # Quotes inside a field are doubled (""), as pandas writes them.  Spark's
     # default backslash escape would cut such a field at the separator.
     escape: str = '"'
-    # Fields holding line breaks need multiLine; it makes a file unsplittable,
-    # so it is off unless the data asks for it.
-    multiline: bool = False
+    # A cell may hold line breaks, so records are not cut at every line end.  Such a
+    # file is read by one task, but a dataset is a folder of many part files.
+    multiline: bool = True
     encoding: str = "UTF-8"
 
     def options(self) -> dict[str, str]:
@@ -69,26 +68,28 @@ def text_schema(schema: T.StructType) -> T.StructType:
 
 
 def read_staged(spark: SparkSession, path: str | list[str], schema: T.StructType,
-                dialect: Dialect = EXTRACT, text_limit: int | None = DEFAULT_TEXT_LIMIT,
+                dialect: Dialect = EXTRACT, text_lengths: dict[str, int] | None = None,
                 blanks_as_null: bool = True) -> DataFrame:
     """Read a staged file the way the warehouse COPY loads it.
 
     Cells are read as text by position, then: blank and empty -> NULL,
-    text cut to ``text_limit`` characters, other cells parsed to the column
-    type (a cell that does not parse fails the load).
+    text of a column with a given length cut to it, other cells parsed to the
+    column type (a cell that does not parse fails the load).
     """
     raw = read_delimited(spark, path, text_schema(schema), dialect)
     if not blanks_as_null:
         return raw.selectExpr(*[f"CAST({quote_name(f.name)} AS {f.dataType.simpleString()}) "
                                 f"AS {quote_name(f.name)}" for f in schema.fields])
-    return apply_load_rules(raw, schema, text_limit)
+    return apply_load_rules(raw, schema, text_lengths)
 
 
 def apply_load_rules(raw: DataFrame, schema: T.StructType,
-                     text_limit: int | None = DEFAULT_TEXT_LIMIT) -> DataFrame:
+                     text_lengths: dict[str, int] | None = None) -> DataFrame:
     """Text columns of ``raw`` -> typed columns of ``schema`` under the load rules
     (one ``selectExpr``: the projection is built on the JVM side in one call)."""
-    return raw.selectExpr(*[load_rule_sql(f.name, f.dataType, text_limit) for f in schema.fields])
+    lengths = text_lengths or {}
+    return raw.selectExpr(*[load_rule_sql(f.name, f.dataType, lengths.get(f.name))
+                            for f in schema.fields])
 
 
 INDEX_COLUMN = "_index"
@@ -96,7 +97,11 @@ INDEX_COLUMN = "_index"
 
 def read_indexed(spark: SparkSession, path: str | list[str], schema: T.StructType,
                  dialect: Dialect = NOTEBOOK, keep_index: bool = False) -> DataFrame:
-    """Read a comma file whose first column is an unnamed row index."""
+    """Read a comma file whose first column is an unnamed row index.
+
+    Cells pass the same load rules as a staged file, so a column of whole
+    numbers that pandas wrote as "1.0" because of a NULL loads as such.
+    """
     with_index = T.StructType([T.StructField(INDEX_COLUMN, T.LongType(), True)] + schema.fields)
-    df = read_delimited(spark, path, with_index, dialect)
+    df = read_staged(spark, path, with_index, dialect)
     return df if keep_index else df.drop(INDEX_COLUMN)

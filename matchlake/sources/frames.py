@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.functions.dtypes import define_structure
+from matchlake.functions.dtypes import spark_type
 
 
 def pandas_schema(pdf: pd.DataFrame) -> T.StructType:
-    return T.StructType([define_structure(str(c), t) for c, t in zip(pdf.columns, pdf.dtypes)])
+    return T.StructType([T.StructField(str(c), spark_type(t)) for c, t in zip(pdf.columns, pdf.dtypes)])
 
 
 def pandas_to_spark(pdf: pd.DataFrame, spark: SparkSession) -> DataFrame:

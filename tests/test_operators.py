@@ -1,8 +1,5 @@
 """Operator tests: exact quantiles, repeated rows, row index, standings
-properties, SQLite source, stage refresh, and the shape of the physical plans."""
-
-import os
-import sqlite3
+properties, stage refresh, and the shape of the physical plans."""
 
 import numpy as np
 import pandas as pd
@@ -12,11 +9,11 @@ from pyspark.sql import functions as F
 
 from matchlake.operators import points as P
 from matchlake.operators.indexing import with_row_index
-from matchlake.operators.profile import duplicate_rows, numeric_profile, repeated_groups
-from matchlake.operators.quantiles import exact_quantiles
+from matchlake.operators.profile import (duplicate_rows, numeric_profile, repeated_groups,
+                                         repeated_rows)
+from matchlake.operators.quantiles import exact_quantiles, long_values
 from matchlake.operators.quality import Reference, fk_orphans, pk_violations, unique_violations
 from matchlake.plans import jobs, star
-from matchlake.sources import sqlite
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
@@ -25,24 +22,32 @@ def _frame(spark, values):
     return spark.createDataFrame(pd.DataFrame({"v": values}), "v double")
 
 
+def _quantiles(df, names, probs):
+    got = {r.c: r.q for r in exact_quantiles(long_values(df, names), probs).collect()}
+    return {n: got.get(i) for i, n in enumerate(names)}
+
+
 @pytest.mark.parametrize("seed", [1, 2])
-def test_exact_quantiles_by_narrowing_match_numpy(spark, seed):
+def test_exact_quantiles_match_numpy(spark, seed):
     rng = np.random.default_rng(seed)
     values = np.concatenate([
         rng.normal(0, 1e6, 3000),
         np.full(2000, 7.0),          # a hot value: a third of the rows
         rng.integers(-5, 5, 1000).astype(float),
     ])
-    df = _frame(spark, values.tolist()).repartition(6)
-    got = exact_quantiles(df, ["v"], PROBS, buckets=8, accuracy=200, final_rows=50)
-    for p in PROBS:
-        assert got[("v", p)] == pytest.approx(float(np.quantile(values, p)), rel=1e-12, abs=1e-9)
+    got = _quantiles(_frame(spark, values.tolist()).repartition(6), ["v"], PROBS)["v"]
+    assert got == pytest.approx(np.quantile(values, PROBS).tolist(), rel=1e-12, abs=1e-9)
 
 
-def test_exact_quantiles_nulls_and_empty(spark):
-    df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a double, b double")
-    got = exact_quantiles(df, ["a", "b"], [0.5])
-    assert got[("a", 0.5)] == 2.0 and got[("b", 0.5)] is None
+def test_exact_quantiles_nulls_nan_infinity_and_empty(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0, None, -inf), (None, None, inf), (3.0, None, float("nan")),
+                                (None, None, 2.0), (None, None, inf)],
+                               "a double, b double, c double")
+    got = _quantiles(df, ["a", "b", "c"], [0.0, 0.5, 1.0])
+    assert got == {"a": [1.0, 2.0, 3.0], "b": None, "c": [-inf, inf, inf]}
+    rows = {r.column_name: r for r in numeric_profile(df, "t").collect()}
+    assert rows["b"]["count"] == 0 and rows["b"].q50 is None and rows["c"].max == inf
 
 
 def test_numeric_profile_matches_pandas_describe(spark):
@@ -57,25 +62,43 @@ def test_numeric_profile_matches_pandas_describe(spark):
             assert got[c][stat] == pytest.approx(float(want.loc[key, c]), rel=1e-9)
 
 
-def test_numeric_profile_approx_path_runs(spark):
-    df = _frame(spark, [float(i) for i in range(1000)])
-    (row,) = numeric_profile(df, "t", approx_accuracy=10_000).collect()
-    assert row["count"] == 1000 and abs(row.q50 - 499.5) <= 1
+def test_numeric_profile_of_sixty_columns(spark):
+    df = spark.range(2000).select(*[(F.col("id") * (i + 1) % 997).cast("double").alias(f"c{i}")
+                                    for i in range(60)])
+    rows = {r.column_name: r for r in numeric_profile(df, "t").collect()}
+    want = df.toPandas().describe()
+    assert len(rows) == 60
+    for c in ("c0", "c31", "c59"):
+        assert rows[c].q25 == pytest.approx(want.loc["25%", c])
 
 
 ROWS = [(1, "a", 0.0), (1, "a", -0.0), (1, "a", 0.0), (2, None, 1.5), (2, None, 1.5),
         (None, "b", None), (3, "c", None)]
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])  # broadcast candidates / direct grouping
-def test_repeated_groups_both_paths_match_pandas(spark, bound):
+def test_repeated_groups_match_pandas(spark):
     df = spark.createDataFrame(ROWS, "k long, s string, x double")
-    got = sorted((r.k, r.s, r.n_copies) for r in repeated_groups(df, broadcast_rows=bound).collect())
+    got = sorted((r.k, r.s, r.n_copies) for r in repeated_groups(df).collect())
     assert got == [(1, "a", 3), (2, None, 2)]
     pdf = pd.DataFrame(ROWS, columns=["k", "s", "x"])
-    (row,) = duplicate_rows(df, "t", broadcast_rows=bound).collect()
+    (row,) = duplicate_rows(df, "t").collect()
     assert row.duplicate_rows == int(pdf.duplicated().sum()) == 3
     assert row.row_count == len(ROWS)
+    copies = sorted((r.k, r.s) for r in repeated_rows(df).collect())
+    assert copies == [(1, "a"), (1, "a"), (2, None)]
+
+
+def test_copies_of_a_hot_row_come_back_from_many_tasks(spark, monkeypatch):
+    from matchlake.operators import profile
+
+    monkeypatch.setattr(profile, "COPIES_PER_ROW", 50)
+    rows = repeated_rows(spark.range(1001).select(F.lit(5).alias("k")))
+    assert rows.count() == 1000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:  # small partitions would be read by one task
+        assert rows.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_hash_collision_rows_are_told_apart(spark):
@@ -84,6 +107,15 @@ def test_hash_collision_rows_are_told_apart(spark):
     assert repeated_groups(df).count() == 0
 
 
+def test_row_index_splits_a_hot_key(spark):
+    df = spark.range(6000).select((F.col("id") % 3 * F.col("id")).alias("k"), "id").repartition(6)
+    out = with_row_index(df, "k", "ix")
+    assert out.where(F.col("k") == 0).select(F.spark_partition_id()).distinct().count() >= 1
+    rows = sorted((r.ix, r.k) for r in out.collect())
+    assert [i for i, _ in rows] == list(range(6000))
+    assert [k for _, k in rows] == sorted(k for _, k in rows)
+
+
 def test_row_index_is_consecutive_in_key_order(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("id"))
     out = with_row_index(df.repartition(5), "id", "ix").collect()
@@ -143,42 +175,18 @@ def test_readme_sample_matches(spark):
     assert table[9987] == (1, 4) and table[9984] == (0, 9)
 
 
-def test_sqlite_reads_a_source_database_file(spark, tmp_dir):
-    os.makedirs(tmp_dir)
-    db = f"{tmp_dir}/database.sqlite"
-    con = sqlite3.connect(db)
-    con.execute("CREATE TABLE League (id INTEGER PRIMARY KEY, country_id INTEGER, name TEXT)")
-    con.execute("CREATE TABLE Country (id INTEGER PRIMARY KEY, name TEXT)")
-    con.execute("CREATE VIEW v AS SELECT * FROM League")
-    con.executemany("INSERT INTO League VALUES (?, ?, ?)",
-                    [(i, i % 11, f"League {i}") for i in range(1, 1001)])
-    con.commit()
-    con.close()
-    df = sqlite.read_table(spark, db, "League", num_partitions=7)
-    assert df.rdd.getNumPartitions() == 7
-    assert df.count() == 1000 and df.agg(F.sum("id")).first()[0] == 500500
-    names = sorted(r.name for r in sqlite.list_tables(spark, db).collect())
-    assert names == ["Country", "League"]
-
-
-def test_sqlite_writer_append_and_overwrite(spark, tmp_dir):
-    df = spark.range(100).withColumn("name", F.concat(F.lit("n"), F.col("id").cast("string")))
-    sqlite.write_table(df.repartition(3), tmp_dir, "T")
-    sqlite.write_table(df.repartition(2), tmp_dir, "T", mode="append")
-    assert sqlite.read_table(spark, tmp_dir, "T").count() == 200
-    sqlite.write_table(df, tmp_dir, "T", mode="overwrite")
-    assert sqlite.read_table(spark, tmp_dir, "T").count() == 100
-    assert not [f for f in os.listdir(tmp_dir) if f.endswith(".partial")]
-
-
 def test_stage_refresh_equals_full_rebuild(spark, tmp_dir):
     m, lg = star.match(spark, SF_SMALL), star.league(spark, SF_SMALL)
     full = P.team_stage_points(m, lg)
     from matchlake.sinks.files import write_parquet
 
-    write_parquet(full, tmp_dir, partition_by=jobs.STAGE_PARTITIONS)
-    jobs.refresh_stage_points(jobs.latest_stage_matches(m), lg, tmp_dir)
-    back = spark.read.parquet(tmp_dir).select(*full.columns)
+    last = jobs.latest_stage_matches(m)
+    before = m.join(last.select("id"), "id", "left_anti")
+    write_parquet(P.team_stage_points(before, lg), tmp_dir, partition_by=jobs.STAGE_PARTITIONS)
+    schema = spark.read.parquet(tmp_dir).schema
+    assert spark.read.schema(schema).parquet(tmp_dir).count() < full.count()
+    jobs.refresh_stage_points(last, lg, tmp_dir)
+    back = spark.read.schema(schema).parquet(tmp_dir).select(*full.columns)
     assert back.exceptAll(full).count() == 0 and full.exceptAll(back).count() == 0
 
 
@@ -196,9 +204,10 @@ def test_standings_plan_shuffles_facts_once_after_partial_aggregate(spark):
     df = P.league_table_by_stage(P.team_stage_points(star.match(spark, SF_MID),
                                                      star.league(spark, SF_MID)))
     plan = plan_text(df, "simple")
-    assert plan.count("Exchange hashpartitioning") == 2  # group keys; (league, season) for windows
+    # Group keys, then (league, season) for the grid and all windows.
+    assert plan.count("Exchange hashpartitioning") == 2
     assert "partial_sum" in plan
-    assert plan.count("Window [") == 2
+    assert plan.count("Window [") == 3
 
 
 def test_fk_checks_scan_the_child_once(spark):
@@ -234,14 +243,43 @@ def test_hot_league_standings_are_whole(spark):
               .count())
     assert played == 2 * scored
     table = P.league_table_by_stage(pts)
-    assert table.count() == pts.count()
+    pair = ["league_id", "season"]
+    whole = (pts.select(*pair, "stage").distinct().join(
+        pts.select(*pair, "team_api_id").distinct(), pair).count())
+    assert table.count() == whole >= pts.count()
+
+
+def test_a_team_on_a_free_week_stays_in_the_table(spark):
+    cols = ("match_api_id long, league_id long, season string, stage int, home_team_api_id long, "
+            "away_team_api_id long, home_team_goal int, away_team_goal int")
+    m = spark.createDataFrame([(1, 1, "s", 1, 7, 8, 2, 0), (2, 1, "s", 2, 9, 8, 0, 0)], cols)
+    lg = spark.createDataFrame([(1, "L")], "id long, name string")
+    got = {(r.stage, r.team_api_id): (r.played, r.points, r.position)
+           for r in P.league_table_by_stage(P.team_stage_points(m, lg)).collect()}
+    assert got == {(1, 7): (1, 3, 1), (1, 8): (1, 0, 3), (1, 9): (0, 0, 2),
+                   (2, 7): (1, 3, 1), (2, 8): (2, 1, 3), (2, 9): (1, 1, 2)}
+
+
+def test_building_an_operator_starts_no_job(spark):
+    m, lg = star.match(spark, SF_SMALL), star.league(spark, SF_SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "plans only")
+    try:
+        P.points_result(m, lg)
+        P.league_table_by_stage(P.team_stage_points(m, lg))
+        jobs.latest_stage_matches(m)
+        repeated_rows(m)
+        fk_orphans(m, "Match", [Reference("league_id", lg, "League", "id")])
+        assert list(tracker.getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_points_without_broadcast_use_a_shuffle_join_and_agree(spark):
     m, lg = star.match(spark, SF_SMALL), star.league(spark, SF_SMALL)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = P.points_result(m, lg, broadcast_rows=1)  # League has 25 rows > 1
+        shuffled = P.points_result(m, lg)
         plan = plan_text(shuffled)
         assert "BroadcastHashJoin" not in plan
         assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan

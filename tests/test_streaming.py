@@ -43,3 +43,32 @@ def test_stream_catches_up_in_steps_and_replays_nothing(spark):
     # Nothing new: a rerun over the same checkpoint leaves the table as it is.
     third = _run(spark, root, league)
     assert _same(third, full)
+
+
+def test_relanded_corrected_moved_and_seasonless_matches(spark):
+    league = star.league(spark, SF_SMALL)
+    root = work_dir(spark, "stream-corrections")
+    m = star.match(spark, SF_SMALL).select(*stage_refresh.MATCH_COLUMNS.fieldNames())
+    m = m.withColumn("season", F.when(F.col("match_api_id") % 5 == 0, F.lit(None).cast("string"))
+                     .otherwise(F.col("season")))
+    # All matches of one league-season move away later on.
+    lonely = (F.col("league_id") == 3) & (F.col("season") == "1995/1996")
+    write_parquet(m, f"{root}/landing")
+    assert _same(_run(spark, root, league),
+                 P.league_table_by_stage(P.team_stage_points(m, league)))
+
+    write_parquet(m, f"{root}/landing", mode="append")  # the same files land again
+    assert _same(_run(spark, root, league),
+                 P.league_table_by_stage(P.team_stage_points(m, league)))
+
+    corrected = (m.where(lonely | (F.col("match_api_id") % 7 == 0))
+                 .withColumn("away_team_goal", (F.col("away_team_goal") + 2).cast("int"))
+                 .withColumn("league_id", F.when(lonely, F.lit(4).cast("bigint"))
+                             .otherwise(F.col("league_id"))))
+    write_parquet(corrected, f"{root}/landing", mode="append")
+    want = m.join(corrected.select("match_api_id"), "match_api_id", "left_anti") \
+        .select(*m.columns).unionByName(corrected)
+    got = _run(spark, root, league)
+    assert _same(got, P.league_table_by_stage(P.team_stage_points(want, league)))
+    assert got.where((F.col("league_id") == 3) & (F.col("season") == "1995/1996")).count() == 0
+    assert got.where(F.col("season").isNull()).count() > 0
