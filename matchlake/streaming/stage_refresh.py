@@ -115,7 +115,8 @@ def start(spark: SparkSession, landing: str, league: DataFrame, processed: str,
         # Only known leagues have standings; their markers clear emptied pairs.
         known = touched.join(league.select(F.col("id").alias("league_id")), "league_id",
                              "left_semi")
-        overwrite_partitions(_with_markers(standings, known.select(*PAIR)), output, PAIR)
+        overwrite_partitions(_with_markers(standings, known.select(*PAIR)), output, PAIR,
+                             cluster=True)
 
     writer = (stream.writeStream.foreachBatch(refresh)
               .option("checkpointLocation", checkpoint))
