@@ -3,16 +3,19 @@
 A merge can only ever form a vocabulary token, so two neighbouring bytes that
 stand side by side in no token are never merged: between them the cut is
 certain.  Inside each piece of the split pattern the text is cut at all such
-byte pairs, the fragments are encoded on their own (and remembered, since few
-distinct fragments make up most of a corpus) and their ids concatenated.  The
+byte pairs, the fragments are encoded on their own and their ids concatenated.  The
 result equals encoding the piece as a whole.  Cuts are only made inside
-pieces: across pieces the split pattern looks ahead over white space.
+pieces: across pieces the split pattern looks ahead over white space.  The ids
+of what stands between two spaces are remembered up to a bound.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+import re
+import sys
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +27,13 @@ from pyspark.sql import types as T
 from matchlake.llm import codec
 from matchlake.llm.common import arrow_schema, read_table
 
-MEMO_ENTRIES = 150_000  # remembered pieces of a worker; the memo is emptied beyond that
+MEMO_ENTRIES = 400_000  # remembered chunks of a worker; the memo is emptied beyond that
 ROWS_PER_BATCH = 1_000
 
+# A space that is the first of a piece only if no white space follows: texts with other
+# spaces are split by the pattern as a whole.
+_ODD_SPACE = re.compile(r" (?:\s|\Z)|\A ")
+
 
 def forced_pairs(tokens: Iterator[bytes]) -> np.ndarray:
     """256 x 256: True where the byte pair stands side by side in no token."""
@@ -37,56 +44,78 @@ def forced_pairs(tokens: Iterator[bytes]) -> np.ndarray:
     return forced
 
 
+class ChunkMemo(dict):
+    """Ids of chunks, each a space and what follows it up to the next one (keys lack the space)."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.encode(" " + chunk)
+        if len(chunk) < 64:
+            self[chunk] = ids
+        return ids
+
+
 class ForcedSplitBpe:
     """Encoder and decoder of one byte-level BPE file."""
 
     def __init__(self, path: str):
         self.bpe = codec.byte_bpe(path)
         self.forced = forced_pairs(self.bpe.ranks)
+        self.cut_after = [row.tobytes() for row in self.forced]  # by first byte, then second
         self.pieces = regex.compile(codec.BYTE_PATTERN)
         self.special = regex.compile(
             "(" + "|".join(regex.escape(s) for s in self.bpe.specials) + ")")
-        self.piece_memo: dict[str, bytes] = {}
-        self.fragment_memo: dict[bytes, bytes] = {}
+        self.chunks = ChunkMemo(self._pieces)
         self.merge = self.bpe.core._core_bpe.encode_single_piece
+        self.unmerge = self.bpe.core._core_bpe.decode_bytes
 
     def fragments(self, raw: bytes) -> list[bytes]:
         """The piece cut at every forced boundary."""
-        codes = np.frombuffer(raw, np.uint8)
-        cuts = np.flatnonzero(self.forced[codes[:-1], codes[1:]]) + 1
-        edges = [0, *cuts.tolist(), len(raw)]
+        if len(raw) > 64:
+            codes = np.frombuffer(raw, np.uint8)
+            cuts = (np.flatnonzero(self.forced[codes[:-1], codes[1:]]) + 1).tolist()
+        else:
+            cut_after = self.cut_after
+            cuts = [i for i in range(1, len(raw)) if cut_after[raw[i - 1]][raw[i]]]
+        if not cuts:
+            return [raw]
+        edges = [0, *cuts, len(raw)]
         return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
-    def _fragment(self, raw: bytes) -> bytes:
-        ids = self.fragment_memo.get(raw)
-        if ids is None:
-            ids = np.array(self.merge(raw), "<u4").tobytes()
-            if len(raw) < 64:
-                self.fragment_memo[raw] = ids
-        return ids
+    def _pieces(self, text: str) -> bytes:
+        ids = array("I")
+        for piece in self.pieces.findall(text):
+            for fragment in self.fragments(piece.encode()):
+                ids.extend(self.merge(fragment))
+        return ids.tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        ids = b"".join(map(self._fragment, self.fragments(piece.encode())))
-        if len(piece) < 64:
-            self.piece_memo[piece] = ids
-        return ids
+    def _plain(self, text: str) -> bytes:
+        """A text without special tokens.
+
+        A space before anything but white space begins a piece of the pattern,
+        so what lies between two such spaces is encoded on its own.
+        """
+        if _ODD_SPACE.search(text):
+            return self._pieces(text)
+        first, *rest = text.split(" ")
+        return self._pieces(first) + b"".join(map(self.chunks.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        for memo in (self.piece_memo, self.fragment_memo):
-            if len(memo) > MEMO_ENTRIES:
-                memo.clear()
-        known, out = self.piece_memo.get, []
+        if len(self.chunks) > MEMO_ENTRIES:
+            self.chunks.clear()
+        out = []
         for k, part in enumerate(self.special.split(text) if "<|" in text else [text]):
-            if k % 2:
-                out.append(np.array(self.bpe.specials[part], "<u4").tobytes())
-            else:
-                out += [known(p) or self._piece(p) for p in self.pieces.findall(part)]
-        return b"".join(out)
+            out.append(array("I", [self.bpe.specials[part]]).tobytes() if k % 2
+                       else self._plain(part))
+        ids = b"".join(out)
+        return ids if sys.byteorder == "little" else np.frombuffer(ids, ">u4").astype("<u4").tobytes()
 
     def decode(self, ids: bytes) -> str:
-        raw = b"".join(map(self.bpe.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return raw.decode("utf-8", "replace")
+        return self.unmerge(np.frombuffer(ids, "<u4").tolist()).decode("utf-8", "replace")
 
 
 @functools.lru_cache(maxsize=1)
