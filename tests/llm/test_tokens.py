@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from helpers import ODD_TEXTS, SF, clashing, docs_frame, texts_of
+from helpers import DOCS, ODD_TEXTS, SF, clashing, docs_frame, texts_of
 from matchlake.llm import codec, forced_bpe, packing, token_files
 from matchlake.llm.common import shared_path
 
@@ -23,7 +23,7 @@ def libraries():
 def mixed_texts(n=1500):
     rng = random.Random(3)
     parts = ["the", "Stadt", "ÉTÉ", "niño", "<|endoftext|>", "<|startoftext|>", "'s", "  ", "...",
-             "\n\n", " ", "12", "´", "ß", "ÿ", "中", "á", " ", "!?", "'", "^", "\t"]
+             "\n\n", " ", "12", "´", "ß", "ÿ", "中", "á", " ", "!?", "'", "^", "\t", "\xa0", "\u2003", "\x1c", "\x85", " 'll", "\r\n"]
     return ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(n)]
 
 
@@ -151,7 +151,7 @@ def test_op9_query_and_files(spark, libraries):
 def test_op9_odd_rows(spark, libraries):
     path = shared_path(spark, "odd")
     df = clashing(docs_frame(spark, ODD_TEXTS)).repartition(3)
-    df = df.unionAll(clashing(spark.createDataFrame([(None, "null id", None, None, None)], df.schema.simpleString()[7:-1].replace(":", " ")[:0] or "doc_id long, text string, lang string, source string, n_chars long")))
+    df = df.unionAll(clashing(spark.createDataFrame([(None, "null id", None, None, None)], DOCS)))
     manifest = token_files.write_token_files(df, path, WORD)
     assert manifest["dtype"] == "<u2"
     rows = sorted(token_files.read_token_files(spark, path).collect(), key=lambda r: r.start)
