@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 
 import pyarrow as pa
@@ -41,11 +40,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint folder; off a local master it must be configured."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None \
-            and spark.sparkContext.getCheckpointDir() is None \
-            and not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+    """A fresh folder under the shared checkpoint folder, which a cluster must name."""
     return work_dir(spark, label)
 
 
@@ -77,11 +72,3 @@ def hash_sample(df: DataFrame, key: Column, rows: int, total: int, seed: int = 1
         return df
     keep = F.pmod(F.xxhash64(key.cast("string"), F.lit(seed)), F.lit(1_000_003))
     return df.filter(keep < int(1_000_003 * rows / total))
-
-
-def unused_name(df: DataFrame, stem: str = "m") -> str:
-    """A column name that the frame does not have yet."""
-    taken = {c.lower() for c in df.columns}
-    while (name := f"{stem}_{uuid.uuid4().hex[:8]}") in taken:
-        pass
-    return name

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from helpers import ODD_TEXTS, SF, clashing, docs_frame
+from helpers import ODD_TEXTS, clashing, docs_frame
 from matchlake.llm import langid, packing, quality, simhash, toxicity
 from matchlake.llm.common import held_out
 
