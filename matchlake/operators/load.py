@@ -51,6 +51,10 @@ class Warehouse:
     def truncate(self, table: str) -> None:
         self.spark.sql(f"TRUNCATE TABLE {self.name(table)}")
 
+    def drop(self) -> None:
+        """Remove the database and its tables."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
+
     # K7 = K8
     def load(self, df: DataFrame, table: str, fields: list[str] | None = None,
              append_only: bool = False) -> None:

@@ -80,6 +80,13 @@ def test_truncate_and_comments(spark):
     assert comments["name"] == "Name of the country, as leagues refer to it."
 
 
+def test_drop_removes_the_database(spark):
+    wh = Warehouse(spark)
+    wh.create("Country")
+    wh.drop()
+    assert wh.database not in [d.name for d in spark.catalog.listDatabases()]
+
+
 def test_full_refresh_is_idempotent_and_stops_on_a_failed_check(spark):
     root = work_dir(spark, "refresh")
     staged = {}
