@@ -11,9 +11,12 @@
    model and the channel's costs gives the best restorations.
 3. Words and word beginnings of restored texts that mark toxic training
    documents form a lexicon; each weighs -log(1 - share of toxic documents
-   among those with it), so the sum over a document's best words is a noisy-or,
-   which logistic calibration turns into a probability.  Learning uses a sample
-   of at most about ``TRAINING_ROWS`` labelled training rows.
+   among those with it), the share being a lower confidence bound.  A document
+   counts with its best word and a part of the next ones, so many weak words do
+   not add up to a sure one.  Logistic calibration on the half of the sample
+   that a lexicon of the other half has not seen makes it a probability.
+   Learning uses a sample of at most about ``TRAINING_ROWS`` labelled training
+   rows.
 
 Scores come from the text alone.
 """
@@ -42,9 +45,9 @@ SYMBOLS = 32  # 0-25 letters, 26 other letter, 27 digit, 28 word border, 29 othe
 OTHER, DIGIT, BORDER, SYMBOL = 26, 27, 28, 29
 BEST = 3  # restorations kept per span
 WORD_STARTS = (3, 4, 5, 6, 8)  # lengths of word beginnings used as features
-LEAST_SUPPORT = 5  # toxic training documents with a feature, at least
-LEAST_RATE = 0.55  # share of toxic ones among all documents with it, at least
-TOP_WORDS = 3
+SURE = 1.3  # standard errors below the seen share of toxic documents that a feature keeps
+LEAST_RATE = 0.65  # of that lower bound
+TOP_WORDS, REST = 3, 0.25  # words of a document that count, and the weight of all but the best
 
 # Characters and the letters they are written for.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t",
@@ -277,7 +280,7 @@ class Scorer:
             self.find.make_automaton()
 
     def evidence(self, text: str) -> tuple[float, str]:
-        """Sum of the weights of the best distinct words, and the restored text."""
+        """Weight of the best word and a part of the next ones', and the restored text."""
         restored, others = self.restorer.restore(text)
         weights, best = self.model.weights, {}
         if not weights:
@@ -293,7 +296,8 @@ class Scorer:
                 weight = max(whole, weights.get(f"^{stem}", 0.0))
                 word = line[a:b]
                 best[word] = max(best.get(word, 0.0), weight)
-        return sum(sorted(best.values())[-TOP_WORDS:]), restored
+        *rest, most = [0.0, *sorted(best.values())[-TOP_WORDS:]]
+        return most + REST * sum(rest), restored
 
     def score(self, text: str | None) -> tuple[float, str]:
         found, restored = self.evidence(text or "")
@@ -306,7 +310,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .filter(~held_out(F.col("doc_id"))))
     sample = hash_sample(marked, F.col("doc_id"), rows, marked.count())
-    return docs.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic")
+    # About ``rows`` ids at most, so they go to the texts and not the texts to them.
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id") \
+        .select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
@@ -316,34 +322,42 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
     is the base rate.
     """
     grams = language_model(count_grams(docs))
-    sample = save(_training_rows(docs, labels, rows), "toxic-sample")
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")
+    sample = save(_training_rows(docs, labels, rows).select(
+        "text", (F.col("toxic") > 0).cast("int").alias("toxic"), half.alias("half")),
+        "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, seen = Restorer(grams), (Counter(), Counter())
+        restorer, seen = Restorer(grams), {(y, h): Counter() for y in (0, 1) for h in (0, 1)}
         for batch in batches:
-            for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
+            for text, toxic, h in zip(*(c.to_pylist() for c in batch.columns)):
                 words = set(_WORD.findall(restorer.restore(text or "")[0]))
-                seen[toxic > 0].update({f for w in words for f in features(w)})
-        names = [*seen[0].keys() | seen[1].keys()]
-        yield pa.RecordBatch.from_pydict(
-            {"feature": pa.array(names, pa.string()),
-             "clean": pa.array([seen[0][f] for f in names], pa.int64()),
-             "toxic": pa.array([seen[1][f] for f in names], pa.int64())})
-
-    totals = {r.toxic > 0: r.n for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic"))
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
-    clean, toxic = totals.get(False, 0), totals.get(True, 0)
+                seen[toxic, h].update({f for w in words for f in features(w)})
+        names = [*set().union(*seen.values())]
+        yield pa.RecordBatch.from_pydict({"feature": pa.array(names, pa.string())} | {
+            f"{kind}{h}": pa.array([seen[y, h][f] for f in names], pa.int64())
+            for y, kind in enumerate(("clean", "toxic")) for h in (0, 1)})
+
+    totals = {(r.toxic, r.half): r.n for r in
+              sample.groupBy("toxic", "half").agg(F.count(F.lit(1)).alias("n")).collect()}
+    clean, toxic = (sum(totals.get((y, h), 0) for h in (0, 1)) for y in (0, 1))
     if not clean or not toxic:
         share = min(0.99, max(0.01, (toxic + 1) / (clean + toxic + 2)))
         return Model(grams, {}, 0.0, math.log(share / (1 - share)))
-    seen = F.col("toxic") + F.col("clean")
-    rate = (F.col("toxic") + 0.3) / (seen + 1.5)  # few sightings weigh less
-    found = (sample.mapInArrow(count, "feature string, clean long, toxic long")
-             .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-             .filter((F.col("toxic") >= LEAST_SUPPORT) & (rate >= LEAST_RATE))
-             .select("feature", (-F.log(1 - rate)).alias("weight")).collect())
-    weights = {r.feature: r.weight for r in found}
-    scorer_model = Model(grams, weights, 1.0, 0.0)
+
+    counts = [f"{kind}{h}" for kind in ("clean", "toxic") for h in (0, 1)]
+    seen = sample.mapInArrow(count, "feature string, clean0 long, clean1 long, toxic0 long, "
+                                    "toxic1 long") \
+        .groupBy("feature").agg(*[F.sum(c).alias(c) for c in counts])
+    both = _lower_share(F.col("toxic0") + F.col("toxic1"), F.col("clean0") + F.col("clean1"))
+    first = _lower_share(F.col("toxic0"), F.col("clean0"))
+    found = (seen.select("feature", both.alias("both"), first.alias("first"))
+             .filter((F.col("both") >= LEAST_RATE) | (F.col("first") >= LEAST_RATE)).collect())
+    weights, apart = ({r.feature: -math.log(1 - r[c]) for r in found
+                       if r[c] is not None and r[c] >= LEAST_RATE} for c in ("both", "first"))
+    # The calibration sees a lexicon only on texts that did not choose it.
+    whole = min(totals.get((y, h), 0) for y in (0, 1) for h in (0, 1)) == 0
+    scorer_model = Model(grams, weights if whole else apart, 1.0, 0.0)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(scorer_model)
@@ -351,13 +365,22 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
             yield pa.RecordBatch.from_pydict(
                 {"found": pa.array([scorer.evidence(t.as_py() or "")[0] for t in batch.column(0)],
                                    pa.float64()),
-                 "toxic": batch.column(1).cast(pa.int32())})
+                 "toxic": batch.column(1)})
 
-    pairs = sample.mapInArrow(weigh, "found double, toxic int").toArrow()
+    rest = (sample if whole else sample.filter(F.col("half") == 1)).select("text", "toxic")
+    pairs = rest.mapInArrow(weigh, "found double, toxic int").toArrow()
     slope, base = calibrate(pairs["found"].to_numpy(), pairs["toxic"].to_numpy() > 0)
     return Model(grams, weights, slope, base)
 
 
+def _lower_share(toxic: Column, clean: Column) -> Column:
+    """Wilson's lower bound of the share of toxic documents: few sightings count for less."""
+    n, z2 = F.nullif(toxic + clean, F.lit(0)), SURE * SURE
+    share = toxic / n
+    margin = SURE * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))
+    return (share + z2 / (2 * n) - margin) / (1 + z2 / n)
+
+
 def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
     """Logistic line through evidence and label by damped Newton steps with a weak ridge."""
     a = np.stack([x, np.ones_like(x)], axis=1)
