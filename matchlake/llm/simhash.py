@@ -203,7 +203,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE,
     """
     prints = save(docs.select(F.col("doc_id").alias("id"),
                               fingerprint_column(F.col("text"), shingle).alias("fp")), "prints")
-    return prints.join(components_of(prints, max_bits), "fp").select(
+    # Written first: a join of two tables is one whose hot fingerprint can be split.
+    components = save(components_of(prints, max_bits), "components")
+    return prints.join(components, "fp").select(
         F.col("id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
