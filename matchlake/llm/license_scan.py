@@ -131,7 +131,8 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None,
     for k, p in enumerate(phrases):
         found = F.col("per")[k] > 0
         at = F.regexp_instr(line, F.lit(hits[p])) - 1
-        before = F.regexp_extract(line, f"^(.*(?<![^ ])){p}(?![^ ])", 1)
+        # (?s): the word line keeps U+0085, U+2028 and U+2029, where '.' would stop
+        before = F.regexp_extract(line, f"(?s)^(.*(?<![^ ])){p}(?![^ ])", 1)
         first.append(F.when(found, _spaces(F.substring(line, F.lit(1), at))))
         last.append(F.when(found, _spaces(before)))
         names.append(F.when(found, F.lit(phrases[p])))

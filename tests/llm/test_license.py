@@ -130,6 +130,17 @@ def test_containment_and_base(spark):
     assert found[3][1:4] == (0, None, None)
 
 
+@pytest.mark.parametrize("mark", ["\x85", "\u2028", "\u2029"])
+def test_last_word_behind_a_line_mark(spark, mark):
+    """Characters that end a line for '.' but belong to the words of a word line."""
+    phrase = "under the mit license"
+    texts = [f"{phrase} a {mark} b {phrase}", f"a{mark}b {phrase}", f"{phrase} {mark}",
+             f"{phrase} {mark}{phrase} x {phrase}{mark} {mark} cc by nc {mark} cc by nc"]
+    found = got(docs_frame(spark, texts))
+    assert found == {i: plain(t) for i, t in enumerate(texts)}
+    assert found[0][1:4] == (2, 0, 7)
+
+
 def test_odd_rows(spark):
     df = clashing(docs_frame(spark, ODD_TEXTS))
     found = got(df.unionAll(df))
