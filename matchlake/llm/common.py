@@ -70,5 +70,12 @@ def hash_sample(df: DataFrame, key: Column, rows: int, total: int, seed: int = 1
     """
     if total <= rows:
         return df
-    keep = F.pmod(F.xxhash64(key.cast("string"), F.lit(seed)), F.lit(1_000_003))
-    return df.filter(keep < int(1_000_003 * rows / total))
+    # The share of the whole signed 64-bit range, so it holds for any total.
+    limit = (rows << 64) // total - (1 << 63)
+    return df.filter(F.xxhash64(key.cast("string"), F.lit(seed)) < F.lit(limit))
+
+
+def check_sample(taken: int, total: int, what: str) -> None:
+    """Training on nothing would give results without a meaning, so it fails."""
+    if total and not taken:
+        raise ValueError(f"no training row of {what} was sampled out of {total}")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import hash_sample, held_out, read_table
+from matchlake.llm.common import check_sample, hash_sample, held_out, read_table
 from matchlake.llm.hashed import BUCKET_BITS, edged, gram_hashes, mean_rows, window
 
 TRAINING_ROWS = 8_000  # documented bound of the training sample
@@ -107,6 +107,7 @@ def train(docs: DataFrame, rows: int = TRAINING_ROWS) -> Model:
                  "lang": batch.column(1).cast(pa.string())})
 
     got = sample.select("text", "lang").mapInArrow(cut, "text string, lang string").toArrow()
+    check_sample(got.num_rows, total, "op7_language_id")
     pairs = sorted((t, g) for t, g in zip(got["text"].to_pylist(), got["lang"].to_pylist())
                    if any(c.isalpha() for c in t))
     return fit([t for t, _ in pairs], [g for _, g in pairs])

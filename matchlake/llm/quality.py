@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import hash_sample, read_table
+from matchlake.llm.common import check_sample, hash_sample, read_table
 from matchlake.llm.hashed import BUCKET_BITS, edged, gram_hashes, mean_rows, window
 
 TRAINING_ROWS = 8_000  # documented bound of the training sample
@@ -185,6 +185,7 @@ def score_quality(docs: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
                  "target": pa.array([labels.posterior(votes(t)) for t in texts], pa.float64())})
 
     got = sample.mapInArrow(cut, "text string, target double").toArrow()
+    check_sample(got.num_rows, total, "op2_quality")
     pairs = sorted(zip(got["text"].to_pylist(), got["target"].to_pylist()))
     scorer = fit([t for t, _ in pairs], np.array([p for _, p in pairs]))
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import hash_sample, held_out, read_table, save
+from matchlake.llm.common import check_sample, hash_sample, held_out, read_table, save
 
 TRAINING_ROWS = 16_000  # documented bound of the labelled training sample
 THRESHOLD = 0.7
@@ -309,7 +309,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     marked = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .filter(~held_out(F.col("doc_id"))))
-    sample = hash_sample(marked, F.col("doc_id"), rows, marked.count())
+    total = marked.count()
+    sample = save(hash_sample(marked, F.col("doc_id"), rows, total), "toxic-ids")
+    check_sample(sample.count(), total, "op1_toxicity")
     # About ``rows`` ids at most, so they go to the texts and not the texts to them.
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id") \
         .select("text", "toxic")

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from helpers import ODD_TEXTS, clashing, docs_frame
-from matchlake.llm import langid, packing, quality, simhash, toxicity
-from matchlake.llm.common import held_out
+from helpers import ODD_TEXTS, SF, clashing, docs_frame
+from matchlake.llm import langid, learned_ann, packing, quality, simhash, toxicity
+from matchlake.llm.common import hash_sample, held_out
 
 MID = "/root/testdata/sf0.01"
 
@@ -42,6 +42,23 @@ def test_held_out_rows(spark):
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
 
 
+def test_sample_of_a_huge_table_is_not_empty(spark):
+    """A share of 8e-7, the ids of a part of such a table."""
+    ids = spark.range(20_000_000)
+    assert 4 <= hash_sample(ids, F.col("id"), 8_000, 10**10).count() <= 40
+    assert 900 <= hash_sample(spark.range(10_000), F.col("id"), 1_000, 10_000).count() <= 1_100
+
+
+def test_an_empty_sample_fails(spark, tables, monkeypatch):
+    for module in (langid, quality, learned_ann, toxicity):
+        monkeypatch.setattr(module, "hash_sample", lambda df, *a, **k: df.limit(0))
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    for run in (lambda: langid.train(tables[0]), lambda: quality.score_quality(tables[0]),
+                lambda: learned_ann.search(vectors), lambda: toxicity.train(*tables)):
+        with pytest.raises(ValueError, match="no training row"):
+            run()
+
+
 def test_op1_held_out_quality(spark):
     d = joined(spark, toxicity.query(spark, MID), MID)
     assert set(d.columns) >= {"doc_id", "held_out", "score", "predicted"}
