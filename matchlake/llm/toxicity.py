@@ -5,7 +5,9 @@
    batch; only the bounded table of counts leaves a task.
 2. Suspicious spans (letters mixed with look-alike digits or symbols, single
    letters with separators between them, letters repeated three times or more)
-   are found by vector operations on the whole text.  Each becomes a lattice:
+   are found by vector operations on the whole text, and so are runs of short
+   groups with any separators between them and words with doubled letters, where
+   the language model finds them unlikely.  Each becomes a lattice:
    a symbol may stand for itself or for the letters it looks like, a separator
    may be dropped, a run may be shortened.  Viterbi decoding under the language
    model and the channel's costs gives the best restorations.
@@ -23,9 +25,11 @@ Scores come from the text alone.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -56,6 +60,9 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 WEAK = "!|+¡"  # look-alikes that are punctuation when no letter follows
 SEPARATORS = " .-_*·~"
 
+GROUP = 4  # runs of equal characters in a short group
+UNLIKELY = math.log(SYMBOLS)  # mean cost of a symbol above which even chance does better
+
 COST_SWAP, COST_DROP, COST_RUN, COST_KEEP_SYMBOL = 1.0, 0.5, 1.0, 3.0
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -64,7 +71,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 @functools.lru_cache(maxsize=1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Per code point: language-model symbol, and kind (1 letter, 2 look-alike,
-    4 separator, 8 look-alike also at a word end)."""
+    4 separator of the plain spacing, 8 look-alike also at a word end, 16 any separator)."""
     symbol = np.full(0x110000, BORDER, np.uint8)
     kind = np.zeros(0x110000, np.uint8)
     for c in range(0x110000):
@@ -77,6 +84,10 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
             symbol[c] = DIGIT
         elif not ch.isspace():
             symbol[c] = SYMBOL
+        if not ch.isalnum() and ch not in LOOKALIKES and (
+                ch.isspace() or unicodedata.category(ch)[0] in "PSZ"
+                or unicodedata.category(ch) == "Cf"):
+            kind[c] |= 16
     for ch in LOOKALIKES:
         kind[ord(ch)] |= 2 if ch in WEAK else 2 | 8
     for ch in SEPARATORS:
@@ -133,22 +144,25 @@ def language_model(counts: np.ndarray, weight: float = 5.0) -> np.ndarray:
     return -np.log(p).astype(np.float32).reshape(-1)
 
 
-def options(ch: str, count: int) -> list[tuple[str, float]]:
-    """What a run of one character may stand for, with the channel's cost."""
+def options(ch: str, count: int, gaps: bool = False) -> list[tuple[str, float]]:
+    """What a run of one character may stand for, with the channel's cost; with ``gaps``
+    a separator may as well be one."""
     out = []
-    for c, cost in [(ch, 0.0 if ch.isalpha() else COST_KEEP_SYMBOL * count),
+    separator = bool(_tables()[1][ord(ch)] & 20)
+    free = ch.isalpha() or (gaps and separator)
+    for c, cost in [(ch, 0.0 if free else COST_KEEP_SYMBOL * count),
                     *((c, COST_SWAP) for c in LOOKALIKES.get(ch, ""))]:
         out.append((c * count, cost * (1 if ch.isalpha() else max(1, count / 2))))
         if count > 1 and c.isalpha():  # a double letter is mostly meant
             out.append((c, cost + COST_RUN * (2.5 if count == 2 else 1)))
         if count > 2 and c.isalpha():
             out.append((c * 2, cost + COST_RUN))
-    if ch in SEPARATORS:
+    if separator:
         out.append(("", COST_DROP))
     return out
 
 
-def decode(span: str, model: np.ndarray, best: int = BEST) -> list[str]:
+def decode(span: str, model: np.ndarray, best: int = BEST, gaps: bool = False) -> list[str]:
     """The ``best`` restorations of a lower-cased span, cheapest first."""
     symbol, _ = _tables()
     mask = SYMBOLS ** (ORDER - 1)
@@ -164,7 +178,7 @@ def decode(span: str, model: np.ndarray, best: int = BEST) -> list[str]:
         return state, cost
 
     for run in re.finditer(r"(.)\1*", span, re.S):
-        ways = options(run.group(1), len(run.group()))
+        ways = options(run.group(1), len(run.group()), gaps)
         after: dict[int, list[tuple[float, str]]] = {}
         for state, paths in states.items():
             for text, cost in ways:
@@ -223,34 +237,81 @@ def suspicious_spans(text: str) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def unlikely_spans(text: str, model: np.ndarray) -> list[tuple[int, int]]:
+    """Disjoint runs of short glyph groups with any separators between them, and words with
+    doubled letters, that the language model finds unlikely; each of whole glyph groups."""
+    codes = _codes(text)
+    n = len(codes)
+    if n < 3:
+        return []
+    symbol, kind = _tables()
+    kinds = kind[codes]
+    glyph, letter = kinds & 3 > 0, kinds & 1 > 0
+    edge = np.diff(np.concatenate([[0], glyph.view(np.int8), [0]]))
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(first):
+        return []
+
+    def summed(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(x, dtype=np.float64 if x.dtype.kind == "f"
+                                               else np.int64)])
+        return total[b] - total[a]
+
+    same = np.concatenate([[False], codes[1:] == codes[:-1]])
+    after = np.minimum(last + 1, n)
+    odd = summed(model[_grams(symbol[codes])], first, after) > UNLIKELY * (after - first)
+    short = summed(glyph & ~same, first, last) <= GROUP
+    letters = summed(letter, first, last)
+    doubled = summed(letter & same, first, last) > 0
+    gap = summed(kinds & 16 > 0, last[:-1], first[1:]) == first[1:] - last[:-1]
+    link = short[:-1] & short[1:] & (odd[:-1] | odd[1:]) & gap
+    joined = np.diff(np.concatenate([[0], link.view(np.int8), [0]]))
+    out, alone = [], odd & doubled
+    for a, b in zip(np.flatnonzero(joined == 1).tolist(), np.flatnonzero(joined == -1).tolist()):
+        if letters[a:b + 1].any():
+            out.append((int(first[a]), int(last[b])))
+            alone[a:b + 1] = False
+    out += [(int(first[k]), int(last[k])) for k in np.flatnonzero(alone)]
+    return sorted(out)
+
+
 class Restorer:
     """Restores whole texts; decoded spans are remembered up to a bound."""
 
     def __init__(self, model: np.ndarray):
         self.model, self.memo = model, {}
 
-    def ways(self, span: str) -> list[str]:
-        found = self.memo.get(span)
+    def ways(self, span: str, gaps: bool = False) -> list[str]:
+        found = self.memo.get((span, gaps))
         if found is None:
             if len(self.memo) > 50_000:
                 self.memo.clear()
-            found = decode(span, self.model)
+            found = decode(span, self.model, gaps=gaps)
             if len(span) < 100:
-                self.memo[span] = found
+                self.memo[span, gaps] = found
         return found
 
     def restore(self, text: str) -> tuple[str, list[str]]:
         """The lower-cased text with every span exchanged for its best restoration, and the others."""
         low = text.lower()
-        spans = suspicious_spans(low)
+        wide = unlikely_spans(low, self.model)
+        starts = [a for a, _ in wide]
+        spans = [(a, b, True) for a, b in wide]
+        for a, b in suspicious_spans(low):  # those inside a wider span are a part of it
+            k = bisect.bisect_right(starts, a) - 1
+            if k < 0 or wide[k][1] <= a:
+                spans.append((a, b, False))
         if not spans:
             return low, []
         parts, others, at = [], [], 0
-        for a, b in spans:
-            best, *more = self.ways(low[a:b])
+        for a, b, gaps in sorted(spans):
+            best, *more = self.ways(low[a:b], gaps)
             parts += [low[at:a], best]
-            others += more
             at = b
+            if not gaps:
+                others += more
+            elif best != low[a:b]:  # else the lattice found it clean
+                others += [*more, low[a:b]]
         return "".join([*parts, low[at:]]), others
 
 

@@ -82,6 +82,29 @@ def test_op1_deobfuscation(toxic_model, written, meant):
     assert hidden >= 0.9 * plain > scorer.score("The house of the")[0]
 
 
+@pytest.mark.parametrize("written", [
+    "i  d  i  o  t", "i-d.i-o-t", "i - d - i - o - t", "ii dd ii oo tt", "iii ddd iii ooo ttt",
+    "iiddiioott", "i,d,i,o,t", "i/d/i/o/t", "i\td\ti\to\tt", "i\nd\ni\no\nt",
+    "i\u200bd\u200bi\u200bo\u200bt", "id io t", "idi ot", "1 d, 1 0 t"])
+def test_op1_combined_deobfuscation(toxic_model, written):
+    scorer = toxicity.Scorer(toxic_model)
+    restored = scorer.restorer.restore(f"The {written} of the house")
+    assert "idiot" in re.findall(r"\w+", " ".join([restored[0], *restored[1]]))
+    plain = scorer.score("The idiot of the house")[0]
+    assert scorer.score(f"The {written} of the house")[0] >= 0.9 * plain
+
+
+def test_op1_clean_texts_keep_their_scores(tables, toxic_model, monkeypatch):
+    """The wider spans do not raise the score of a clean document over the threshold."""
+    scorer = toxicity.Scorer(toxic_model)
+    clean = [r.text for r in tables[0].join(tables[1].filter("toxic = 0"), "doc_id").collect()]
+    wide = np.array([scorer.score(t)[0] for t in clean])
+    monkeypatch.setattr(toxicity, "unlikely_spans", lambda text, model: [])
+    narrow = np.array([toxicity.Scorer(toxic_model).score(t)[0] for t in clean])
+    assert (wide >= toxicity.THRESHOLD).sum() <= (narrow >= toxicity.THRESHOLD).sum()
+    assert np.mean(np.abs(wide - narrow) < 0.01) >= 0.99
+
+
 def test_op1_language_model_counts_everything(spark):
     texts = ["abc", "abc abd", None, "", "É1!"]
     counts = toxicity.count_grams(docs_frame(spark, texts))
