@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import (forced_bpe, langid, learned_ann, license_scan, maxscore, packing,
-                           quality, simhash, token_files, toxicity)
+from matchlake.llm import (conversation, forced_bpe, langid, learned_ann, license_scan, maxscore,
+                           packing, quality, simhash, substring_dedup, token_files, toxicity,
+                           whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.query,
@@ -20,6 +21,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": license_scan.query,
     "op9_token_files": token_files.query,
     "op10_simhash_dedup": simhash.query,
+    "op11_whitening": whitening.query,
+    "op12_substring_dedup": substring_dedup.query,
+    "op13_conversation_repair": conversation.query,
 }
 
-ORACLE: dict[str, str] = {"op3_maxscore": maxscore.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op3_maxscore": maxscore.ORACLE_SQL,
+                          "op12_substring_dedup": substring_dedup.ORACLE_SQL}

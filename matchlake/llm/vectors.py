@@ -11,12 +11,18 @@ QUERY_BLOCK = 4_096  # queries of one block, about
 SHARD_ROWS = 8_192  # candidates of one shard, about
 
 
+def finite_vector(name: str) -> tuple[Column, Column]:
+    """The vector as doubles, and whether it is not null and has only finite components."""
+    vec = F.col(name).cast("array<double>")
+    return vec, vec.isNotNull() & F.forall(
+        vec, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+
+
 def valid_vectors(table: DataFrame) -> DataFrame:
     """(vec_id, vec) of rows whose vector is not null and has only finite components."""
-    vec = F.col("embedding").cast("array<double>")
-    finite = F.forall(vec, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
+    vec, finite = finite_vector("embedding")
     return table.select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec")) \
-        .filter(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite)
+        .filter(F.col("vec_id").isNotNull() & finite)
 
 
 def matrix(vectors: pd.Series, width: int = 0) -> np.ndarray:
