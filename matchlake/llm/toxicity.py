@@ -162,38 +162,103 @@ def options(ch: str, count: int, gaps: bool = False) -> list[tuple[str, float]]:
     return out
 
 
+class Path(NamedTuple):
+    """A way through the lattice: its cost, a hash of its text, its last piece and the way before."""
+
+    cost: float
+    key: int
+    piece: str
+    before: "Path | None"
+
+    def text(self) -> str:
+        pieces, at = [], self
+        while at is not None:
+            pieces.append(at.piece)
+            at = at.before
+        return "".join(reversed(pieces))
+
+
+class Piece(NamedTuple):
+    """What a run of one character may stand for."""
+
+    text: str
+    cost: float
+    symbols: tuple[int, ...]
+    shift: int  # of the hash of what stands before
+    key: int
+
+
+_KEY_BASE, _KEY_PRIME = 0x1F3D5B799B7D5F31, 2 ** 127 - 1
+# (cost, order found, the way so far, the next piece): ties never compare further than the order
+Candidate = tuple[float, int, Path, Piece]
+
+
+def _pieces(run: str, gaps: bool) -> list[Piece]:
+    symbol, out = _tables()[0], []
+    for text, cost in options(run[0], len(run), gaps):
+        key = 0
+        for c in text:
+            key = (key * _KEY_BASE + ord(c)) % _KEY_PRIME
+        out.append(Piece(text, cost, tuple(int(symbol[ord(c)]) for c in text),
+                         pow(_KEY_BASE, len(text), _KEY_PRIME), key))
+    return out
+
+
+def _cheapest(found: list[Candidate], best: int) -> list[Path]:
+    """The cheapest paths with different texts; of equal costs the one found first."""
+    found.sort()
+    kept: dict[int, Path] = {}
+    for cost, _, path, piece in found:
+        key = (path.key * piece.shift + piece.key) % _KEY_PRIME
+        if key not in kept:
+            kept[key] = Path(cost, key, piece.text, path)
+            if len(kept) == best:
+                break
+    return list(kept.values())
+
+
 def decode(span: str, model: np.ndarray, best: int = BEST, gaps: bool = False) -> list[str]:
-    """The ``best`` restorations of a lower-cased span, cheapest first."""
-    symbol, _ = _tables()
+    """The ``best`` restorations of a lower-cased span, cheapest first.
+
+    Paths share their beginnings, so a step costs the same at any length; texts
+    are read out once, at the end.
+    """
     mask = SYMBOLS ** (ORDER - 1)
     start = (BORDER * SYMBOLS + BORDER) * SYMBOLS + BORDER
-    states: dict[int, list[tuple[float, str]]] = {start: [(0.0, "")]}
+    states: dict[int, list[Path]] = {start: [Path(0.0, 0, "", None)]}
+    pieces: dict[str, list[Piece]] = {}
+    steps: dict[tuple[int, tuple[int, ...]], tuple[int, float]] = {}
 
-    def step(state: int, text: str) -> tuple[int, float]:
+    def step(state: int, symbols: tuple[int, ...]) -> tuple[int, float]:
         cost = 0.0
-        for c in text:
-            at = state * SYMBOLS + int(symbol[ord(c)])
+        for c in symbols:
+            at = state * SYMBOLS + c
             cost += float(model[at])
             state = at % mask
         return state, cost
 
     for run in re.finditer(r"(.)\1*", span, re.S):
-        ways = options(run.group(1), len(run.group()), gaps)
-        after: dict[int, list[tuple[float, str]]] = {}
+        ways = pieces.get(run.group())
+        if ways is None:
+            ways = pieces[run.group()] = _pieces(run.group(), gaps)
+        after: dict[int, list[Candidate]] = {}
+        order = 0
         for state, paths in states.items():
-            for text, cost in ways:
-                end, spent = step(state, text)
-                after.setdefault(end, []).extend((c + cost + spent, t + text) for c, t in paths)
+            for piece in ways:
+                known = steps.get((state, piece.symbols))
+                if known is None:
+                    known = steps[state, piece.symbols] = step(state, piece.symbols)
+                end, spent = known
+                into = after.setdefault(end, [])
+                for p in paths:
+                    order += 1
+                    into.append((p.cost + piece.cost + spent, order, p, piece))
         # k-best Viterbi: of the paths that meet in a state only the cheapest go on
-        states = {s: list(dict((t, (c, t)) for c, t in sorted(p, reverse=True)).values())
-                  for s, p in after.items()}
-        states = {s: sorted(p)[:best] for s, p in states.items()}
-    ends: dict[str, float] = {}
-    for state, paths in states.items():
-        closing = float(model[state * SYMBOLS + BORDER])
-        for cost, text in paths:
-            ends[text] = min(cost + closing, ends.get(text, math.inf))
-    return sorted(ends, key=lambda t: (ends[t], t))[:best]
+        states = {s: _cheapest(found, best) for s, found in after.items()}
+    nothing = Piece("", 0.0, (), 1, 0)
+    ends = [(p.cost + step(state, (BORDER,))[1], i, p, nothing)
+            for i, (state, p) in enumerate((s, p) for s, paths in states.items() for p in paths)]
+    return [text for _, text in sorted((p.cost, p.text()) for p in _cheapest(ends, best))]
 
 
 def suspicious_spans(text: str) -> list[tuple[int, int]]:
@@ -211,11 +276,13 @@ def suspicious_spans(text: str) -> list[tuple[int, int]]:
                  & (codes[1:-3] == codes[3:-1]) & (letter[:-4] | letter[2:-2] | letter[4:]))
         first[1:] &= ~glyph[:-5]
         for a in np.flatnonzero(first).tolist():
+            if spaced and a < spaced[-1][1]:
+                continue  # inside the last one, whose end is known
             b = a + 1
             while b + 1 < n and text[b] == text[a + 1] and glyph[b + 1] \
                     and not (b + 2 < n and glyph[b + 2]):
                 b += 2
-            if b - a >= 5 and (not spaced or a >= spaced[-1][1]):
+            if b - a >= 5:
                 spaced.append((a, b))
     mixed = np.flatnonzero((letter[:-1] & strong[1:]) | (alike[:-1] & letter[1:]))
     triple = np.flatnonzero(letter[2:] & (codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2]))

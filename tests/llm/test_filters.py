@@ -1,6 +1,7 @@
 """Operators 1, 2 and 7: held-out accuracy, decoding, odd rows; and the pipeline."""
 
 import re
+import time
 import zlib
 
 import numpy as np
@@ -116,16 +117,17 @@ def test_op1_language_model_counts_everything(spark):
     assert np.allclose(np.exp(-model.astype(float)).sum(axis=1), 1, atol=1e-4)
 
 
-def test_op1_decode_is_the_best_path():
+@pytest.mark.parametrize("gaps", [False, True])
+def test_op1_decode_is_the_best_path(gaps):
     """k-best Viterbi against every way through the lattice."""
     rng = np.random.default_rng(0)
     model = toxicity.language_model(rng.integers(0, 9, 32**4))
     symbol = toxicity._tables()[0]
-    for span in ["1d10t", "a$$", "s.c", "4b1", "xx3x"]:
+    for span in ["1d10t", "a$$", "s.c", "4b1", "xx3x", "a b--c", "ii d"]:
         paths = [("", 0.0)]
         for run in re.finditer(r"(.)\1*", span):
             paths = [(t + o, c + k) for t, c in paths
-                     for o, k in toxicity.options(run.group(1), len(run.group()))]
+                     for o, k in toxicity.options(run.group(1), len(run.group()), gaps)]
         best = {}
         for text, cost in paths:
             state = [toxicity.BORDER] * 3
@@ -134,10 +136,23 @@ def test_op1_decode_is_the_best_path():
                 state = [*state[1:], s]
             best[text] = min(cost, best.get(text, 1e9))
         want = sorted(best, key=lambda t: (best[t], t))[:toxicity.BEST]
-        got = toxicity.decode(span, model)
+        got = toxicity.decode(span, model, gaps=gaps)
         assert got[0] == want[0] and set(got) <= set(best)
 
 
+def test_op1_long_texts_take_time_in_proportion():
+    """Spaced letters, short cells and a chess score; the long text repeats the short one's result."""
+    rng = np.random.default_rng(0)
+    restorer = toxicity.Restorer(toxicity.language_model(rng.integers(0, 9, 32**4)))
+    for unit in ("i d i o t ", "a 1 b 2 c 3 ", "e4 e5 nf3 nc6 bb5 a6 "):
+        seconds = []
+        for n in (300, 1200):
+            begun = time.process_time()
+            restorer.restore(unit * n)
+            seconds.append(time.process_time() - begun)
+        assert seconds[1] < 9 * seconds[0] + 0.5
+
+
 def test_op1_odd_rows(spark, tables):
     df = clashing(docs_frame(spark, [*ODD_TEXTS, "You idiot scum, you 1d1ot"]))
     got = toxicity.score_documents(df.unionAll(df), tables[1]).collect()
