@@ -10,6 +10,7 @@ under the shared checkpoint folder and return what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from matchlake.operators import profile as PR
 from matchlake.operators import quality as Q
 from matchlake.operators.indexing import with_row_index
 from matchlake.operators.load import Warehouse, register_view
+from matchlake.operators.versions import VersionedWarehouse
 from matchlake.plans import jobs, star
 from matchlake.schemas import POINT, TABLES
 from matchlake.session import work_dir
@@ -762,11 +764,15 @@ def table_contents(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def _contents_sql(names: list[str]) -> str:
-    return O.with_star("\nUNION ALL\n".join(
-        f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(CAST("
+def _contents_rows(names: list[str], views: dict[str, str], more: str = "") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {more}'{n}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(CAST("
         f"'0x' || substr(md5(concat({_cells(n, 'VARCHAR', 'BIGINT')})), 1, 8) AS BIGINT)) "
-        f"AS BIGINT) AS content FROM {CHILD_VIEW[n]}" for n in names), POINT_CTE)
+        f"AS BIGINT) AS content FROM {views[n]}" for n in names)
+
+
+def _contents_sql(names: list[str]) -> str:
+    return O.with_star(_contents_rows(names, CHILD_VIEW), POINT_CTE)
 
 
 def _extracted(spark, sf_dir, fmt: str) -> DataFrame:
@@ -849,6 +855,59 @@ def q_full_refresh(spark, sf_dir):
     return table_contents({n: wh.table(n) for n in STAR_NAMES + ["Point"]})
 
 
+EARLY_VIEW = CHILD_VIEW | {
+    "Match": "(SELECT * FROM match WHERE stage <= 6) m",
+    "Point": "(SELECT * FROM point WHERE match_api_id IN "
+             "(SELECT match_api_id FROM match WHERE stage <= 6)) p"}
+
+
+@register("published_refresh", O.with_star("\nUNION ALL\n".join(
+    _contents_rows([*STAR_NAMES, "Point"], view, f"'{moment}' AS moment, ")
+    for moment, view in [("before", EARLY_VIEW), ("after failure", EARLY_VIEW),
+                         ("after success", CHILD_VIEW)]), POINT_CTE))
+def q_published_refresh(spark, sf_dir):
+    """A warehouse that holds the first stages; a refresh whose new Match repeats keys
+    fails its checks and changes nothing; a right one switches all eight tables."""
+    tables = _tables_with_points(spark, sf_dir)
+    m, lg = tables["Match"], tables["League"]
+    early = m.where(F.col("stage") <= 6)
+
+    def conformed(match: DataFrame) -> dict[str, DataFrame]:
+        new = tables | {"Match": match, "Point": P.points_result(match, lg)}
+        return {n: jobs.conform(df, TABLES[n].schema) for n, df in new.items()}
+
+    wh = VersionedWarehouse(spark)
+    moments = {}
+
+    def look(moment: str) -> None:
+        moments[moment] = table_contents({n: wh.table(n) for n in [*STAR_NAMES, "Point"]}) \
+            .withColumn("moment", F.lit(moment))
+
+    jobs.checked_refresh(wh, conformed(early))
+    look("before")
+    try:
+        jobs.checked_refresh(wh, conformed(m.unionAll(m.where(F.col("id") % 5 == 0))))
+    except jobs.FailedConstraint:
+        look("after failure")
+    jobs.checked_refresh(wh, conformed(m))
+    look("after success")
+    return reduce(DataFrame.unionByName, moments.values())
+
+
+@register("batch_append", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
+def q_batch_append(spark, sf_dir):
+    """K7/K8 append with a batch ledger: the first batch arrives three times (two retries),
+    the second once; the table holds each once."""
+    wh = VersionedWarehouse(spark)
+    pts = P.points_result(star.match(spark, sf_dir), star.league(spark, sf_dir))
+    first, second = (pts.where(F.col("match_api_id") % 3 == 0),
+                     pts.where(F.col("match_api_id") % 3 != 0))
+    for rows, batch in [(first, "week 1"), (first, "week 1"), (second, "week 2"),
+                        (first, "week 1")]:
+        wh.append(rows, "Point", batch)
+    return wh.table("Point")
+
+
 @register("warehouse_constraints", _constraint_sql())
 def q_warehouse_constraints(spark, sf_dir):
     """W3 + C1-C3: the declared constraints of a warehouse after its refresh."""

@@ -13,12 +13,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake.functions.rules import quote_name
 from matchlake.schemas import TABLES, TableDef, ddl
 from matchlake.session import work_dir
 
 
+def positional(df: DataFrame, schema: T.StructType, fields: list[str]) -> DataFrame:
+    """``df``, whose columns are ``fields`` by position, in the columns and types of ``schema``;
+    columns not in ``fields`` are NULL."""
+    if len(fields) != len(df.columns):
+        raise ValueError(f"{len(df.columns)} columns given for {len(fields)} fields")
+    source = dict(zip(fields, df.columns))
+    return df.selectExpr(*[
+        f"CAST({quote_name(source[f.name]) if f.name in source else 'NULL'} AS "
+        f"{f.dataType.simpleString()}) AS {quote_name(f.name)}"
+        for f in schema.fields
+    ])
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, database: str | None = None,
                  location: str | None = None):
@@ -65,16 +79,8 @@ class Warehouse:
         """
         target = self.spark.table(self.name(table))  # partition columns stand last in it
         declared = TABLES[table].columns if table in TABLES else target.columns
-        fields = list(fields) if fields else declared
-        if len(fields) != len(df.columns):
-            raise ValueError(f"{len(df.columns)} columns given for {len(fields)} fields")
-        source = dict(zip(fields, df.columns))
-        row = [
-            f"CAST({quote_name(source[f.name]) if f.name in source else 'NULL'} AS "
-            f"{f.dataType.simpleString()}) AS {quote_name(f.name)}"
-            for f in target.schema.fields
-        ]
-        df.selectExpr(*row).write.insertInto(self.name(table), overwrite=not append_only)
+        rows = positional(df, target.schema, list(fields) if fields else declared)
+        rows.write.insertInto(self.name(table), overwrite=not append_only)
 
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))

@@ -8,6 +8,7 @@ the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from matchlake.operators.load import Warehouse
 from matchlake.operators.points import points_result, team_stage_points
 from matchlake.operators.quality import (Check, constraint_report, non_empty_checks,
                                          run_checks)
+from matchlake.operators.versions import VersionedWarehouse
 from matchlake.schemas import LOAD_LEVELS, POINT, TABLES
 from matchlake.sinks.files import overwrite_partitions, write_delimited, write_parquet
 from matchlake.sources.csv import EXTRACT, Dialect, read_staged
@@ -83,6 +85,49 @@ def extract_tables(tables: dict[str, DataFrame], root: str, fmt: str = "parquet"
 
 # --- W3 ---------------------------------------------------------------------------
 
+def _load_levels(tables: set[str], load_one: Callable[[str], None],
+                 max_parallel: int) -> list[str]:
+    """``load_one`` for every table, level by level, the tables of a level side by side."""
+    loaded = []
+    for level in LOAD_LEVELS:
+        names = [n for n in level if n in tables]
+        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+            for future in [pool.submit(load_one, n) for n in names]:
+                future.result()  # re-raises the first failure of this level
+        loaded += names
+    return loaded
+
+
+class FailedConstraint(ValueError):
+    """A declared constraint that must hold does not hold in the new rows."""
+
+
+def checked_refresh(warehouse: VersionedWarehouse, tables: dict[str, DataFrame],
+                    checks: list[Check] | None = None,
+                    must_hold: tuple[str, ...] = ("primary key", "unique"),
+                    max_parallel: int = 4) -> int:
+    """Publish after the checks: load the given tables into the next version, run the
+    checks (Q1-Q5) and the declared constraints (C1-C3) on it, then switch all tables
+    at once.  Returns the number of the new version.
+
+    A failed load, check or constraint of a kind in ``must_hold`` raises, and every
+    table still reads the version before.  Tables that are not given stay as they are.
+    ``sql`` checks see the new tables as temp views under their names.
+    """
+    refresh = warehouse.begin()
+    loaded = _load_levels(set(tables), lambda n: refresh.load(tables[n], n), max_parallel)
+    new = {n: refresh.table(n) for n in refresh.next().folders}
+    checks = checks if checks is not None else non_empty_checks(loaded)
+    for name in {c.table for c in checks if c.kind == "sql"}:
+        new[name].createOrReplaceTempView(name)
+    run_checks(warehouse.spark, new, checks)
+    for r in constraint_report(new).collect():  # one row per declared constraint
+        if r.bad_keys and r.constraint in must_hold:
+            raise FailedConstraint(f"{r.table_name}: {r.constraint} {r.column_name} is broken by "
+                                   f"{r.bad_keys} keys in {r.bad_rows} rows")
+    return refresh.publish()
+
+
 def full_refresh(spark: SparkSession, warehouse: Warehouse, staged: dict[str, str],
                  points_path: str | None = None, dialect: Dialect = EXTRACT,
                  checks: list[Check] | None = None, raise_on_failure: bool = True,
@@ -98,7 +143,6 @@ def full_refresh(spark: SparkSession, warehouse: Warehouse, staged: dict[str, st
     is complete, and a failed load stops the refresh before the next level.
     """
     warehouse.create_all()
-    loaded = []
 
     def load_one(name: str) -> None:
         if name == "Point":
@@ -108,14 +152,7 @@ def full_refresh(spark: SparkSession, warehouse: Warehouse, staged: dict[str, st
                              TABLES[name].text_lengths)
         warehouse.load(df, name)
 
-    for level in LOAD_LEVELS:
-        names = [n for n in level if (n == "Point" and points_path) or n in staged]
-        if not names:
-            continue
-        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-            for future in [pool.submit(load_one, n) for n in names]:
-                future.result()  # re-raises the first failure of this level
-        loaded += names
+    loaded = _load_levels({*staged} | ({"Point"} if points_path else set()), load_one, max_parallel)
     checks = checks if checks is not None else non_empty_checks(loaded)
     tables = {n: warehouse.table(n) for n in {c.table for c in checks if c.kind != "sql"}}
     return run_checks(spark, tables, checks, raise_on_failure=raise_on_failure)
