@@ -30,7 +30,7 @@ from matchlake.session import work_dir
 from matchlake.sinks import files
 from matchlake.sources.csv import EXTRACT, INDEX_COLUMN, read_delimited, read_indexed, read_staged
 from matchlake.sources.parquet import read_parquet
-from matchlake.streaming import stage_refresh
+from matchlake.streaming import stage_completion, stage_refresh
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -838,6 +838,45 @@ def q_streaming_league_table(spark, sf_dir):
     return stage_refresh.read_standings(spark, f"{root}/standings")
 
 
+# What has landed in the end: late results for the missing goals of stages up to 6, then
+# some results annulled and some matches moved to the stage before.
+CORRECTED_CTE = """corrected AS (
+  SELECT * REPLACE (
+    CASE WHEN id % 500 = 7 THEN NULL WHEN stage <= 6 THEN coalesce(home_team_goal, 0)
+         ELSE home_team_goal END AS home_team_goal,
+    CASE WHEN id % 500 = 11 AND stage > 1 THEN stage - 1 ELSE stage END AS stage)
+  FROM match),
+complete AS (
+  SELECT league_id, season, stage FROM corrected GROUP BY league_id, season, stage
+  HAVING count(*) = count(home_team_goal + away_team_goal))"""
+COMPLETE_SQL = f"""SELECT t.* FROM tsp t JOIN complete USING (league_id, season, stage)"""
+
+
+@register("completed_stages", O.with_star(
+    COMPLETE_SQL, CORRECTED_CTE, O.TEAM_ROWS_CTE.replace("FROM match", "FROM corrected"),
+    O.TEAM_STAGE_CTE, tables=LEAGUE_MATCH))
+def q_completed_stages(spark, sf_dir):
+    """Points per team of the stages of which every match has its score, by a stream
+    with keyed state; results come late, some are annulled, some matches move."""
+    m, lg = star.match(spark, sf_dir), star.league(spark, sf_dir)
+    root = work_dir(spark, "completed")
+    names = stage_completion.MATCH_COLUMNS.fieldNames()
+    late = m.where("stage <= 6 AND home_team_goal IS NULL").withColumn(
+        "home_team_goal", F.lit(0).cast("int"))
+    changed = m.where("id % 500 IN (7, 11)").withColumn("home_team_goal", F.expr(
+        "CASE WHEN id % 500 = 7 THEN NULL WHEN stage <= 6 THEN coalesce(home_team_goal, 0) "
+        "ELSE home_team_goal END")).withColumn(
+        "stage", F.expr("CASE WHEN id % 500 = 11 AND stage > 1 THEN stage - 1 ELSE stage END"))
+    for landing in (m, late, changed):
+        files.write_parquet(landing.select(*names), f"{root}/landing", mode="append")
+        q = stage_completion.start(spark, f"{root}/landing", lg, f"{root}/matches",
+                                   f"{root}/totals", f"{root}/published", f"{root}/checkpoint")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return stage_completion.read_published(spark, f"{root}/published")
+
+
 @register("full_refresh", _contents_sql([*STAR_NAMES, "Point"]))
 def q_full_refresh(spark, sf_dir):
     """W3 + S8: stage every star table as ';' text under one root, build the

@@ -50,7 +50,7 @@ def points_result(match: DataFrame, league: DataFrame, strict: bool = False) ->
     )
 
 
-def _team_rows(match: DataFrame) -> DataFrame:
+def _team_rows(match: DataFrame, *more: str) -> DataFrame:
     """Two rows per scored match, one per team, in one pass (no union of two scans)."""
     scored = match.where(F.col("home_team_goal").isNotNull() & F.col("away_team_goal").isNotNull())
 
@@ -66,7 +66,7 @@ def _team_rows(match: DataFrame) -> DataFrame:
         side("home_team_api_id", "home", "home_team_goal", "away_team_goal"),
         side("away_team_api_id", "away", "away_team_goal", "home_team_goal"),
     ))
-    rows = scored.select("match_api_id", "league_id", "season", "stage", sides)
+    rows = scored.select("match_api_id", "league_id", "season", "stage", *more, sides)
     return rows.withColumn("points", match_points(F.col("goals_for"), F.col("goals_against")))
 
 
@@ -99,6 +99,19 @@ def stage_totals(match: DataFrame) -> DataFrame:
     )
 
 
+def signed_totals(match: DataFrame) -> DataFrame:
+    """``stage_totals`` of matches with a ``weight``: 1 adds the match, -1 takes it away."""
+    rows, weight = _team_rows(match, "weight"), F.col("weight").cast("bigint")
+
+    def counted(points: int) -> Column:
+        return F.sum(F.when(F.col("points") == points, weight).otherwise(0))
+
+    return rows.groupBy(*STAGE_KEYS).agg(
+        F.sum(weight).alias("played"),
+        counted(3).alias("wins"), counted(1).alias("draws"), counted(0).alias("losses"),
+        *[F.sum(F.col(c) * weight).alias(c) for c in ("goals_for", "goals_against", "points")])
+
+
 def name_stages(totals: DataFrame, league: DataFrame) -> DataFrame:
     """Attach the league name; unknown leagues drop out (inner join)."""
     named = totals.join(_league_names(league),
