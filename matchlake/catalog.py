@@ -21,6 +21,7 @@ from matchlake.functions.rules import WHITESPACE
 from matchlake.operators import points as P
 from matchlake.operators import profile as PR
 from matchlake.operators import quality as Q
+from matchlake.operators import snapshot
 from matchlake.operators.indexing import with_row_index
 from matchlake.operators.load import Warehouse, register_view
 from matchlake.operators.versions import VersionedWarehouse
@@ -933,6 +934,38 @@ def q_published_refresh(spark, sf_dir):
     return reduce(DataFrame.unionByName, moments.values())
 
 
+# Two extracts of Match: in some stretches of ids matches went, came and changed their score.
+SNAPSHOT_CTE = """old AS (
+  SELECT * FROM match WHERE NOT (id // 500 % 6 = 1 AND id % 10 = 2)),
+new AS (
+  SELECT * REPLACE (CASE WHEN id // 500 % 6 = 1 AND id % 10 = 4
+                         THEN CASE WHEN home_team_goal IS NULL THEN 1 END
+                         ELSE home_team_goal END AS home_team_goal)
+  FROM match WHERE NOT (id // 500 % 6 = 1 AND id % 10 = 3)),
+diff AS (
+  SELECT *, CAST(1 AS BIGINT) AS copies FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old)
+  UNION ALL
+  SELECT *, CAST(-1 AS BIGINT) AS copies FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new))"""
+
+
+@register("snapshot_changes", O.with_star(
+    "SELECT *, CASE WHEN count(*) OVER (PARTITION BY id) > 1 THEN 'changed' "
+    "WHEN copies > 0 THEN 'added' ELSE 'removed' END AS change FROM diff",
+    SNAPSHOT_CTE, tables=["match"]))
+def q_snapshot_changes(spark, sf_dir):
+    """Rows added, changed and removed between two extracts of Match; only key
+    ranges whose hash differs are read again."""
+    m, root = star.match(spark, sf_dir), work_dir(spark, "snapshots")
+    touched = "floor(id / 500) % 6 = 1"
+    old = m.where(f"NOT ({touched} AND id % 10 = 2)")
+    new = m.where(f"NOT ({touched} AND id % 10 = 3)").withColumn("home_team_goal", F.expr(
+        f"CASE WHEN {touched} AND id % 10 = 4 THEN CASE WHEN home_team_goal IS NULL THEN 1 END "
+        "ELSE home_team_goal END"))
+    snapshot.write_snapshot(old, f"{root}/old", "id", 500)
+    snapshot.write_snapshot(new, f"{root}/new", "id", 500)
+    return snapshot.snapshot_changes(spark, f"{root}/old", f"{root}/new", m.schema, "id")
+
+
 @register("batch_append", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
 def q_batch_append(spark, sf_dir):
     """K7/K8 append with a batch ledger: the first batch arrives three times (two retries),
