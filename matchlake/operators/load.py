@@ -9,6 +9,7 @@ load never leaves an empty table (a DELETE then COPY would).
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,11 +47,21 @@ class Warehouse:
         return f"`{self.database}`.`{table}`"
 
     # K5 + K11
-    def create(self, table: str | TableDef, partition_by: list[str] | None = None) -> str:
-        """With ``partition_by`` the table's folders follow those columns."""
+    def create(self, table: str | TableDef, partition_by: list[str] | None = None,
+               distribute_by: str | None = None, buckets: int = 0) -> str:
+        """With ``partition_by`` the table's folders follow those columns; with
+        ``distribute_by`` its rows are dealt to ``buckets`` by a hash of that key and sorted
+        by it, so tables with one distribution key join on it without a shuffle.
+
+        One bucket is read by one task: choose a key without hot values, and buckets
+        for files of a few hundred MB.
+        """
         t = TABLES[table] if isinstance(table, str) else table
         layout = f" PARTITIONED BY ({', '.join(map(quote_name, partition_by))})" \
             if partition_by else ""
+        if distribute_by:
+            key = quote_name(distribute_by)
+            layout += f" CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(buckets)} BUCKETS"
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(t.name)} ({ddl(t.schema, t.comments)}) "
             f"USING parquet{layout}"
@@ -85,6 +96,26 @@ class Warehouse:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def analyze(self, table: str, columns: list[str] | None = None) -> None:
+        """Statistics of the table and of ``columns`` (unless given, its keys and references)
+        into the catalog: row count, size, distinct values, and histograms where the session
+        asks for them.  A load makes them void, so run it after each.
+        """
+        t = TABLES.get(table)
+        if columns is None:
+            names = [*t.primary_key, *t.unique, *(r.column for r in t.references if r.enabled)] \
+                if t else self.table(table).columns
+            columns = list(dict.fromkeys(names))
+        what = f"FOR COLUMNS {', '.join(map(quote_name, columns))}" if columns else ""
+        self.spark.sql(f"ANALYZE TABLE {self.name(table)} COMPUTE STATISTICS {what}")
+
+    def analyzed_rows(self, table: str) -> int | None:
+        """A1 without a scan: the row count of the last ``analyze``, None if a load came since."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}") \
+            .where("col_name = 'Statistics'").collect()
+        found = re.search(r"(\d+) rows", rows[0].data_type) if rows else None
+        return int(found.group(1)) if found else None
+
     def comments(self, table: str) -> DataFrame:
         """The data dictionary, read back from the table definition."""
         return self.spark.sql(f"DESCRIBE TABLE {self.name(table)}")

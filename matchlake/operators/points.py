@@ -10,9 +10,9 @@ Plan shape, checked with ``explain``:
   four group keys, the final aggregate, then a broadcast join for the league
   name.  A hot league or team is collapsed by the partial aggregate before the
   shuffle, so skew in the facts does not reach a single reducer.
-* ``league_table_by_stage``: the aggregated rows (teams x stages, bounded by
-  the dimensions, not by the number of matches) are shuffled once on
-  (league_id, season); the grid and all windows reuse that partitioning.
+* ``league_table_by_stage``: only the aggregated rows (teams x stages, bounded by
+  the dimensions, not by the number of matches) are shuffled again; the windows are
+  those of one team and of one stage, never of a whole league-season.
 
 Building a plan starts no job.
 """
@@ -141,16 +141,16 @@ def league_table_by_stage(stage_points: DataFrame) -> DataFrame:
     a team's first match, carried on through weeks without one) and position is
     ``rank()`` among all teams by ``STANDING_ORDER``.
     """
-    # One shuffle serves everything: hash(league_id, season) satisfies the clustering
-    # of (league_id, season, team_api_id) and of (league_id, season, stage).
-    clustered = stage_points.repartition("league_id", "season")
     week = F.struct("stage", F.struct(*STAGE_METRICS).alias("got"))
-    per_team = clustered.groupBy("league_id", "name", "season", "team_api_id").agg(
+    per_team = stage_points.groupBy("league_id", "name", "season", "team_api_id").agg(
         F.collect_list(week).alias("weeks"))
-    together = Window.partitionBy("league_id", "season")
-    grid = (per_team
-            .withColumn("stages", F.array_distinct(F.flatten(
-                F.collect_list(F.transform("weeks", lambda w: w["stage"])).over(together))))
+    # The stages of a league-season, a small set that a partial aggregate finds (in a second
+    # scan, of few columns); joined back, so no task has to hold a whole league-season.
+    stages = stage_points.groupBy(F.col("league_id").alias("_league"),
+                                  F.col("season").alias("_season")) \
+        .agg(F.collect_set("stage").alias("stages"))
+    grid = (per_team.join(stages, F.col("league_id").eqNullSafe(F.col("_league"))
+                          & F.col("season").eqNullSafe(F.col("_season")))
             .withColumn("stage", F.explode("stages"))
             .withColumn("week", F.get(F.filter(
                 "weeks", lambda w: w["stage"].eqNullSafe(F.col("stage"))), F.lit(0))))

@@ -264,10 +264,32 @@ def fk_orphans(child: DataFrame, child_table: str, references: list[Reference])
 CONSTRAINT_COLUMNS = ["table_name", "constraint", "column_name", "parent", "bad_keys", "bad_rows"]
 
 
-def _references(tables: dict[str, DataFrame], t: TableDef) -> list[Reference]:
-    return [Reference(r.column, tables[r.parent], r.parent, r.parent_column)
-            for r in t.references
-            if r.enabled and r.parent in tables and r.column in tables[t.name].columns]
+@dataclass(frozen=True)
+class _Constraint:
+    number: int
+    kind: str
+    columns: tuple[str, ...]
+    parent_table: str | None = None
+    parent_column: str | None = None
+
+    @property
+    def label(self) -> str | None:
+        return f"{self.parent_table}.{self.parent_column}" if self.parent_table else None
+
+    def cell(self) -> Column:
+        """(number, key, no_key) of a row: the key as text, and whether a part of it is NULL."""
+        missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns])
+        return F.struct(F.lit(self.number).alias("number"), _key_text(list(self.columns)).alias("key"),
+                        missing.alias("no_key"))
+
+
+def _constraints(tables: dict[str, DataFrame], t: TableDef) -> list[_Constraint]:
+    have = set(tables[t.name].columns)
+    found = [("primary key", t.primary_key), *(("unique", (u,)) for u in t.unique)]
+    found = [(kind, key, None, None) for kind, key in found if key and set(key) <= have]
+    found += [("reference", (r.column,), r.parent, r.parent_column) for r in t.references
+              if r.enabled and r.parent in tables and r.column in have]
+    return [_Constraint(i, *c) for i, c in enumerate(found)]
 
 
 def constraint_report(tables: dict[str, DataFrame],
@@ -276,36 +298,48 @@ def constraint_report(tables: dict[str, DataFrame],
 
     One row per constraint (``CONSTRAINT_COLUMNS``): how many key values break it
     and how many rows hold them.
+
+    A table is read once for all its constraints: its rows become (constraint, key)
+    cells, which a partial aggregate counts, so a hot key is one row per task.  A parent
+    is read once per child table.
     """
     definitions = definitions or TABLES
     parts: list[DataFrame] = []
-
-    def totals(bad: DataFrame, *labels: Column) -> DataFrame:
-        return bad.agg(F.count(F.lit(1)).alias("bad_keys"),
-                       F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("bad_rows")) \
-            .select(*labels, "bad_keys", "bad_rows")
-
     for name, df in tables.items():
-        t = definitions[name]
-        for kind, keys in [("primary key", [t.primary_key] if t.primary_key else []),
-                           ("unique", [(u,) for u in t.unique])]:
-            for key in keys:
-                if set(key) <= set(df.columns):
-                    parts.append(totals(
-                        key_violations(df, name, key, primary=kind == "primary key"),
-                        F.lit(name).alias("table_name"), F.lit(kind).alias("constraint"),
-                        F.lit(",".join(key)).alias("column_name"),
-                        F.lit(None).cast("string").alias("parent")))
-        references = _references(tables, t)
-        if references:
-            found = fk_orphans(df, name, references).groupBy("child_column").agg(
-                F.count(F.lit(1)).alias("bad_keys"), F.sum("n_rows").alias("bad_rows"))
-            named = F.array(*[F.struct(F.lit(r.column).alias("child_column"),
-                                       F.lit(f"{r.parent_table}.{r.parent_column}").alias("parent"))
-                              for r in references])
-            one = df.sparkSession.range(1).select(F.inline(named))
-            parts.append(one.join(found, "child_column", "left").select(
-                F.lit(name).alias("table_name"), F.lit("reference").alias("constraint"),
-                F.col("child_column").alias("column_name"), "parent",
-                *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("bad_keys", "bad_rows")]))
+        constraints = _constraints(tables, definitions[name])
+        if not constraints:
+            continue
+        keys = (df.select(F.inline(F.array(*[c.cell() for c in constraints])))
+                .groupBy("number", "key", "no_key").agg(F.count(F.lit(1)).alias("n_rows")))
+        references = [c for c in constraints if c.kind == "reference"]
+        by_parent: dict[str, list[_Constraint]] = {}
+        for c in references:
+            by_parent.setdefault(c.parent_table, []).append(c)
+        if by_parent:
+            parents = reduce(DataFrame.unionByName, [
+                tables[p].select(F.inline(F.array(*[
+                    F.struct(F.lit(c.number).alias("number"),
+                             F.col(c.parent_column).cast("string").alias("key")) for c in cs])))
+                for p, cs in by_parent.items()]).where(F.col("key").isNotNull()).distinct()
+            keys = keys.join(parents.withColumn("known", F.lit(True)), ["number", "key"], "left")
+        else:
+            keys = keys.withColumn("known", F.lit(None).cast("boolean"))
+
+        def numbers(kind: str) -> list[int]:
+            return [c.number for c in constraints if c.kind == kind]
+
+        number, no_key, repeated = F.col("number"), F.col("no_key"), F.col("n_rows") > 1
+        bad = (F.when(number.isin(numbers("primary key")), repeated | no_key)
+               .when(number.isin(numbers("unique")), repeated & ~no_key)
+               .otherwise(~no_key & F.col("known").isNull()))
+        found = keys.where(bad).groupBy("number").agg(
+            F.count(F.lit(1)).alias("bad_keys"), F.sum("n_rows").alias("bad_rows"))
+        labels = df.sparkSession.range(1).select(F.inline(F.array(*[
+            F.struct(F.lit(c.number).alias("number"), F.lit(name).alias("table_name"),
+                     F.lit(c.kind).alias("constraint"),
+                     F.lit(",".join(c.columns)).alias("column_name"),
+                     F.lit(c.label).cast("string").alias("parent")) for c in constraints])))
+        parts.append(labels.join(found, "number", "left").select(
+            "table_name", "constraint", "column_name", "parent",
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("bad_keys", "bad_rows")]))
     return reduce(DataFrame.unionByName, parts).select(*CONSTRAINT_COLUMNS)

@@ -200,14 +200,15 @@ def test_flagship_plan_broadcasts_league_and_prunes_columns(spark):
            "o_orderdate:timestamp_ntz>" in plan
 
 
-def test_standings_plan_shuffles_facts_once_after_partial_aggregate(spark):
+def test_standings_plan_sums_facts_before_each_shuffle(spark):
     df = P.league_table_by_stage(P.team_stage_points(star.match(spark, SF_MID),
                                                      star.league(spark, SF_MID)))
     plan = plan_text(df, "simple")
-    # Group keys, then (league, season) for the grid and all windows.
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "partial_sum" in plan
-    assert plan.count("Window [") == 3
+    # Facts are summed before they are shuffled, for the totals and for the stages.
+    assert "partial_sum" in plan and "partial_collect_set" in plan
+    assert plan.count("orders.parquet") == 2
+    # Windows over one team's stages and over one stage's teams, none over a league-season.
+    assert plan.count("Window [") == 2
 
 
 def test_fk_checks_scan_the_child_once(spark):
