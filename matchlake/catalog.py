@@ -31,6 +31,7 @@ from matchlake.session import work_dir
 from matchlake.sinks import files
 from matchlake.sources.csv import EXTRACT, INDEX_COLUMN, read_delimited, read_indexed, read_staged
 from matchlake.sources.parquet import read_parquet
+from matchlake.sources.split_csv import read_split_staged
 from matchlake.streaming import stage_completion, stage_refresh
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -154,19 +155,32 @@ AWKWARD_SQL = """SELECT *, 'a"' || season || '";' || chr(10) || CASE id % 3
 FROM match"""
 
 
+def _awkward(m: DataFrame) -> DataFrame:
+    tail = (F.when(F.col("id") % 3 == 0, F.lit(""))
+            .when(F.col("id") % 3 == 1, F.lit("\n")).otherwise(F.lit(',"\r\n x\\')))
+    return m.withColumn("goal", F.concat(F.lit('a"'), "season", F.lit('";\n'), tail))
+
+
 @register("match_csv_roundtrip", O.with_star(AWKWARD_SQL, tables=["match"]))
 def q_match_csv_roundtrip(spark, sf_dir):
     """K1 then S3 under the default dialect: ';' text with a header, read back by
     position; the last column holds line breaks, quotes and separators."""
-    m = star.match(spark, sf_dir)
-    tail = (F.when(F.col("id") % 3 == 0, F.lit(""))
-            .when(F.col("id") % 3 == 1, F.lit("\n")).otherwise(F.lit(',"\r\n x\\')))
-    m = m.withColumn("goal", F.concat(F.lit('a"'), "season", F.lit('";\n'), tail))
+    m = _awkward(star.match(spark, sf_dir))
     path = work_dir(spark, "match-csv")
     files.write_delimited(m, path, EXTRACT)
     return read_delimited(spark, path, m.schema, EXTRACT)
 
 
+@register("split_csv_read", O.with_star(AWKWARD_SQL, tables=["match"]))
+def q_split_csv_read(spark, sf_dir):
+    """S3 of large files: ';' text whose cells hold line breaks, quotes and separators, each
+    file read by as many tasks as it has splits."""
+    m = _awkward(star.match(spark, sf_dir))
+    path = work_dir(spark, "large-csv")
+    files.write_delimited(m, path, EXTRACT)
+    return read_split_staged(spark, path, m.schema)
+
+
 @register("points_csv_job", O.with_star(O.POINTS_SQL, tables=LEAGUE_MATCH))
 def q_points_csv_job(spark, sf_dir):
     """W1 as the pipeline runs it: staged ';' files of Match (115 columns) and
