@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from matchlake import oracle as O
 from matchlake.functions.rules import WHITESPACE
+from matchlake.operators import growing_profile
 from matchlake.operators import points as P
 from matchlake.operators import profile as PR
 from matchlake.operators import quality as Q
@@ -718,6 +719,52 @@ def q_numeric_profile(spark, sf_dir):
         PR.numeric_profile(star.match(spark, sf_dir), "Match", digits=6))
 
 
+# What the sketches must keep to: quartiles within 2 % of the ranks, distinct values within 6 %.
+GROWING = INTEGER_COLUMNS
+
+
+@register("growing_profile", O.with_star("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count, "
+    f"CAST(count(*) - count({c}) AS BIGINT) AS null_count, round(avg({c}), 6) AS mean, "
+    f"round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, "
+    f"CAST(max({c}) AS DOUBLE) AS max, true AS quartiles_close, true AS distinct_close FROM match"
+    for c in GROWING), tables=["match"]))
+def q_growing_profile(spark, sf_dir):
+    """A3 + A5 of a table that grows: sketches per season folder, brought up to date after a
+    part of the seasons, after the rest and after nothing; then merged.  The sketches'
+    quartiles and distinct counts are held against exact ranks and counts."""
+    m, root = star.match(spark, sf_dir), work_dir(spark, "growing")
+    late = F.col("season") >= "1996/1997"
+
+    def update():
+        table = spark.read.schema(m.select(*[c for c in m.columns if c != "season"], "season").schema) \
+            .parquet(f"{root}/match")
+        growing_profile.update_profile(table, "season", f"{root}/sketches")
+        return table
+
+    for part in (~late, late):
+        files.write_parquet(m.where(part), f"{root}/match", mode="append", partition_by=["season"])
+        update()
+    found = growing_profile.merged_profile(update(), "season", f"{root}/sketches")
+    found = found.select(*[F.col(c) for c in found.columns if c in ("column_name", "count", "null_count",
+                                                                    "min", "max")],
+                         F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"),
+                         F.array("q25", "q50", "q75").alias("q"), "distinct")
+    columns = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+                        for c in GROWING])
+    values = m.select(F.inline(columns)).where("v IS NOT NULL")
+    ranks = [F.sum((F.col("v") < F.col("q")[k]).cast("long")).alias(f"below{k}") for k in range(3)] \
+        + [F.sum((F.col("v") <= F.col("q")[k]).cast("long")).alias(f"upto{k}") for k in range(3)]
+    exact = (values.join(found.select("column_name", "q"), "column_name").groupBy("column_name")
+             .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("v").alias("d"), *ranks))
+    close = [(F.col(f"below{k}") <= (p + 0.02) * F.col("n")) & (F.col(f"upto{k}") >= (p - 0.02) * F.col("n"))
+             for k, p in enumerate((0.25, 0.5, 0.75))]
+    return found.join(exact, "column_name").select(
+        "column_name", "count", "null_count", "mean", "std", "min", "max",
+        (close[0] & close[1] & close[2]).alias("quartiles_close"),
+        (F.abs(F.col("distinct") - F.col("d")) <= 0.06 * F.col("d")).alias("distinct_close"))
+
+
 @register("drop_null_rows", O.with_star(
     "SELECT * FROM match WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in MATCH_VIEW_COLUMNS),
     tables=["match"]))

@@ -10,15 +10,15 @@ partitions that hold a wanted rank are read again to find its value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake.session import ensure_checkpoint_dir
 
 
-def long_values(df: DataFrame, names: list[str]) -> DataFrame:
-    """(c, v): one row per value that is neither NULL nor NaN, c the column's number."""
+def long_values(df: DataFrame, names: list[str], *keep: Column) -> DataFrame:
+    """(``keep``, c, v): one row per value that is neither NULL nor NaN, c the column's number."""
     if not names:
         return df.sparkSession.createDataFrame([], "c int, v double")
     types = dict((f.name, f.dataType) for f in df.schema.fields)
@@ -27,7 +27,7 @@ def long_values(df: DataFrame, names: list[str]) -> DataFrame:
         c = F.col(f"`{n}`")
         v = F.when(~F.isnan(c), c) if isinstance(types[n], (T.FloatType, T.DoubleType)) else c
         cells.append(F.struct(F.lit(i).alias("c"), v.cast("double").alias("v")))
-    return df.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull())
+    return df.select(*keep, F.inline(F.array(*cells))).where(F.col("v").isNotNull())
 
 
 def exact_quantiles(values: DataFrame, probs: list[float]) -> DataFrame:
