@@ -51,25 +51,46 @@ def _rule_table(table: list[Rule]) -> Column:
                               F.lit(whole(r.pattern)).alias("pattern")) for r in table))
 
 
+CHUNK = 256  # places added up in one step
+
+
 def _places(line: Column, rule: Column) -> Column:
-    """Intervals of one rule: lengths of the parts between and of the matches, summed up."""
+    """Intervals of one rule: lengths of the parts between and of the matches, summed up.
+
+    Appending to an array copies it, so places are summed within chunks, then the
+    chunks are shifted: the work grows with the number of places, not its square.
+    """
     between = F.split(line, rule["pattern"], -1)
     found = F.regexp_extract_all(line, rule["pattern"], F.lit(0))
     sizes = F.zip_with(found, F.slice(between, 1, F.size(found)),
                        lambda m, b: F.struct(F.length(b).alias("gap"), F.length(m).alias("size")))
     start = F.struct(F.lit(0).alias("at"),
-                     F.expr("cast(array() as array<struct<start:int,back:int,rank:int,"
-                            "label:string>>)").alias("out"))
+                     F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("out"))
 
     def add(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
-        return F.struct(
-            (begin + x["size"]).alias("at"),
-            F.array_append(acc["out"], F.struct(
-                begin.alias("start"), (-(begin + x["size"])).alias("back"),
-                (-rule["priority"]).alias("rank"), rule["label"].alias("label"))).alias("out"))
-
-    return F.aggregate(sizes, start, add, lambda acc: acc["out"])
+        end = begin + x["size"]
+        return F.struct(end.alias("at"), F.array_append(
+            acc["out"], F.struct(begin.alias("start"), end.alias("end"))).alias("out"))
+
+    def shifted(chunks: Column) -> Column:
+        ends = F.aggregate(
+            chunks, F.expr("cast(array(0) as array<int>)"),
+            lambda acc, c: F.array_append(acc, F.element_at(acc, -1) + c["at"]))
+        return F.flatten(F.zip_with(
+            chunks, F.slice(ends, 1, F.size(chunks)), lambda c, by: F.transform(
+                c["out"], lambda p: F.struct(
+                    (p["start"] + by).alias("start"), (-(p["end"] + by)).alias("back"),
+                    (-rule["priority"]).alias("rank"), rule["label"].alias("label")))))
+
+    def chunked(all_sizes: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(all_sizes), F.lit(1)), F.lit(CHUNK))
+        return F.transform(firsts, lambda i: F.aggregate(
+            F.slice(all_sizes, i, F.lit(CHUNK)), start, add))
+
+    # An array of one, so that the lambda's variable is computed once and used twice.
+    chunks = F.transform(F.array(sizes), chunked)
+    return F.element_at(F.transform(chunks, shifted), 1)
 
 
 def _survivors(places: Column) -> Column:

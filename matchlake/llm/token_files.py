@@ -37,7 +37,14 @@ READ_ROWS = 10_000
 
 
 def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and plain path of a folder given as a path or a URI."""
+    """File system and plain path of a folder given as a path or a URI.
+
+    Hadoop's names of the S3 connector mean the same store; a scheme that pyarrow does
+    not know is refused.
+    """
+    for scheme in ("s3a:", "s3n:"):
+        if path.startswith(scheme):
+            path = "s3:" + path[len(scheme):]
     if path.startswith("file:/"):
         path = "/" + path[5:].lstrip("/")
     if path.startswith("/"):
@@ -62,6 +69,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     the same id are ordered by their text's hash.  An empty table gives a
     manifest without shards.  doc_id must be an integer.
     """
+    open_folder(path)  # refuses a folder that tasks could not write, before any work
     dtype = "<u2" if max(codec.load(tokenizer)["model"]["vocab"].values()) < 2**16 - 256 else "<u4"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.xxhash64("text").alias("tie"),

@@ -152,3 +152,15 @@ def test_odd_rows(spark):
 def test_native_plan(spark, native):
     plan = scan.query(spark, SF)._jdf.queryExecution().toString()
     assert native not in plan and "Exchange" not in plan
+
+
+def test_many_places_take_time_in_proportion(spark):
+    """100,000 places of one text, and the same labels and words as for few."""
+    import time
+    unit = "released under the mit license and see the license for details "
+    begun = time.time()
+    rows = scan.scan(docs_frame(spark, [unit * n for n in (1, 300, 25_000)])).collect()
+    assert time.time() - begun < 120
+    for r, n in zip(sorted(rows, key=lambda r: r.doc_id), (1, 300, 25_000)):
+        assert (r.n_base, r.first_word, r.last_word) == (n, 1, 11 * (n - 1) + 1)
+        assert r.labels == rows[0].labels and r.score == rows[0].score

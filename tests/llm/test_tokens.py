@@ -162,3 +162,13 @@ def test_op9_odd_rows(spark, libraries):
     empty = shared_path(spark, "empty")
     assert token_files.write_token_files(docs_frame(spark, []), empty, WORD)["shards"] == []
     assert token_files.read_token_checksums(spark, empty).count() == 0
+
+
+def test_op9_folder_schemes():
+    from matchlake.llm.token_files import open_folder
+
+    assert open_folder("file:/tmp/x")[1] == open_folder("/tmp/x")[1] == "/tmp/x"
+    system, path = open_folder("s3a://bucket/ids?region=us-east-1&endpoint_override=127.0.0.1")
+    assert system.type_name == "s3" and path == "bucket/ids"
+    with pytest.raises(Exception, match="scheme|Unrecognized"):
+        open_folder("nosuch://bucket/ids")
