@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 BUCKET_BITS = 16
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -60,6 +61,32 @@ def mean_rows(table: np.ndarray, text: str, letters_only: bool, orders: tuple[in
     return total / max(1, count)
 
 
+def bag(text: str, letters_only: bool, orders: tuple[int, ...], block: int = 200_000
+        ) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a whole text in ascending order and their shares of all its n-grams.
+
+    At most 2 ** BUCKET_BITS of each, however long the text is.
+    """
+    classes = edged(text, letters_only)
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    for n in orders:
+        for at in range(0, len(classes) - n + 1, block):
+            h = gram_hashes(classes[at:at + block + n - 1], n)
+            counts += np.bincount(h, minlength=len(counts))
+    found = np.flatnonzero(counts)
+    return found.astype(np.uint16), (counts[found] / max(1, counts.sum())).astype(np.float32)
+
+
+def packed(bags: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, pa.Array]:
+    """Bags as two binary columns."""
+    return {"buckets": pa.array([b.tobytes() for b, _ in bags], pa.binary()),
+            "shares": pa.array([s.tobytes() for _, s in bags], pa.binary())}
+
+
+def unpacked(buckets: bytes, shares: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(buckets, np.uint16), np.frombuffer(shares, np.float32)
+
+
 def window(text: str, low: int, high: int) -> str:
     """A random stretch of a training text; its place and length follow from the text."""
     rng = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import check_sample, hash_sample, read_table
+from matchlake.llm.common import check_sample, distinct_rows, hash_sample, read_table
 from matchlake.llm.vectors import (QUERY_BLOCK, SHARD_ROWS, dealt, matrix, merge_top,
                                    valid_vectors)
 
@@ -207,7 +207,9 @@ def search(table: DataFrame, every: int = EVERY, k: int = TOP, parts: int = PART
     if not n:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id",
                            F.lit(0.0).alias("score")).limit(0)
-    taken = hash_sample(rows, F.col("vec_id"), sample_rows, n).orderBy("vec_id").toPandas()
+    vectors = rows.select("vec")
+    different = distinct_rows(vectors, F.xxhash64("vec"))
+    taken = hash_sample(vectors, F.xxhash64("vec"), sample_rows, different).orderBy("vec").toPandas()
     check_sample(len(taken), n, "op5_learned_ann")
     sample = matrix(taken["vec"], width)
     apart = np.arange(len(sample)) % 10 == 0 if len(sample) >= 200 else np.zeros(len(sample), bool)

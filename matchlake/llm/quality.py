@@ -7,8 +7,10 @@ and a hashed linear scorer trained on the posterior labels.
    aggregate) reach the driver.  EM over all documents estimates the share of
    good documents and how each labeller votes on good and on bad ones.
 3. The posteriors label a sample of at most about ``TRAINING_ROWS`` documents; a
-   logistic scorer over the mean of hashed character n-grams learns them by
-   stochastic gradient descent and scores every whole text.
+   logistic scorer over the mean of hashed character n-grams of whole texts
+   learns them by stochastic gradient descent and scores every whole text.
+   The tasks count the n-grams; a row brings at most 2 ** BUCKET_BITS buckets
+   of six bytes to the driver, however long its text is.
 
 No label table is read.
 """
@@ -24,11 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import check_sample, hash_sample, read_table
-from matchlake.llm.hashed import BUCKET_BITS, edged, gram_hashes, mean_rows, window
+from matchlake.llm.common import check_sample, distinct_rows, hash_sample, read_table
+from matchlake.llm.hashed import BUCKET_BITS, bag, mean_rows, packed, unpacked
 
 TRAINING_ROWS = 8_000  # documented bound of the training sample
-STRETCH = (200, 3_000)  # characters of a training stretch
 ORDERS = (2, 3)
 EPOCHS = 4
 GOOD, BAD, BETWEEN, ABSTAIN = KINDS = "gbm-"
@@ -135,11 +136,9 @@ class Scorer(NamedTuple):
         return float(1 / (1 + np.exp(-np.clip(x, -50, 50))))
 
 
-def fit(texts: list[str], target: np.ndarray, seed: int = 0) -> Scorer:
-    """Logistic regression on mean hashed n-grams with soft labels."""
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, seed: int = 0) -> Scorer:
+    """Logistic regression on the n-gram shares of whole texts with soft labels."""
     rng = np.random.default_rng(seed)
-    bags = [np.concatenate([gram_hashes(c, n) for n in ORDERS])
-            for c in (edged(t, False) for t in texts)]
     w, base = np.zeros(1 << BUCKET_BITS, np.float64), 0.0
     order, steps, done = np.arange(len(bags)), max(1, EPOCHS * len(bags)), 0
     share = min(0.99, max(0.01, float(target.mean()))) if len(target) else 0.5
@@ -147,11 +146,11 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 0) -> Scorer:
     for _ in range(EPOCHS):
         rng.shuffle(order)
         for i in order:
-            bag = bags[i]
-            p = 1 / (1 + np.exp(-np.clip(w[bag].mean() + base, -30, 30)))
+            buckets, shares = bags[i]
+            p = 1 / (1 + np.exp(-np.clip(w[buckets] @ shares + base, -30, 30)))
             t = target[i]
             step = (t * balance[1] + (1 - t) * balance[0]) * (t - p) * (1 - done / steps)
-            np.add.at(w, bag, 200.0 * step / len(bag))
+            w[buckets] += 200.0 * step * shares  # no bucket stands twice in a bag
             base += 0.1 * step
             done += 1
     return Scorer(w[:, None], float(base))
@@ -160,6 +159,7 @@ def fit(texts: list[str], target: np.ndarray, seed: int = 0) -> Scorer:
 def score_quality(docs: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     """(doc_id, votes, posterior, score, predicted) of every row of (doc_id, text).
 
+    Each different text counts once among the about ``rows`` training rows.
     ``posterior`` is the label model's probability that the document is good,
     ``score`` the trained scorer's, ``predicted`` 1 from a score of 0.5.  A null
     text counts as empty; repeated rows repeat; an empty table gives no rows;
@@ -173,21 +173,21 @@ def score_quality(docs: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
                            F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     labels = expectation_maximisation([r.votes for r in found], np.array([r.n for r in found]))
     posterior = {r.votes: labels.posterior(r.votes) for r in found}
-    total = sum(r.n for r in found)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    sample = hash_sample(base, key, rows, total).select("text")
+    texts = base.select(F.coalesce("text", F.lit("")).alias("text"))
+    total = distinct_rows(texts, F.xxhash64("text"))
+    sample = hash_sample(texts, F.xxhash64("text"), rows, total)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(0)]
-            yield pa.RecordBatch.from_pydict(
-                {"text": pa.array([window(t, *STRETCH) for t in texts], pa.string()),
-                 "target": pa.array([labels.posterior(votes(t)) for t in texts], pa.float64())})
+            for text in batch.column(0):  # a row at a time: texts may be long
+                text = text.as_py()
+                yield pa.RecordBatch.from_pydict(packed([bag(text, False, ORDERS)]) | {
+                    "target": pa.array([labels.posterior(votes(text))], pa.float64())})
 
-    got = sample.mapInArrow(cut, "text string, target double").toArrow()
+    got = sample.mapInArrow(count, "buckets binary, shares binary, target double").toArrow()
     check_sample(got.num_rows, total, "op2_quality")
-    pairs = sorted(zip(got["text"].to_pylist(), got["target"].to_pylist()))
-    scorer = fit([t for t, _ in pairs], np.array([p for _, p in pairs]))
+    rows_got = sorted(zip(*(got[c].to_pylist() for c in ("buckets", "shares", "target"))))
+    scorer = fit([unpacked(b, s) for b, s, _ in rows_got], np.array([t for _, _, t in rows_got]))
 
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import check_sample, hash_sample, held_out, read_table, save
+from matchlake.llm.common import check_sample, distinct_rows, hash_sample, held_out, read_table, save
 
 TRAINING_ROWS = 16_000  # documented bound of the labelled training sample
 THRESHOLD = 0.7
@@ -456,6 +456,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
     sample = save(_training_rows(docs, labels, rows).select(
         "text", (F.col("toxic") > 0).cast("int").alias("toxic"), half.alias("half")),
         "toxic-sample")
+    if sample.count() > 2 * rows:  # ids that many rows share
+        row = F.xxhash64("text", "toxic")
+        sample = save(hash_sample(sample, row, rows, distinct_rows(sample, row)), "toxic-rows")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer, seen = Restorer(grams), {(y, h): Counter() for y in (0, 1) for h in (0, 1)}

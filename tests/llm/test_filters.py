@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from helpers import ODD_TEXTS, SF, clashing, docs_frame
 from matchlake.llm import langid, learned_ann, packing, quality, simhash, toxicity
-from matchlake.llm.common import hash_sample, held_out
+from matchlake.llm.common import distinct_rows, hash_sample, held_out
+from matchlake.llm.hashed import bag, edged, gram_hashes, packed, unpacked
 
 MID = "/root/testdata/sf0.01"
 
@@ -174,14 +175,95 @@ def test_op7_held_out_accuracy(spark, tables):
     assert d.score.between(0, 1).all()
 
 
-def test_op7_probabilities_are_calibrated_and_short_noise_is_rejected(tables):
-    rows = [(r.text, r.lang) for r in tables[0].collect()]
-    cut = [(langid.window(t, 20, 300), g) for t, g in rows]
-    model = langid.fit([t for t, _ in cut[:700]], [g for _, g in cut[:700]])
-    got = [langid.recognise(t, model) for t, _ in cut[700:]]
-    right = np.array([g == want for (g, _), (_, want) in zip(got, cut[700:])])
-    assert abs(np.mean([p for _, p in got]) - right.mean()) < 0.05
-    assert 0 < model.reject <= 0.5
+def learning_rows(tables):
+    """(texts and languages to learn from, held-out ones), as the contract divides them."""
+    rows = [(zlib.crc32(str(r.doc_id).encode()) % 3 == 1, r.text, r.lang)
+            for r in tables[0].orderBy("doc_id").collect() if r.text and r.lang]
+    return [(t, g) for h, t, g in rows if not h], [(t, g) for h, t, g in rows if h]
+
+
+@pytest.fixture(scope="module")
+def language_model(tables):
+    return langid.fit([e for t, g in learning_rows(tables)[0] for e in langid.examples(t, g)])
+
+
+OTHER_LANGUAGES = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar",
+    "人人生而自由,在尊严和权利上一律平等", "xkq zvbw pfjq wtrx qqpl mnbv cxzl kjhg"]
+
+
+def test_op7_probabilities_are_calibrated_and_noise_is_rejected(tables, language_model):
+    model, apart = language_model, learning_rows(tables)[1]
+    cut = [(langid.window(t, 20, 300), g) for t, g in apart]
+    for rows in (apart, cut):
+        got = [langid.recognise(t, model) for t, _ in rows]
+        right = np.array([r.lang == g for r, (_, g) in zip(got, rows)])
+        assert right.mean() >= 0.97
+        assert abs(np.mean([r.score for r in got]) - right.mean()) < 0.05
+        assert np.mean([r.known >= model.reject for r in got]) >= 0.98
+    for rows, share in ((apart, 0.95), (cut, 0.7)):
+        noise = [langid.recognise(langid.shuffled(t), model) for t, _ in rows]
+        assert np.mean([r.known < model.reject for r in noise]) >= share
+    assert all(langid.recognise(t, model).known < model.reject for t in OTHER_LANGUAGES)
+
+
+def test_op7_learned_language_left_out_is_rejected(tables):
+    learn, apart = learning_rows(tables)
+    model = langid.fit([e for t, g in learn if g != "de" for e in langid.examples(t, g)])
+    got = [langid.recognise(t, model) for t, g in apart if g == "de"]
+    assert np.mean([r.known < model.reject for r in got]) >= 0.8
+    kept = [langid.recognise(t, model) for t, g in apart if g != "de"]
+    assert np.mean([r.known >= model.reject for r in kept]) >= 0.98
+
+
+def test_op7_query_against_a_plain_run(spark, tables, language_model):
+    """The whole result from the definition: plain n-gram means, one text after the other."""
+    model = language_model
+    got = {r.doc_id: r for r in langid.query(spark, MID).collect()}
+    rows = tables[0].collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        found = got[r.doc_id]
+        assert found.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        if not any(map(str.isalpha, r.text or "")):
+            assert (found.lang_pred, found.score, found.accepted) == ("und", 0.0, False)
+            continue
+        buckets, shares = bag(r.text, True, langid.ORDERS)
+        z = (shares.astype(float) @ model.table[buckets].astype(float) + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert found.lang_pred == model.langs[int(p.argmax())] or np.sort(p)[-1] - np.sort(p)[-2] < 1e-5
+        assert found.score == pytest.approx(p.max(), abs=1e-4)
+
+
+def test_training_sample_of_one_repeated_id_is_bounded(spark):
+    """A third of the rows under one id, of them half one text: rows of different text count alike."""
+    rows = [(i if i % 3 else 0, f"text {i if i % 6 else 0}") for i in range(12_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = F.xxhash64("doc_id", "text")
+    total = distinct_rows(df, key)
+    assert total == pytest.approx(len(set(rows)), rel=0.06)
+    got = [tuple(r) for r in hash_sample(df, key, 500, total).collect()]
+    assert len(got) == len(set(got)) and 400 <= len(got) <= 600
+    assert 100 <= sum(i == 0 for i, _ in got) <= 150  # its share of the different rows
+    again = hash_sample(df.repartition(7), key, 500, distinct_rows(df.repartition(7), key))
+    assert sorted(map(tuple, again.collect())) == sorted(got)
+
+
+def test_bags_hold_whole_texts():
+    """Every n-gram counts, also across the blocks."""
+    rng = np.random.default_rng(0)
+    text = "".join(rng.choice(list("abcdé .7"), 3_000))
+    for letters_only in (True, False):
+        want = np.concatenate([gram_hashes(edged(text, letters_only), n) for n in (2, 4)])
+        buckets, counts = np.unique(want, return_counts=True)
+        for block in (100, 200_000):
+            got = bag(text, letters_only, (2, 4), block)
+            assert (got[0] == buckets).all()
+            assert np.allclose(got[1] * len(want), counts)
+        assert (unpacked(*(packed([got])[c][0].as_py() for c in ("buckets", "shares")))[0] == buckets).all()
 
 
 def test_op7_odd_rows(spark):
@@ -219,6 +301,27 @@ def test_op2_em_finds_the_accuracies():
         assert model.table[k, 1, 0] == pytest.approx(a, abs=0.06)
 
 
+def test_op2_query_against_a_plain_run(spark, tables):
+    """The whole result from the definition, one text after the other."""
+    texts = {r.doc_id: r.text or "" for r in tables[0].collect()}
+    seen = {i: quality.votes(t) for i, t in texts.items()}
+    patterns = sorted(set(seen.values()))
+    every = list(seen.values())
+    labels = quality.expectation_maximisation(patterns, np.array([every.count(p) for p in patterns]))
+    learn = sorted((*(x.tobytes() for x in bag(t, False, quality.ORDERS)),
+                    labels.posterior(quality.votes(t))) for t in set(texts.values()))
+    scorer = quality.fit([unpacked(b, s) for b, s, _ in learn], np.array([t for *_, t in learn]))
+    got = {r.doc_id: r for r in quality.query(spark, MID).collect()}
+    assert got.keys() == texts.keys()
+    for i, t in texts.items():
+        grams = np.concatenate([gram_hashes(edged(t, False), n) for n in quality.ORDERS])
+        x = (scorer.weights[grams, 0].mean() if len(grams) else 0.0) + scorer.base
+        assert got[i].votes == seen[i]
+        assert got[i].posterior == pytest.approx(labels.posterior(seen[i]), abs=1e-9)
+        assert got[i].score == pytest.approx(1 / (1 + np.exp(-x)), abs=1e-6)
+        assert got[i].predicted == int(got[i].score >= 0.5)
+
+
 def test_op2_odd_rows(spark):
     df = clashing(docs_frame(spark, ODD_TEXTS))
     got = quality.score_quality(df.unionAll(df)).collect()
@@ -235,7 +338,7 @@ def test_pipeline_against_its_parts(spark):
     rows = [r for r in docs.collect() if scorer.score(r.text)[0] < 0.7]
     after = spark.createDataFrame(rows, docs.schema)
     model = langid.train(after)
-    rows = [r for r in rows if langid.recognise(r.text, model)[1] >= model.reject]
+    rows = [r for r in rows if langid.recognise(r.text, model).known >= model.reject]
     rows.sort(key=lambda r: r.doc_id)
     prints = [simhash.fingerprint(r.text) for r in rows]
     first = list(range(len(rows)))
