@@ -154,6 +154,25 @@ def test_op1_long_texts_take_time_in_proportion():
         assert seconds[1] < 9 * seconds[0] + 0.5
 
 
+def test_op1_sample_of_one_repeated_id_is_bounded(spark, monkeypatch):
+    """Three quarters of the rows under one id, which is not held out: drawn again by text."""
+    taken, draw = [], toxicity.hash_sample
+
+    def counted(df, *args, **kwargs):
+        taken.append(draw(df, *args, **kwargs))
+        return taken[-1]
+
+    monkeypatch.setattr(toxicity, "hash_sample", counted)
+    texts = [f"the house number {i} is {'scum' if i % 4 == 0 else 'good'}" for i in range(600)]
+    hot = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows = [(hot if i % 4 else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", F.col("text").contains("scum").cast("int").alias("toxic")).distinct()
+    model = toxicity.train(docs, labels, rows=160)
+    assert len(taken) == 2 and 110 <= taken[1].count() <= 210
+    assert 0 <= toxicity.Scorer(model).score("scum")[0] <= 1
+
+
 def test_op1_odd_rows(spark, tables):
     df = clashing(docs_frame(spark, [*ODD_TEXTS, "You idiot scum, you 1d1ot"]))
     got = toxicity.score_documents(df.unionAll(df), tables[1]).collect()
