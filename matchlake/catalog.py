@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from matchlake import oracle as O
 from matchlake.functions.rules import WHITESPACE
-from matchlake.operators import growing_profile
+from matchlake.operators import carried_standings, growing_profile
 from matchlake.operators import points as P
 from matchlake.operators import profile as PR
 from matchlake.operators import quality as Q
@@ -943,6 +943,21 @@ def q_stage_refresh(spark, sf_dir):
     return spark.read.schema(STAGE_POINTS_SCHEMA).parquet(path)
 
 
+@register("carried_league_table", O.with_star(O.LEAGUE_TABLE_SQL, O.TEAM_ROWS_CTE,
+                                              O.TEAM_STAGE_CTE, tables=LEAGUE_MATCH))
+def q_carried_league_table(spark, sf_dir):
+    """D3 carried forward: stages 1-9 are stored, stage 5 with other scores; then stage 5 is
+    corrected and stages 10-12 come in, and the tables are computed from stage 5 on."""
+    m = star.match(spark, sf_dir)
+    root = work_dir(spark, "carried")
+    wrong = F.when(F.col("stage") == 5, F.coalesce("home_team_goal", F.lit(0)) + 3) \
+        .otherwise(F.col("home_team_goal"))
+    carried_standings.update_standings(
+        m.where("stage <= 9").withColumn("home_team_goal", wrong.cast("int")), root)
+    carried_standings.update_standings(m.where("stage = 5 OR stage >= 10"), root)
+    return carried_standings.read_standings(spark, root, star.league(spark, sf_dir))
+
+
 @register("streaming_league_table", O.with_star(O.LEAGUE_TABLE_SQL, O.TEAM_ROWS_CTE,
                                                 O.TEAM_STAGE_CTE, tables=LEAGUE_MATCH))
 def q_streaming_league_table(spark, sf_dir):

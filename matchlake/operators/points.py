@@ -112,11 +112,12 @@ def signed_totals(match: DataFrame) -> DataFrame:
         *[F.sum(F.col(c) * weight).alias(c) for c in ("goals_for", "goals_against", "points")])
 
 
-def name_stages(totals: DataFrame, league: DataFrame) -> DataFrame:
+def name_stages(totals: DataFrame, league: DataFrame, *more: str) -> DataFrame:
     """Attach the league name; unknown leagues drop out (inner join)."""
     named = totals.join(_league_names(league),
                         F.col("league_id") == F.col("_league_key"), "inner")
-    return named.select("league_id", "name", "season", "stage", "team_api_id", *STAGE_METRICS)
+    return named.select("league_id", "name", "season", "stage", "team_api_id", *STAGE_METRICS,
+                        *more)
 
 
 def team_stage_points(match: DataFrame, league: DataFrame) -> DataFrame:
