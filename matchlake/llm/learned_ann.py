@@ -10,14 +10,16 @@
    on other rows: the smallest number that finds ``RECALL`` of their true
    neighbours within the sample; partitions are added while they hold too few
    candidates.
-4. All candidates of those partitions are ranked by exact cosine.  Partitions
-   are split into shards of bounded size and queries into blocks, which meet in
-   a cogroup.
+4. All candidates of those partitions are ranked by exact cosine.  They are
+   shuffled once, into shards of bounded size within the partitions; the queries
+   are written to a folder per partition, and the task of a shard reads those of
+   its partition block by block.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Iterator
+from typing import Any, NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,8 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm.common import check_sample, distinct_rows, hash_sample, read_table
-from matchlake.llm.vectors import (QUERY_BLOCK, SHARD_ROWS, dealt, matrix, merge_top,
-                                   valid_vectors)
+from matchlake.llm.vectors import (QUERY_BLOCK, matrix, merge_top, query_blocks, shard_size,
+                                   valid_vectors, write_queries)
 
 SAMPLE_ROWS = 5_000
 PARTITIONS = 16
@@ -37,6 +39,7 @@ RECALL = 0.95  # aimed at on the calibration rows
 LEAST_CANDIDATES = 50  # per result, in the partitions of a query
 TOP = 5
 EVERY = 50
+ASK_ROWS = 64  # queries compared with a shard at once
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -164,43 +167,43 @@ def cosine(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt(own) * np.sqrt(others))
 
 
-def nearest_in_shard(asked: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k nearest candidates of one shard for every query of one block."""
-    width = max(map(len, [*asked["vec"], *held["vec"]]))
-    q, x = matrix(asked["vec"], width), matrix(held["vec"], width)
-    ids = held["vec_id"].to_numpy(np.int64)
-    units, out = unit(x), []
-    for at in range(0, len(q), 256):
-        near = unit(q[at:at + 256]) @ units.T
-        for row, vector, query_id in zip(near, q[at:at + 256],
-                                         asked["vec_id"].iloc[at:at + 256].tolist()):
-            row[ids == query_id] = -np.inf
-            few = min(k, int((ids != query_id).sum()))
+def nearest_in_shard(asked: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray,
+                     units: np.ndarray, k: int) -> pd.DataFrame:
+    """The k nearest candidates (``ids``, ``x``, and ``units`` of length one) of one shard for
+    every query of one block."""
+    found, scores, counts = [np.zeros(0, np.int64)], [np.zeros(0)], []
+    for at in range(0, len(q), ASK_ROWS):
+        near = unit(q[at:at + ASK_ROWS]) @ units.T
+        for row, vector, query_id in zip(near, q[at:at + ASK_ROWS],
+                                         asked[at:at + ASK_ROWS].tolist()):
+            other = ids != query_id
+            few = min(k, int(other.sum()))
+            counts.append(few)
             if not few:
                 continue
+            row[~other] = -np.inf
             level = np.partition(row, len(row) - few)[len(row) - few]
-            close = np.flatnonzero((row >= level - 1e-9) & (ids != query_id))
+            close = np.flatnonzero((row >= level - 1e-9) & other)
             score = cosine(vector, x[close])
-            best = np.lexsort((ids[close], -score))[:k]
-            out.append(pd.DataFrame({"query_id": np.int64(query_id), "vec_id": ids[close[best]],
-                                     "score": score[best]}))
-    if not out:
-        return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64),
-                             "score": np.zeros(0)})
-    return pd.concat(out, ignore_index=True)
+            best = np.lexsort((ids[close], -score))[:few]
+            found.append(ids[close[best]])
+            scores.append(score[best])
+    return pd.DataFrame({"query_id": np.repeat(asked, counts), "vec_id": np.concatenate(found),
+                         "score": np.concatenate(scores)})
 
 
 def search(table: DataFrame, every: int = EVERY, k: int = TOP, parts: int = PARTITIONS,
            sample_rows: int = SAMPLE_ROWS, query_block: int = QUERY_BLOCK,
-           shard_rows: int = SHARD_ROWS) -> DataFrame:
+           shard_rows: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) for every query, a row whose vec_id is divisible by ``every``.
 
     Rows with a null id, or a vector that is null, empty, zero or holds a null
     or non-finite component, take no part.  Shorter vectors are filled up with
     zeros.  A repeated query row is answered once; repeated candidates are
-    candidates each.  All rows with the query's id count as its own.  Fewer
-    candidates than k: all of them; an empty table gives no rows; other columns
-    are ignored.
+    candidates each.  All rows with the query's id count as its own.  Different
+    vectors of one query id are one query: its best answers are those of any of its
+    vectors, a candidate once for each.  Fewer candidates than k: all of them; an
+    empty table gives no rows; other columns are ignored.
     """
     rows = valid_vectors(table).filter(F.exists("vec", lambda v: v != 0))
     n, width = rows.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
@@ -219,10 +222,7 @@ def search(table: DataFrame, every: int = EVERY, k: int = TOP, parts: int = PART
     sizes = np.zeros(router.b2.shape[0], np.int64)
     for r in placed.groupBy("part").count().collect():
         sizes[r["part"]] = r["count"]
-    shards = np.maximum(1, -(-sizes // shard_rows))
-    queries = rows.filter(F.col("vec_id") % every == 0).distinct()
-    m = queries.count()
-    blocks = max(1, -(-m // query_block))
+    shards = np.maximum(1, -(-sizes // (shard_rows or shard_size(width))))
     shards_of = F.array(*(F.lit(int(s)) for s in shards))
 
     def route(batch: pd.Series) -> pd.Series:
@@ -232,25 +232,23 @@ def search(table: DataFrame, every: int = EVERY, k: int = TOP, parts: int = PART
         return pd.Series([o[:max(router.probes, e)].tolist() for o, e in zip(order, enough)])
 
     route.__annotations__ = {"batch": pd.Series, "return": pd.Series}
-    left = (queries.withColumn("block", dealt(m, query_block, F.col("vec_id")))
-            .withColumn("part", F.explode(F.pandas_udf(route, "array<int>")("vec")))
-            .withColumn("shard", F.explode(F.sequence(
-                F.lit(0), F.element_at(shards_of, F.col("part") + 1) - 1))))
+    queries = rows.filter(F.col("vec_id") % every == 0).distinct()
+    path = write_queries(queries.withColumn("part", F.explode(F.pandas_udf(route, "array<int>")("vec"))),
+                         "ann-queries", by="part")
     salt = F.xxhash64("vec_id", F.monotonically_increasing_id())
-    right = (placed
-             .withColumn("shard", F.pmod(salt, F.element_at(shards_of, F.col("part") + 1))
-                         .cast("int"))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-
-    def run(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked) or not len(held):
-            return pd.DataFrame({"query_id": np.zeros(0, np.int64),
-                                 "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        return nearest_in_shard(asked, held, k)
-
-    keys = ["block", "part", "shard"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)) \
-        .applyInPandas(run, "query_id long, vec_id long, score double")
+    dealt_out = placed.withColumn(
+        "shard", F.pmod(salt, F.element_at(shards_of, F.col("part") + 1)).cast("int"))
+
+    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = pd.concat(list(batches), ignore_index=True)
+        ids, x = held["vec_id"].to_numpy(np.int64), matrix(held["vec"], width)
+        del held
+        units = unit(x)
+        for asked, q in query_blocks(f"{path}/part={key[0]}", width, query_block):
+            yield nearest_in_shard(asked, q, ids, x, units, k)
+
+    found = dealt_out.groupBy("part", "shard").applyInPandas(
+        run, "query_id long, vec_id long, score double")
     return merge_top(found, k)
 
 

@@ -29,29 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm import codec
-from matchlake.llm.common import read_table, shared_path
+from matchlake.llm.common import open_folder, read_table, shared_path
 
 END_ID = 2
 NO_ID = -2**63
 READ_ROWS = 10_000
 
 
-def open_folder(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and plain path of a folder given as a path or a URI.
-
-    Hadoop's names of the S3 connector mean the same store; a scheme that pyarrow does
-    not know is refused.
-    """
-    for scheme in ("s3a:", "s3n:"):
-        if path.startswith(scheme):
-            path = "s3:" + path[len(scheme):]
-    if path.startswith("file:/"):
-        path = "/" + path[5:].lstrip("/")
-    if path.startswith("/"):
-        return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
-
-
 def map_array(system: fs.FileSystem, name: str, dtype: str) -> np.ndarray:
     """The file as an array: memory-mapped where it is a local or mounted file."""
     if system.get_file_info(name).size == 0:

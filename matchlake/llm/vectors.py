@@ -1,14 +1,25 @@
-"""Vector tables for the searches: valid rows, query blocks and candidate shards."""
+"""Vector tables for the searches: valid rows, query blocks and candidate shards.
+
+The candidates are shuffled once, into shards.  The queries are written to the shared
+folder; the task of a shard reads them block by block and hands on the k best of its
+shard for each, so neither side is copied once per part of the other.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_BLOCK = 4_096  # queries of one block, about
-SHARD_ROWS = 8_192  # candidates of one shard, about
+from matchlake.llm.common import open_folder, shared_path
+
+QUERY_BLOCK = 4_096  # queries that a task holds at once
+SHARD_CELLS = 1 << 22  # components of the candidates of one shard, about (32 MB as doubles)
 
 
 def finite_vector(name: str) -> tuple[Column, Column]:
@@ -39,6 +50,31 @@ def dealt(count: int, size: int, *key: Column) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(max(1, -(-count // size)))).cast("int")
 
 
+def shard_size(width: int) -> int:
+    """Candidates of one shard, about."""
+    return max(1, SHARD_CELLS // max(1, width))
+
+
+def write_queries(queries: DataFrame, label: str, by: str | None = None) -> str:
+    """(vec_id, vec) written to the shared folder, in folders of ``by`` if given."""
+    path = shared_path(queries.sparkSession, label)
+    open_folder(path)  # refuses a folder that tasks could not read, before any work
+    (queries.write.partitionBy(by) if by else queries.write).parquet(path)
+    return path
+
+
+def query_blocks(path: str, width: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of the written queries, at most ``rows`` at once; none if there is no folder."""
+    system, folder = open_folder(path)
+    for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if info.base_name.endswith(".parquet"):
+            with system.open_input_file(info.path) as f:
+                for batch in pq.ParquetFile(f).iter_batches(rows, columns=["vec_id", "vec"]):
+                    asked = batch.to_pandas()
+                    if len(asked):
+                        yield asked["vec_id"].to_numpy(np.int64), matrix(asked["vec"], width)
+
+
 def merge_top(found: DataFrame, k: int) -> DataFrame:
     """The k best of (query_id, vec_id, score) of every query, ties to the smaller vec_id."""
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

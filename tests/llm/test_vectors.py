@@ -144,3 +144,27 @@ def test_op5_odd_rows(spark):
         {q: [i for _, i in v] for q, v in want.items()}
     assert learned_ann.search(table(spark, [])).count() == 0
     assert learned_ann.search(table(spark, [(0, [1.0])])).count() == 0
+
+
+def test_op3_threshold_of_earlier_slices():
+    """Slices after the first are searched under the k-th score so far; ties go to small ids."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 6))
+    x[::7] = x[5]  # ties over all slices
+    ids = rng.permutation(600)
+    slices = [maxscore.Shard(ids[at:at + 90], x[at:at + 90]) for at in range(0, 600, 90)]
+    for q, k in ((5, 10), (8, 1), (9, 700)):
+        got = maxscore.best_of_slices(slices, int(ids[q]), x[q], k)
+        whole = sorted(((inner(x[q], v), -int(i)) for i, v in zip(ids, x) if i != ids[q]),
+                       reverse=True)[:k]
+        assert list(zip(got[1].tolist(), (-got[0]).tolist())) == whole
+
+
+@pytest.mark.parametrize("search,score", [(maxscore.search, inner), (learned_ann.search, cos)])
+def test_different_vectors_of_one_query_id(spark, search, score):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (3, [2.0, 0.5]), (4, [0.25, 3.0])]
+    got = [(r.vec_id, r.score) for r in search(table(spark, rows)).orderBy("rank").collect()]
+    pairs = sorted(((score(np.array(a), np.array(b)), -i) for q, a in rows if q == 0
+                    for i, b in rows if i), reverse=True)
+    assert [i for i, _ in got] == [-i for _, i in pairs]
+    assert [s for _, s in got] == pytest.approx([s for s, _ in pairs])
