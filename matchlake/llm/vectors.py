@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from matchlake.llm.common import open_folder, shared_path
 
 QUERY_BLOCK = 4_096  # queries that a task holds at once
-SHARD_CELLS = 1 << 22  # components of the candidates of one shard, about (32 MB as doubles)
+SHARD_CELLS = 1 << 20  # components of the candidates of one shard, about (8 MB as doubles)
 
 
 def finite_vector(name: str) -> tuple[Column, Column]:
