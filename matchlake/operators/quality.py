@@ -12,10 +12,12 @@ Scale notes:
   (one value holding a third of the rows) is collapsed to one row per task
   before the shuffle.
 * Reference checks read the child once for all its references: rows are
-  unpivoted into (column, key) pairs and counted per pair before any join, so
-  a hot key is one row per task when it is shuffled; the distinct pairs are
-  anti-joined with the parents' keys.
-* Nothing runs when a check is built; the planner chooses joins at run time.
+  unpivoted into (column, key) pairs and counted per pair before the shuffle, so
+  a hot key is one row per task when it is shuffled.
+* The parents' keys go into the same count, marked as known.  A join would be planned
+  by the tables' sizes, and a key taken from a wide table of mostly empty columns
+  looks so small there that millions of keys were broadcast through the driver.
+* Nothing runs when a check is built.
 """
 
 from __future__ import annotations
@@ -207,6 +209,19 @@ def unique_violations(df: DataFrame, table: str, keys) -> DataFrame:
     return key_violations(df, table, keys, primary=False)
 
 
+def _counted_keys(cells: DataFrame, parents: DataFrame | None) -> DataFrame:
+    """Different rows of ``cells`` with their number and whether ``parents``, which has the
+    same columns, knows them (NULL if not)."""
+    rows = cells.withColumns({"n_rows": F.lit(1).cast("bigint"),
+                              "known": F.lit(None).cast("boolean")})
+    if parents is not None:
+        rows = rows.unionByName(parents.withColumns({"n_rows": F.lit(0).cast("bigint"),
+                                                     "known": F.lit(True)}))
+    return (rows.groupBy(*cells.columns)
+            .agg(F.sum("n_rows").alias("n_rows"), F.max("known").alias("known"))
+            .where(F.col("n_rows") > 0))
+
+
 @dataclass(frozen=True)
 class Reference:
     column: str
@@ -227,11 +242,10 @@ def fk_orphans(child: DataFrame, child_table: str, references: list[Reference])
     def as_key(c: Column) -> Column:
         return c if key_type is not None else c.cast("string")
 
-    keys = (child.select(F.inline(F.array(*[
+    keys = child.select(F.inline(F.array(*[
         F.struct(F.lit(r.column).alias("child_column"), as_key(F.col(r.column)).alias("key"))
         for r in references
     ]))).where(F.col("key").isNotNull())
-        .groupBy("child_column", "key").agg(F.count(F.lit(1)).alias("n_rows")))
     by_parent: dict[tuple[str, str], list[Reference]] = {}
     for r in references:  # a parent that several columns name is read once
         by_parent.setdefault((r.parent_table, r.parent_column), []).append(r)
@@ -241,7 +255,7 @@ def fk_orphans(child: DataFrame, child_table: str, references: list[Reference])
             as_key(F.col(rs[0].parent_column)).alias("key")).where(F.col("key").isNotNull())
         for rs in by_parent.values()
     ])
-    orphans = keys.join(parents, ["child_column", "key"], "left_anti")
+    orphans = _counted_keys(keys, parents).where(F.col("known").isNull())
 
     def lookup(attr: str) -> Column:
         out = F.lit(None).cast("string")
@@ -309,21 +323,18 @@ def constraint_report(tables: dict[str, DataFrame],
         constraints = _constraints(tables, definitions[name])
         if not constraints:
             continue
-        keys = (df.select(F.inline(F.array(*[c.cell() for c in constraints])))
-                .groupBy("number", "key", "no_key").agg(F.count(F.lit(1)).alias("n_rows")))
+        cells = df.select(F.inline(F.array(*[c.cell() for c in constraints])))
         references = [c for c in constraints if c.kind == "reference"]
         by_parent: dict[str, list[_Constraint]] = {}
         for c in references:
             by_parent.setdefault(c.parent_table, []).append(c)
-        if by_parent:
-            parents = reduce(DataFrame.unionByName, [
-                tables[p].select(F.inline(F.array(*[
-                    F.struct(F.lit(c.number).alias("number"),
-                             F.col(c.parent_column).cast("string").alias("key")) for c in cs])))
-                for p, cs in by_parent.items()]).where(F.col("key").isNotNull()).distinct()
-            keys = keys.join(parents.withColumn("known", F.lit(True)), ["number", "key"], "left")
-        else:
-            keys = keys.withColumn("known", F.lit(None).cast("boolean"))
+        parents = [
+            tables[p].select(F.inline(F.array(*[
+                F.struct(F.lit(c.number).alias("number"),
+                         F.col(c.parent_column).cast("string").alias("key"),
+                         F.lit(False).alias("no_key")) for c in cs])))
+            .where(F.col("key").isNotNull()) for p, cs in by_parent.items()]
+        keys = _counted_keys(cells, reduce(DataFrame.unionByName, parents) if parents else None)
 
         def numbers(kind: str) -> list[int]:
             return [c.number for c in constraints if c.kind == kind]

@@ -12,8 +12,11 @@ from matchlake.operators.indexing import with_row_index
 from matchlake.operators.profile import (duplicate_rows, numeric_profile, repeated_groups,
                                          repeated_rows)
 from matchlake.operators.quantiles import exact_quantiles, long_values
-from matchlake.operators.quality import Reference, fk_orphans, pk_violations, unique_violations
+from matchlake.operators.quality import (Reference, constraint_report, fk_orphans, pk_violations,
+                                         unique_violations)
 from matchlake.plans import jobs, star
+from matchlake.schemas import TABLES
+from matchlake.session import work_dir
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
@@ -219,6 +222,20 @@ def test_fk_checks_scan_the_child_once(spark):
     assert plan.count("orders.parquet") == 1  # one scan of the child for both references
 
 
+def test_reference_checks_never_broadcast_the_parents_keys(spark):
+    """A key out of the 115 columns of Match looks small to the planner at any size."""
+    t = star.star_tables(spark, SF_MID)
+    path = work_dir(spark, "wide-match")
+    jobs.conform(t["Match"], TABLES["Match"].schema).write.parquet(path)
+    wide = {"Match": spark.read.parquet(path),
+            "Point": P.points_result(t["Match"], t["League"].hint("merge"))}
+    refs = [Reference("match_api_id", wide["Match"], "Match", "match_api_id")]
+    assert "BroadcastExchange" not in plan_text(fk_orphans(wide["Point"], "Point", refs), "simple")
+    plan = plan_text(constraint_report({n: df.select("match_api_id") for n, df in wide.items()}),
+                     "simple")
+    assert "HashedRelationBroadcastMode(List(input[0, int, false], input[1, string" not in plan
+
+
 # --- hot keys: one value holds a third of the rows ----------------------------------
 
 def test_hot_repeated_row_comes_back_as_one_line(spark):
