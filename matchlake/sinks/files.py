@@ -8,10 +8,30 @@ no half-written result behind.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake.sources.csv import EXTRACT, INDEX_COLUMN, NOTEBOOK, Dialect
 
 
+FILE_BYTES = 32 << 20
+
+
+def delimited_files(df: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """How many files of about ``file_bytes`` the rows of ``df`` fill as delimited text (one
+    aggregate over the lengths of its text cells).
+
+    A reader that allows line breaks in cells gives a file to one task, and a task writes
+    one file; so rows that widen a lot on the way from a small source are dealt to this
+    many tasks first: ``widen(source.repartition(delimited_files(widen(source))))``.
+    """
+    cell = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")).cast("bigint"), F.lit(0))
+            for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    other = 20 * len(df.columns)  # separators, and numbers at their longest
+    size = df.agg(F.sum(sum(cell, F.lit(other).cast("bigint")))).first()[0] or 0
+    return max(1, -(-size // file_bytes))
+
+
 def write_delimited(df: DataFrame, path: str, dialect: Dialect = EXTRACT,
                     mode: str = "overwrite") -> None:
     """K1: ';' text with a header and no index.  A NULL is written as an empty

@@ -216,3 +216,13 @@ def test_pandas_nan_float_becomes_null(spark):
     rows = [r.x for r in pandas_to_spark(pdf, spark).collect()]
     assert rows[0] is None and rows[1] == 2.0 and not any(
         isinstance(v, float) and math.isnan(v) for v in rows)
+
+
+def test_long_texts_are_spread_over_files_of_bounded_size(spark):
+    """162 MB of names out of one small customer file; a file is read by one task."""
+    from matchlake import catalog
+
+    sizes = [r.length for r in spark.read.format("binaryFile").load(
+        catalog.QUERIES["long_text_load"](spark, "/root/testdata/sf0.1").inputFiles())
+        .select("length").collect()]
+    assert sum(sizes) > 160_000_000 and max(sizes) < 64_000_000
