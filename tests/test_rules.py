@@ -2,6 +2,7 @@
 (they hold no NULL, blank or malformed cell)."""
 
 import math
+import re
 
 import pandas as pd
 import pytest
@@ -15,6 +16,7 @@ from matchlake.operators.profile import drop_null_rows, null_profile
 from matchlake.operators.load import Warehouse
 from matchlake.operators.quality import Check, check_report, run_checks
 from matchlake.schemas import TABLES
+from matchlake.session import work_dir
 from matchlake.sinks.files import write_delimited
 from matchlake.sources.csv import read_delimited, read_indexed, read_staged
 from matchlake.sources.frames import pandas_to_spark
@@ -226,3 +228,11 @@ def test_long_texts_are_spread_over_files_of_bounded_size(spark):
         catalog.QUERIES["long_text_load"](spark, "/root/testdata/sf0.1").inputFiles())
         .select("length").collect()]
     assert sum(sizes) > 160_000_000 and max(sizes) < 64_000_000
+
+
+def test_load_rules_of_a_wide_table_are_compiled(spark):
+    """The JVM interprets methods of over 8,000 bytes for good."""
+    path, schema = work_dir(spark, "wide"), TABLES["Player_Attributes"].schema
+    write_delimited(spark.createDataFrame([], schema), path)
+    code = plan_text(read_staged(spark, path, schema), "codegen")
+    assert all(int(n) <= 8_000 for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
