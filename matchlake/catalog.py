@@ -517,8 +517,9 @@ def _key_sql(table: str, view: str, keys: list[str], primary: bool) -> str:
 def q_pk_violations(spark, sf_dir):
     """C1 on every star table, plus (l_orderkey, l_linenumber), which repeats."""
     tables = star.star_tables(spark, sf_dir)
-    parts = [Q.pk_violations(tables[n], n, k) for n, k in PK_TABLES]
-    parts.append(Q.pk_violations(_lineitem_keys(spark, sf_dir), "lineitem", LINEITEM_KEY))
+    parts = [Q.pk_violations(tables[n], n, k, Q.key_tasks(tables[n])) for n, k in PK_TABLES]
+    lines = _lineitem_keys(spark, sf_dir)
+    parts.append(Q.pk_violations(lines, "lineitem", LINEITEM_KEY, Q.key_tasks(lines)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -535,8 +536,9 @@ UNIQUE_KEYS = [(t.name, [u]) for t in TABLES.values() for u in t.unique
 def q_unique_violations(spark, sf_dir):
     """C2 on every declared unique column, plus the lineitem key, which repeats."""
     tables = star.star_tables(spark, sf_dir)
-    parts = [Q.unique_violations(tables[n], n, k) for n, k in UNIQUE_KEYS]
-    parts.append(Q.unique_violations(_lineitem_keys(spark, sf_dir), "lineitem", LINEITEM_KEY))
+    parts = [Q.unique_violations(tables[n], n, k, Q.key_tasks(tables[n])) for n, k in UNIQUE_KEYS]
+    lines = _lineitem_keys(spark, sf_dir)
+    parts.append(Q.unique_violations(lines, "lineitem", LINEITEM_KEY, Q.key_tasks(lines)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -23,11 +23,14 @@ Scale notes:
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlake.schemas import TABLES, TableDef
 
@@ -179,19 +182,50 @@ def _key_text(keys: list[str]) -> Column:
     return F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
 
 
+ROWS_PER_TASK = 500_000
+
+
+def key_tasks(df: DataFrame) -> int:
+    """Tasks for the keys of ``df`` (one count; of a file scan it reads the footers only)."""
+    return max(1, -(-df.count() // ROWS_PER_TASK))
+
+
+def _counted(source: DataFrame, tasks: int) -> DataFrame:
+    """Different rows of ``source`` with their number ``n_rows``, dealt to ``tasks``.
+
+    Rows are counted per Arrow batch before the shuffle, so a hot key is a row per batch
+    there, and no task holds the keys of a whole file split.
+    """
+    names = source.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = pa.Table.from_batches([batch]).group_by(names, use_threads=False) \
+                .aggregate([([], "count_all")])
+            yield from got.select([*names, "count_all"]) \
+                .rename_columns([*names, "n_rows"]).to_batches()
+
+    schema = T.StructType([*source.schema.fields, T.StructField("n_rows", T.LongType())])
+    return (source.mapInArrow(run, schema).repartition(tasks, *names)
+            .groupBy(*names).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")))
+
+
 def key_violations(df: DataFrame, table: str, keys: list[str] | tuple[str, ...],
-                   primary: bool = True) -> DataFrame:
+                   primary: bool = True, tasks: int | None = None) -> DataFrame:
     """Key values held by more than one row; for a primary key also NULL keys.
 
     Returns (table_name, key_columns, key_value, n_rows).  A unique key (not
-    primary) allows any number of rows with a NULL in the key.
+    primary) allows any number of rows with a NULL in the key.  With ``tasks``
+    (``key_tasks``) the keys of atomic types are dealt to that many tasks, so the memory
+    of one does not grow with the table; without, the session's shuffle decides.
     """
     keys = list(keys)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     source = df.select(*keys)
     if not primary:
         source = source.where(~any_null)
-    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    grouped = _counted(source, tasks) if tasks else \
+        source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     bad = (F.col("n_rows") > 1) | any_null if primary else F.col("n_rows") > 1
     return grouped.where(bad).select(
         F.lit(table).alias("table_name"),
@@ -201,12 +235,12 @@ def key_violations(df: DataFrame, table: str, keys: list[str] | tuple[str, ...],
     )
 
 
-def pk_violations(df: DataFrame, table: str, keys) -> DataFrame:
-    return key_violations(df, table, keys, primary=True)
+def pk_violations(df: DataFrame, table: str, keys, tasks: int | None = None) -> DataFrame:
+    return key_violations(df, table, keys, primary=True, tasks=tasks)
 
 
-def unique_violations(df: DataFrame, table: str, keys) -> DataFrame:
-    return key_violations(df, table, keys, primary=False)
+def unique_violations(df: DataFrame, table: str, keys, tasks: int | None = None) -> DataFrame:
+    return key_violations(df, table, keys, primary=False, tasks=tasks)
 
 
 def _counted_keys(cells: DataFrame, parents: DataFrame | None) -> DataFrame:

@@ -136,6 +136,16 @@ def test_keys_and_references(spark):
     assert sorted((r.key_value, r.n_rows) for r in orphans) == [("11", 1), ("99", 1)]
 
 
+def test_key_checks_deal_their_keys_to_given_tasks(spark):
+    rows = spark.range(40_000).selectExpr("if(id % 3 = 0, NULL, id % 30000) AS id",
+                                          "CAST(id % 7 AS STRING) AS t")
+    for check in (pk_violations, unique_violations):
+        dealt = check(rows, "r", ["id", "t"], tasks=37)
+        whole = check(rows, "r", ["id", "t"])
+        assert dealt.exceptAll(whole).count() == 0 and whole.exceptAll(dealt).count() == 0
+        assert dealt.rdd.getNumPartitions() == 37 and dealt.schema == whole.schema
+
+
 def test_team_points_per_match_sum_to_3_or_2(spark):
     tmp = P.team_match_points(star.match(spark, SF_SMALL), star.league(spark, SF_SMALL))
     per_match = tmp.groupBy("match_api_id").agg(F.sum("points").alias("s"), F.count("*").alias("n"))
